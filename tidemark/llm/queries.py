@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import sharding, url_filter
+from tidemark.llm import bpe, packing, sharding, url_filter
 from tidemark.llm.tables import table
 
 URL_RULES = (
@@ -22,6 +22,21 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def vocabulary_file() -> str:
+    """The public word vocabulary; only its path is used here."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_file(), with_ids=False)
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_file())
+
+
 def toxic_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list: canonical URLs of pages whose document (the last number of the path) is labelled toxic."""
     url = F.col("url")
@@ -36,6 +51,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
+    "op5_packing": op5_packing,
+    "op9_bpe": op9_bpe,
     "op10_url_filters": op10_url_filters,
 }
 
