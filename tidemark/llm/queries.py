@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, sharding, url_filter
+from tidemark.llm import bpe, packing, repetition, sharding, url_filter
 from tidemark.llm.tables import table
 
 URL_RULES = (
@@ -33,6 +33,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_file(), with_ids=False)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_file())
 
@@ -52,6 +56,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op5_packing": op5_packing,
+    "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_url_filters": op10_url_filters,
 }

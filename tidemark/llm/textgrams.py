@@ -23,6 +23,10 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    return _SPACE[data]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finish 64-bit values so that all bits depend on all others."""
     x = x ^ (x >> np.uint64(30))
