@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, repetition, sharding, url_filter
+from tidemark.llm import bpe, language_id, packing, repetition, sharding, url_filter
 from tidemark.llm.tables import table
 
 URL_RULES = (
@@ -18,6 +18,12 @@ URL_RULES = (
 )
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.predict(docs, language_id.learn(docs))
+    return found.select("doc_id", language_id.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -54,6 +60,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op3_sharding": op3_sharding,
     "op5_packing": op5_packing,
     "op8_quality_rules": op8_quality_rules,
