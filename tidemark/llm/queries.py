@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language_id, packing, repetition, sharding, url_filter
+from tidemark.llm import bpe, language_id, minhash_dedup, packing, repetition, sharding, url_filter
 from tidemark.llm.tables import table
 
 URL_RULES = (
@@ -39,6 +39,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_file(), with_ids=False)
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_sharding": op3_sharding,
     "op5_packing": op5_packing,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_url_filters": op10_url_filters,
