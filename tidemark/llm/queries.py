@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language_id, minhash_dedup, packing, repetition, sharding, url_filter
+from tidemark.llm import bpe, language_id, line_dedup, minhash_dedup, packing, repetition, sharding, url_filter
 from tidemark.llm.tables import table
 
 URL_RULES = (
@@ -24,6 +24,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -65,6 +69,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_line_dedup": op2_line_dedup,
     "op3_sharding": op3_sharding,
     "op5_packing": op5_packing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
