@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language_id, line_dedup, minhash_dedup, packing, repetition, sharding, url_filter
+from tidemark.llm import bpe, language_id, line_dedup, minhash_dedup, packing, repetition, sharding, suffix_dedup, url_filter
 from tidemark.llm.tables import table
 
 URL_RULES = (
@@ -32,6 +32,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def vocabulary_file() -> str:
     """The public word vocabulary; only its path is used here."""
     import public_tokenizers
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
     "op3_sharding": op3_sharding,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_packing": op5_packing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
