@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language_id, line_dedup, minhash_dedup, packing, repetition, sharding, suffix_dedup, url_filter
+from tidemark.llm import bpe, embedding_dedup, language_id, line_dedup, minhash_dedup, packing, repetition, sharding, suffix_dedup, url_filter
 from tidemark.llm.tables import table
 
 URL_RULES = (
@@ -47,6 +47,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_file(), with_ids=False)
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_packing": op5_packing,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
