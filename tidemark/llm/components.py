@@ -15,13 +15,14 @@ def _both(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour above a node is moved to the node's least neighbour (or the node itself)."""
     both = _both(edges)
+    # written, so that Spark deals out both sides of the join and can split a node with many neighbours
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.where("b > a").join(cut(least, "least"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every neighbour below a node, and the node, are moved to its least neighbour; edges point down."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = cut(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     own = least.select("a", F.col("m").alias("b"))
     return moved.where("a <> b").unionAll(own).distinct()
