@@ -188,14 +188,15 @@ def sample(rows: DataFrame, settings: Settings = Settings()) -> tuple[np.ndarray
     return np.array(windows).reshape(len(windows), size), np.array(labels, np.int64), languages
 
 
-def predict(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, lang_pred, score) of every whole text.
+def predict(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
+    """(key, lang_pred, score) of every whole text; with ``keep``, all columns of ``docs`` and these two.
 
     A text that is null or has no letter is ``und`` with score 0; with no
     network (nothing to learn from) all are. Equal means go to the language
-    that sorts first. Repeated rows are judged one by one; other columns are
-    left behind.
+    that sorts first. Repeated rows are judged one by one. Columns of ``docs``
+    that are named like the added ones are replaced.
     """
+    docs = docs.drop("lang_pred", "score")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,10 +213,13 @@ def predict(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str
                 known = lettered & (net is not None)
                 names = [net.languages[i] if k else UNDETERMINED for i, k in zip(mean.argmax(axis=1), known)] if net else [UNDETERMINED] * len(texts)
                 score = np.where(known, np.clip(mean.max(axis=1), 0, 1), 0.0)
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(names, pa.string()), pa.array(score)], names=[key, "lang_pred", "score"])
+                given = [part.column(i) for i in range(part.num_columns)]
+                yield pa.RecordBatch.from_arrays([*given, pa.array(names, pa.string()), pa.array(score)], names=[*part.schema.names, "lang_pred", "score"])
 
-    rows = docs.selectExpr(f"`{key}` AS key", f"`{text}` AS text")
-    return rows.mapInArrow(task, f"`{key}` {rows.schema['key'].dataType.simpleString()}, lang_pred string, score double")
+    all_columns = F.struct(*(F.col(f"`{c}`") for c in docs.columns)) if keep else F.struct(F.col(f"`{key}`"))
+    rows = docs.select(F.col(f"`{text}`").alias("text"), all_columns.alias("row"))
+    found = rows.mapInArrow(task, f"text string, row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    return found.select("row.*", "lang_pred", "score")
 
 
 def is_held_out(key: Column) -> Column:
