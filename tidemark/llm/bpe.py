@@ -24,8 +24,6 @@ from tidemark.llm import textgrams
 
 #: Bytes of text in a slice: distinct words are gathered over this much.
 BATCH_BYTES = 16 << 20
-#: Distinct words kept from one batch to the next in a task; beyond it the memory starts anew.
-REMEMBERED = 400_000
 #: How words are cut before merging (fixed value of the vocabulary file).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
@@ -67,7 +65,6 @@ class WordBpe:
         self.order = np.argsort(pairs, kind="stable")
         self.pairs = pairs[self.order]
         self.marks = regex.compile("|".join(regex.escape(x) for x in self.special)) if self.special else None
-        self.known: dict[bytes, np.ndarray] = {}
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of every pair, or the number of merges where none joins it."""
@@ -94,10 +91,10 @@ class WordBpe:
         text = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
         return [text.encode()] if text.isalpha() else [x.encode() for x in PIECES.findall(text)]
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of every word (byte strings that are not empty)."""
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words (byte strings that are not empty) in a row, and how many each has."""
         if not words:
-            return []
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(lengths)
         raw = np.frombuffer(b"".join(words), np.uint8)
@@ -133,9 +130,7 @@ class WordBpe:
             for new in self._index(symbol, after, changed, index):
                 heapq.heappush(queue, new)
         kept = symbol[:n] >= 0
-        ids = symbol[:n][kept].astype(np.uint32)
-        bounds = [0, *np.cumsum(kept)[ends - 1].tolist()]
-        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+        return symbol[:n][kept].astype(np.uint32), np.diff(np.cumsum(kept)[ends - 1], prepend=0)
 
     def pairs_of(self, rank: int) -> tuple[int, int]:
         if not hasattr(self, "_by_rank"):
@@ -163,25 +158,31 @@ class WordBpe:
             index[r].append(at[a:b])
         return new
 
-    def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of every run without white space."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        fresh = [w for w in words if w not in self.known]
-        cut = [self.pieces(w) for w in fresh]
-        distinct = {p: None for pieces in cut for p in pieces if isinstance(p, bytes)}
-        merged = dict(zip(distinct, self.merge(list(distinct)), strict=True))
-        for w, pieces in zip(fresh, cut, strict=True):
-            if len(pieces) == 1 and isinstance(pieces[0], bytes):
-                self.known[w] = merged[pieces[0]]
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all runs without white space in a row, and how many each has."""
+        number: dict[bytes | int, int] = {}
+        order: list[int] = []
+        counts = np.ones(len(words), np.int64)
+        for i, word in enumerate(words):
+            if word.islower() and word.isalpha():  # bytes: ASCII alone
+                order.append(number.setdefault(word, len(number)))
             else:
-                self.known[w] = np.concatenate([np.zeros(0, np.uint32), *(merged[p] if isinstance(p, bytes) else np.array([p], np.uint32) for p in pieces)])
-        return [self.known[w] for w in words]
+                pieces = self.pieces(word)
+                counts[i] = len(pieces)
+                order.extend([number.setdefault(p, len(number)) for p in pieces])
+        marks = {i: p for p, i in number.items() if isinstance(p, int)}
+        merged, lengths = self.merge([b"!" if isinstance(p, int) else p for p in number])
+        for i, special in marks.items():  # one id each, as the sign that stood in for them
+            merged[lengths[:i].sum()] = special
+        ids, _ = lay_out(np.array(order, np.int64), merged, lengths, np.zeros(1, np.int64))
+        each = np.concatenate([[0], np.cumsum(lengths[order])])
+        ends = np.cumsum(counts)
+        return ids, each[ends] - each[ends - counts]
 
     def encode(self, texts: textgrams.Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text begins."""
-        codes, words = texts.vocabulary
-        return lay_out(codes, self.encode_words(words), texts.word_offsets)
+        codes, words, bounds = texts.pieces
+        return lay_out(codes, *self.encode_words(words), bounds)
 
     def decode(self, ids: list[int]) -> bytes:
         """The file has no decoder, so tokens are written with a space between them."""
@@ -203,16 +204,18 @@ def _apart(at: np.ndarray, after: np.ndarray) -> np.ndarray:
     return np.array(kept, np.int64)
 
 
-def lay_out(codes: np.ndarray, ids: list[np.ndarray], word_offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of every occurrence of coded words in a row, and where each text begins in it."""
+def lay_out(codes: np.ndarray, ids: np.ndarray, lengths: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of every occurrence of coded words in a row, and where each text begins in it.
+
+    ``ids`` has those of the distinct words one after the other, ``lengths``
+    how many each has, and ``bounds`` the occurrences before each text.
+    """
     if not len(codes):
-        return np.zeros(0, np.uint32), np.zeros(len(word_offsets), np.int64)
-    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
     first = np.cumsum(lengths) - lengths
-    flat = np.concatenate(ids)
     each = lengths[codes]
     done = np.concatenate([[0], np.cumsum(each)])
-    return flat[np.arange(done[-1]) + np.repeat(first[codes] - done[:-1], each)], done[word_offsets]
+    return ids[np.arange(done[-1]) + np.repeat(first[codes] - done[:-1], each)], done[bounds]
 
 
 _loaded: dict[str, WordBpe] = {}
@@ -227,7 +230,7 @@ def vocabulary(source: str) -> WordBpe:
     return _loaded[key]
 
 
-def _content(df: DataFrame, path: str):
+def content(df: DataFrame, path: str):
     """The vocabulary file (a few MB at most) as a broadcast, so executors need no copy of it."""
     with open(path, encoding="utf-8") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
@@ -235,7 +238,7 @@ def _content(df: DataFrame, path: str):
 
 def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids): every whole text as ids. Null and blank texts have none; rows keep their number."""
-    file = _content(df, path)
+    file = content(df, path)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = vocabulary(file.value)
@@ -251,7 +254,7 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
 
 def decode(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, text): the tokens of ``ids`` with a space between them; null for null."""
-    file = _content(df, path)
+    file = content(df, path)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = vocabulary(file.value)
@@ -271,7 +274,7 @@ def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text"
     and the digests of nothing. Repeated rows and keys are rows of their own;
     other columns are left behind. An empty table gives no rows.
     """
-    file = _content(df, path)
+    file = content(df, path)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = vocabulary(file.value)

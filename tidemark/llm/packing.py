@@ -8,7 +8,6 @@ are laid end to end and cut at the sequence length.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,8 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tidemark.llm import textgrams
-from tidemark.llm.bpe import lay_out
+from tidemark.llm import bpe, textgrams
 from tidemark.llm.tables import cut
 
 SEQUENCE = 2048
@@ -28,8 +26,6 @@ CLOSING_ID = 1
 #: Hashed features, projected dimensions and bits of each dimension in the Hilbert key.
 FEATURES, DIMENSIONS, BITS = 256, 4, 12
 BATCH_BYTES = 8 << 20
-#: Distinct words whose ids a task remembers.
-REMEMBERED = 400_000
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -68,55 +64,27 @@ def _projection() -> np.ndarray:
 
 def curve_keys(texts: textgrams.Texts) -> np.ndarray:
     """Hilbert key of every text; texts without words share the middle of the space."""
-    hashes = texts.word_hashes
-    bucket = (hashes % np.uint64(FEATURES)).astype(np.int64)
-    sign = np.where(hashes >> np.uint64(63), 1.0, -1.0)
-    vectors = np.bincount(texts.word_text * FEATURES + bucket, weights=sign, minlength=len(texts) * FEATURES).reshape(len(texts), FEATURES)
+    codes, words, bounds = texts.pieces
+    hashes = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+    owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
+    sign = np.where(hashes >> 31, 1.0, -1.0)
+    vectors = np.bincount(owner * FEATURES + (hashes % FEATURES)[codes], weights=sign[codes], minlength=len(texts) * FEATURES).reshape(len(texts), FEATURES)
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     points = (vectors / np.where(norms > 0, norms, 1)) @ _projection()  # each coordinate is about standard normal
     cells = np.clip((points / 8 + 0.5) * (1 << BITS), 0, (1 << BITS) - 1)
     return hilbert_keys(cells.astype(np.int64), BITS)
 
 
-class LibraryWords:
-    """Ids of words by the tokenizers library; runs without white space are encoded once."""
-
-    def __init__(self, source: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_str(source)
-        self.library.no_padding()
-        self.library.no_truncation()
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def encode(self, texts: textgrams.Texts) -> tuple[np.ndarray, np.ndarray]:
-        codes, words = texts.vocabulary
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        fresh = [w for w in words if w not in self.known]
-        for w, found in zip(fresh, self.library.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False), strict=True):
-            self.known[w] = np.array(found.ids, np.uint32)
-        return lay_out(codes, [self.known[w] for w in words], texts.word_offsets)
-
-
-_loaded: list[tuple[str, LibraryWords]] = []
-
-
-def _library(source: str) -> LibraryWords:
-    if not _loaded or _loaded[0][0] != source:
-        _loaded[:] = [(source, LibraryWords(source))]
-    return _loaded[0][1]
-
-
 def tokenise(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, curve, ids): ids of each whole text and the closing id, 16 bits each where the vocabulary allows it, else 32."""
-    with open(path, encoding="utf-8") as f:
-        file = docs.sparkSession.sparkContext.broadcast(f.read())
+    """(doc, curve, ids, width): ids of each whole text and the closing id, in 2 bytes each where the vocabulary allows it, else 4.
+
+    The ids are those of the tokenizers library; see ``bpe`` for how a task makes them.
+    """
+    file = bpe.content(docs, path)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _library(file.value)
-        width = "<u2" if model.library.get_vocab_size() <= 1 << 16 else "<u4"
+        model = bpe.vocabulary(file.value)
+        width = "<u2" if len(model.tokens) <= 1 << 16 else "<u4"
         for batch in batches:
             for part, texts in textgrams.slices(batch, "text", BATCH_BYTES):
                 ids, starts = model.encode(texts)

@@ -18,6 +18,13 @@ SLICE_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SIGN = np.zeros(256, bool)
+_SIGN[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_LOWER[9:14] = 32
 _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -127,14 +134,36 @@ class Texts:
     @cached_property
     def vocabulary(self) -> tuple[np.ndarray, list[bytes]]:
         """Code of every word, and the distinct words."""
-        if not len(self.starts):
-            return np.zeros(0, np.int64), []
-        bounds = np.append(self.starts, self.offsets[-1]).astype(np.int32)
-        runs = pa.Array.from_buffers(pa.binary(), len(self.starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(self.data))])
-        coded = runs.dictionary_encode()
-        seen: dict[bytes, int] = {}
-        to = [seen.setdefault(w.rstrip(b" \t\n\v\f\r"), len(seen)) for w in coded.dictionary.to_pylist()]
-        return np.array(to, np.int64)[coded.indices.to_numpy()], list(seen)
+        return _coded(self.data, self.starts, int(self.offsets[-1]))
+
+    @cached_property
+    def pieces(self) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """As ``vocabulary``, with A-Z in lower case, and words cut between letters and signs, and the pieces before each text.
+
+        Only where both neighbours are ASCII and the sign is no apostrophe, so
+        every cut is one that a word vocabulary makes too; other words stay
+        whole. Texts with ``<|`` are left alone, as it may begin a special token.
+        """
+        if self.data.tobytes().find(b"<|") >= 0:
+            return *self.vocabulary, self.word_offsets
+        letter, sign = _LETTER[self.data], _SIGN[self.data]
+        begin = np.zeros(len(self.data), bool)
+        begin[1:] = (letter[1:] & sign[:-1]) | (sign[1:] & letter[:-1])
+        begin[self.starts] = True
+        starts = np.flatnonzero(begin)
+        return *_coded(_LOWER[self.data], starts, int(self.offsets[-1])), np.searchsorted(starts, self.offsets)
+
+
+def _coded(data: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, list[bytes]]:
+    """Codes of the runs from start to start, white space at their ends aside, and the distinct runs."""
+    if not len(starts):
+        return np.zeros(0, np.int64), []
+    bounds = np.append(starts, end).astype(np.int32)
+    runs = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
+    coded = runs.dictionary_encode()
+    seen: dict[bytes, int] = {}
+    to = [seen.setdefault(w.rstrip(b" \t\n\v\f\r"), len(seen)) for w in coded.dictionary.to_pylist()]
+    return np.array(to, np.int64)[coded.indices.to_numpy()], list(seen)
 
 
 def texts_of(column: pa.Array) -> Texts:
