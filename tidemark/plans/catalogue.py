@@ -1,6 +1,6 @@
 """All queries; importing the operators registers them."""
 
-from tidemark.operators import inbox, joins, windows  # noqa: F401
+from tidemark.operators import folds, inbox, joins, reconcile, windows  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
