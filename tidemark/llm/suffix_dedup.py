@@ -116,7 +116,8 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, ke
         raise ValueError("anchor must be positive, and at most least and not far below it")
     all_suffixes = cut(suffixes(docs, least, anchor, key, text), "suffixes")
     runs = all_suffixes.groupBy("first").agg(F.count(F.lit(1)).alias("n"), F.min("block").alias("lo"), F.max("block").alias("hi"))
-    runs = runs.where("n > 1").select("first", (F.col("lo") != F.col("hi")).alias("mixed"))
+    # written first, so that Spark deals out both sides of the join and can split a passage that many texts share
+    runs = cut(runs.where("n > 1").select("first", (F.col("lo") != F.col("hi")).alias("mixed")), "suffix-heads")
     members = cut(all_suffixes.join(runs, "first"), "suffix-runs")
     earliest = members.groupBy("first", "block", "mixed").agg(F.min(F.struct("doc", "at")).alias("e")).select("first", "block", "mixed", "e.doc", "e.at")
     earliest = cut(earliest, "suffix-classes")
@@ -126,6 +127,7 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, ke
     # one of each kind of block that has other kinds beside it: passage by passage
     single = cut(passages(earliest.where("mixed").select("doc", "at"), docs, least, key, text), "passages")
     firsts = single.groupBy("passage").agg(F.min(F.struct("doc", "start")).alias("e"), F.max(F.struct("doc", "start")).alias("l")).where("e < l").select("passage", "e")
+    firsts = cut(firsts, "first-passages")
     later = single.join(firsts, "passage").where(F.struct("doc", "start") > F.col("e")).select("doc", "start", (F.col("start") + least).alias("end"))
     return whole.unionAll(later)
 
