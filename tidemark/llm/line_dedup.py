@@ -22,8 +22,10 @@ from tidemark.llm.tables import cut
 #: Counters of word frequency: words share them by hash, so the table has a fixed size. The order
 #: that they give is the same for all lines, which is all that the prefix filter needs.
 COUNTERS = 1 << 20
-#: Up to this many sets under verification are sent to all executors (8 bytes each); more are joined by shuffle.
-BROADCAST_IDS = 1 << 19
+#: Ids of up to this many sets under verification are sent to all executors (8 bytes each); more are joined by shuffle.
+BROADCAST_IDS = 1 << 21
+#: Sets of more words than this have bitmaps of 128 bits, others of 64.
+WIDE = 48
 
 
 def line_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -81,10 +83,11 @@ def prefix_length(size: np.ndarray, least: float) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
-    """(word, id, bitmap, size, place) for the front words of every set, rare words first.
+    """(word, id, bitmap, wide, size, place) for the front words of every set, rare words first.
 
-    The bitmap has the parity of the words that fall on each of 64 bits, so two
-    bitmaps differ in no more bits than the sets do in words. A word whose
+    The bitmap has the parity of the words that fall on each bit, so two bitmaps
+    differ in no more bits than the sets do in words. ``wide`` is its other half
+    for large sets, where 64 bits would tell nothing, and 0 for small ones. A word whose
     counter is 1 is in one set alone and can't be shared.
     """
     shared = sets.sparkSession.sparkContext.broadcast(np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32))
@@ -100,14 +103,17 @@ def prefixes(sets: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
             order = np.lexsort((words, count, owner))
             place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             words, count = words[order], count[order]
-            bits = np.uint64(1) << (textgrams.mix(words.view(np.uint32).astype(np.uint64) + np.uint64(0x51ED27)) & np.uint64(63))
-            bitmap = np.bitwise_xor.reduceat(bits, np.cumsum(sizes) - sizes) if len(words) else np.zeros(0, np.uint64)
+            spot = textgrams.mix(words.view(np.uint32).astype(np.uint64) + np.uint64(0x51ED27))
+            bits = np.uint64(1) << (spot & np.uint64(63))
+            other = ((spot & np.uint64(64)) != 0) & (sizes > WIDE)[owner]
+            begins = np.cumsum(sizes) - sizes
+            halves = [np.bitwise_xor.reduceat(np.where(x, bits, np.uint64(0)), begins).view(np.int64) if len(words) else np.zeros(0, np.int64) for x in (~other, other)]
             front = (place < prefix_length(sizes, least)[owner]) & (count > 1)
             of = owner[front]
-            columns = [pa.array(words[front]), batch.column("same").take(pa.array(of)), pa.array(bitmap.view(np.int64)[of]), pa.array(sizes[of].astype(np.int32)), pa.array(place[front].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "id", "bitmap", "size", "place"])
+            columns = [pa.array(words[front]), batch.column("same").take(pa.array(of)), *(pa.array(x[of]) for x in halves), pa.array(sizes[of].astype(np.int32)), pa.array(place[front].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "id", "bitmap", "wide", "size", "place"])
 
-    return sets.select("same", "words").mapInArrow(task, "word int, id long, bitmap long, size int, place int")
+    return sets.select("same", "words").mapInArrow(task, "word int, id long, bitmap long, wide long, size int, place int")
 
 
 def candidates(front: DataFrame, least: float) -> DataFrame:
@@ -116,11 +122,18 @@ def candidates(front: DataFrame, least: float) -> DataFrame:
     sizes = F.col("x.size") + F.col("y.size")
     # words that must be shared, and words that may then be in one set only
     overlap = F.ceil(F.lit(least / (1 + least)) * sizes - 1e-9)
+    narrow, wide = F.col("x.bitmap").bitwiseXOR(F.col("y.bitmap")), F.col("x.wide").bitwiseXOR(F.col("y.wide"))
+    # a word's place among 128 bits and among 64 differ in the half alone, so a large set's halves fold to a small one's
+    mixed = (F.col("x.size") > WIDE) != (F.col("y.size") > WIDE)
+    differing = F.when(mixed, F.bit_count(narrow.bitwiseXOR(wide))).otherwise(F.bit_count(narrow) + F.bit_count(wide))
     fits = (
         (F.col("x.word") == F.col("y.word"))
         & (F.col("x.id") < F.col("y.id"))
-        & (F.bit_count(F.col("x.bitmap").bitwiseXOR(F.col("y.bitmap"))) <= sizes - 2 * overlap)
+        & (differing <= sizes - 2 * overlap)
         & (F.least("x.size", "y.size") >= F.lit(least) * F.greatest("x.size", "y.size") - 1e-9)
+        # the front words that this pair of sizes must share one of
+        & (F.col("x.place") <= F.col("x.size") - overlap)
+        & (F.col("y.place") <= F.col("y.size") - overlap)
         & (F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) + F.least("x.place", "y.place") >= overlap)
     )
     return one.join(two, fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
@@ -129,8 +142,8 @@ def candidates(front: DataFrame, least: float) -> DataFrame:
 def repeated_sets(sets: DataFrame, least: float) -> DataFrame:
     """(same): sets that have an earlier one (by doc, then line) of Jaccard similarity ``least`` or more."""
     pairs = cut(candidates(prefixes(sets, word_counts(sets), least), least), "line-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("same")).distinct()
-    if pairs.count() * 2 <= BROADCAST_IDS:
+    ids = cut(pairs.select("a").unionAll(pairs.select("b")).distinct().toDF("same"), "line-ids")
+    if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     known = sets.join(ids, "same", "left_semi").select("same", F.struct("doc", "line").alias("place"), "words")
     first = known.select(F.col("same").alias("a"), F.col("place").alias("place_a"), F.col("words").alias("words_a"))
@@ -145,7 +158,7 @@ def kept_lines(docs: DataFrame, least: float = 0.8, key: str = "doc_id", text: s
     """(doc, lines): numbers of the lines with a word that stay; documents that keep none have no row."""
     sets = line_sets(docs, key, text).groupBy("same").agg(F.min(F.struct("doc", "line", "words")).alias("r"))
     sets = cut(sets.select("same", "r.doc", "r.line", "r.words"), "line-sets")
-    kept = sets.select("same", "doc", "line").join(repeated_sets(sets, least), "same", "left_anti")
+    kept = sets.select("same", "doc", "line").join(cut(repeated_sets(sets, least), "repeated-sets"), "same", "left_anti")
     return kept.groupBy("doc").agg(F.collect_list("line").alias("lines"))
 
 

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Whether shuffle files go when a query ends.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,11 +28,18 @@ def shared_folder(spark: SparkSession) -> str:
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    The files outlive lost executors, and later readers prune columns. An
-    iterative job that is interrupted simply leaves its folder behind; the
-    cluster's policy for ``spark.checkpoint.dir`` removes it.
+    The files outlive lost executors, and later readers prune columns. They
+    hold hashes and texts, where dictionaries of values gain nothing. What
+    the write shuffled is removed once it is done, as nothing reads it again.
+    The folder stays behind; the cluster's policy for ``spark.checkpoint.dir``
+    removes it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
