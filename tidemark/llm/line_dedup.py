@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textgrams
@@ -24,12 +24,21 @@ from tidemark.llm.tables import cut
 COUNTERS = 1 << 20
 #: Ids of up to this many sets under verification are sent to all executors (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1 << 21
+#: Orders of words by which a line first meets the earliest line with the same least words.
+STAR_SALTS = (0x1F83D9AB, 0x5BE0CD19)
 #: Sets of more words than this have bitmaps of 128 bits, others of 64.
 WIDE = 48
 
 
 def line_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(same, doc, line, words): every line with a word; ``same`` is a hash of its set, words are distinct 32-bit hashes."""
+    """(same, doc, line, words, bitmap, wide, keys): every line with a word.
+
+    ``same`` is a hash of the line's set, words are distinct 32-bit hashes. The
+    bitmap has the parity of the words that fall on each bit, so two bitmaps
+    differ in no more bits than the sets do in words. ``wide`` is its other half
+    for large sets, where 64 bits would tell nothing, and 0 for small ones.
+    Each key hashes the two least words under one order; near sets share most.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -49,10 +58,32 @@ def line_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
                 number = which - np.searchsorted(owner, owner[which])
                 lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(line)).astype(np.int32)), pa.array(short.astype(np.uint32).view(np.int32)))
                 docs_of = part.column("doc").take(pa.array(owner[which]))
-                yield pa.RecordBatch.from_arrays([pa.array(same.view(np.int64)), docs_of, pa.array(number.astype(np.int32)), lists], names=["same", "doc", "line", "words"])
+                halves = _bitmaps(short, begins, ends - begins)
+                keys = np.stack([_least_two(short, begins, ends - begins, salt) for salt in STAR_SALTS], axis=1).ravel().view(np.int64)
+                key_lists = pa.ListArray.from_arrays(pa.array(np.arange(len(begins) + 1, dtype=np.int32) * len(STAR_SALTS)), pa.array(keys))
+                columns = [pa.array(same.view(np.int64)), docs_of, pa.array(number.astype(np.int32)), lists, *map(pa.array, halves), key_lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["same", "doc", "line", "words", "bitmap", "wide", "keys"])
 
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).where("doc IS NOT NULL")
-    return rows.mapInArrow(task, f"same long, doc {rows.schema['doc'].dataType.simpleString()}, line int, words array<int>")
+    return rows.mapInArrow(task, f"same long, doc {rows.schema['doc'].dataType.simpleString()}, line int, words array<int>, bitmap long, wide long, keys array<long>")
+
+
+def _bitmaps(words: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(words):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    spot = textgrams.mix(words.astype(np.uint64) + np.uint64(0x51ED27))
+    bits = np.uint64(1) << (spot & np.uint64(63))
+    other = ((spot & np.uint64(64)) != 0) & np.repeat(sizes > WIDE, sizes)
+    return tuple(np.bitwise_xor.reduceat(np.where(x, bits, np.uint64(0)), begins).view(np.int64) for x in (~other, other))
+
+
+def _least_two(words: np.ndarray, begins: np.ndarray, sizes: np.ndarray, salt: int) -> np.ndarray:
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    order = textgrams.mix(words.astype(np.uint64) + np.uint64(salt))
+    first = np.minimum.reduceat(order, begins)
+    rest = np.where(order == np.repeat(first, sizes), np.uint64((1 << 64) - 1), order)  # a set of one word has no second
+    return textgrams.mix(first * np.uint64(31) + np.minimum.reduceat(rest, begins) + np.uint64(salt))
 
 
 def _counter(words: np.ndarray) -> np.ndarray:
@@ -83,12 +114,9 @@ def prefix_length(size: np.ndarray, least: float) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
-    """(word, id, bitmap, wide, size, place) for the front words of every set, rare words first.
+    """(word, id, bitmap, wide, size, place, done) for the front words of every set, rare words first.
 
-    The bitmap has the parity of the words that fall on each bit, so two bitmaps
-    differ in no more bits than the sets do in words. ``wide`` is its other half
-    for large sets, where 64 bits would tell nothing, and 0 for small ones. A word whose
-    counter is 1 is in one set alone and can't be shared.
+    A word whose counter is 1 is in one set alone and can't be shared.
     """
     shared = sets.sparkSession.sparkContext.broadcast(np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32))
 
@@ -103,34 +131,36 @@ def prefixes(sets: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
             order = np.lexsort((words, count, owner))
             place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             words, count = words[order], count[order]
-            spot = textgrams.mix(words.view(np.uint32).astype(np.uint64) + np.uint64(0x51ED27))
-            bits = np.uint64(1) << (spot & np.uint64(63))
-            other = ((spot & np.uint64(64)) != 0) & (sizes > WIDE)[owner]
-            begins = np.cumsum(sizes) - sizes
-            halves = [np.bitwise_xor.reduceat(np.where(x, bits, np.uint64(0)), begins).view(np.int64) if len(words) else np.zeros(0, np.int64) for x in (~other, other)]
             front = (place < prefix_length(sizes, least)[owner]) & (count > 1)
-            of = owner[front]
-            columns = [pa.array(words[front]), batch.column("same").take(pa.array(of)), *(pa.array(x[of]) for x in halves), pa.array(sizes[of].astype(np.int32)), pa.array(place[front].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "id", "bitmap", "wide", "size", "place"])
+            of = pa.array(owner[front])
+            given = [batch.column(c).take(of) for c in ("same", "bitmap", "wide")]
+            columns = [pa.array(words[front]), *given, pa.array(sizes[owner[front]].astype(np.int32)), pa.array(place[front].astype(np.int32)), batch.column("done").take(of)]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "id", "bitmap", "wide", "size", "place", "done"])
 
-    return sets.select("same", "words").mapInArrow(task, "word int, id long, bitmap long, wide long, size int, place int")
+    return sets.select("same", "words", "bitmap", "wide", "done").mapInArrow(task, "word int, id long, bitmap long, wide long, size int, place int, done boolean")
 
 
-def candidates(front: DataFrame, least: float) -> DataFrame:
-    """(a, b): pairs of sets that pass all filters, once each."""
-    one, two = front.alias("x"), front.alias("y")
-    sizes = F.col("x.size") + F.col("y.size")
-    # words that must be shared, and words that may then be in one set only
-    overlap = F.ceil(F.lit(least / (1 + least)) * sizes - 1e-9)
-    narrow, wide = F.col("x.bitmap").bitwiseXOR(F.col("y.bitmap")), F.col("x.wide").bitwiseXOR(F.col("y.wide"))
+def _may_be_near(x: str, y: str, least: float) -> tuple[Column, Column]:
+    """Whether sizes and bitmaps allow two sets to be similar, and the words that they must share."""
+    size_x, size_y = F.col(f"{x}.size"), F.col(f"{y}.size")
+    overlap = F.ceil(F.lit(least / (1 + least)) * (size_x + size_y) - 1e-9)
+    narrow, wide = (F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}")) for c in ("bitmap", "wide"))
     # a word's place among 128 bits and among 64 differ in the half alone, so a large set's halves fold to a small one's
-    mixed = (F.col("x.size") > WIDE) != (F.col("y.size") > WIDE)
+    mixed = (size_x > WIDE) != (size_y > WIDE)
     differing = F.when(mixed, F.bit_count(narrow.bitwiseXOR(wide))).otherwise(F.bit_count(narrow) + F.bit_count(wide))
+    near_size = F.least(size_x, size_y) >= F.lit(least) * F.greatest(size_x, size_y) - 1e-9
+    return near_size & (differing <= size_x + size_y - 2 * overlap), overlap
+
+
+def candidates(front: DataFrame, least: float) -> DataFrame:
+    """(a, b): pairs of sets that pass all filters, once each; not of two that are settled already."""
+    one, two = front.alias("x"), front.alias("y")
+    may, overlap = _may_be_near("x", "y", least)
     fits = (
         (F.col("x.word") == F.col("y.word"))
         & (F.col("x.id") < F.col("y.id"))
-        & (differing <= sizes - 2 * overlap)
-        & (F.least("x.size", "y.size") >= F.lit(least) * F.greatest("x.size", "y.size") - 1e-9)
+        & ~(F.col("x.done") & F.col("y.done"))
+        & may
         # the front words that this pair of sizes must share one of
         & (F.col("x.place") <= F.col("x.size") - overlap)
         & (F.col("y.place") <= F.col("y.size") - overlap)
@@ -139,9 +169,19 @@ def candidates(front: DataFrame, least: float) -> DataFrame:
     return one.join(two, fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
-def repeated_sets(sets: DataFrame, least: float) -> DataFrame:
-    """(same): sets that have an earlier one (by doc, then line) of Jaccard similarity ``least`` or more."""
-    pairs = cut(candidates(prefixes(sets, word_counts(sets), least), least), "line-pairs")
+def star_candidates(sets: DataFrame, least: float) -> DataFrame:
+    """(a, b): each set with the earliest one that shares a key, where they may be similar."""
+    rows = sets.select("same", F.size("words").alias("size"), "bitmap", "wide", F.struct("doc", "line").alias("place"), F.explode("keys").alias("key"))
+    heads = rows.groupBy("key").agg(F.min(F.struct("place", "same", "size", "bitmap", "wide")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written first, so that Spark deals out both sides of the join and can split a key that many share
+    heads = cut(heads.select("key", "h.same", "h.size", "h.bitmap", "h.wide"), "line-heads")
+    may, _ = _may_be_near("x", "y", least)
+    met = rows.alias("x").join(heads.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.same") != F.col("y.same")) & may)
+    return met.select(F.col("x.same").alias("a"), F.col("y.same").alias("b")).distinct()
+
+
+def later_of(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(same): the later set of every pair that is similar indeed."""
     ids = cut(pairs.select("a").unionAll(pairs.select("b")).distinct().toDF("same"), "line-ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -154,10 +194,27 @@ def repeated_sets(sets: DataFrame, least: float) -> DataFrame:
     return verified.select(F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b")).alias("same")).distinct()
 
 
+def repeated_sets(sets: DataFrame, least: float) -> DataFrame:
+    """(same): sets that have an earlier one (by doc, then line) of Jaccard similarity ``least`` or more.
+
+    Sets that are near the earliest of their key are settled first; pairs of
+    two settled ones need no look, so a group of near sets costs pairs with its
+    few others and not with its square. All other pairs go through the join.
+    """
+    settled = cut(later_of(cut(star_candidates(sets, least), "line-stars"), sets, least), "settled-sets")
+    side = settled.withColumn("done", F.lit(True))
+    if settled.count() <= BROADCAST_IDS:
+        side = F.broadcast(side)
+    marked = sets.select("same", "words", "bitmap", "wide").join(side, "same", "left").withColumn("done", F.coalesce("done", F.lit(False)))
+    pairs = cut(candidates(prefixes(marked, word_counts(sets), least), least), "line-pairs")
+    return later_of(pairs, sets, least).unionAll(settled).distinct()
+
+
 def kept_lines(docs: DataFrame, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, lines): numbers of the lines with a word that stay; documents that keep none have no row."""
-    sets = line_sets(docs, key, text).groupBy("same").agg(F.min(F.struct("doc", "line", "words")).alias("r"))
-    sets = cut(sets.select("same", "r.doc", "r.line", "r.words"), "line-sets")
+    given = ("doc", "line", "words", "bitmap", "wide", "keys")
+    sets = line_sets(docs, key, text).groupBy("same").agg(F.min(F.struct(*given)).alias("r"))
+    sets = cut(sets.select("same", *(f"r.{c}" for c in given)), "line-sets")
     kept = sets.select("same", "doc", "line").join(cut(repeated_sets(sets, least), "repeated-sets"), "same", "left_anti")
     return kept.groupBy("doc").agg(F.collect_list("line").alias("lines"))
 
