@@ -54,7 +54,7 @@ def business_ms(value: Column) -> Column:
     text = F.trim(value)
     number = F.when(text.rlike(INTEGER), text.try_cast("long"))
     # ISO digits are read field by field, so the session's time zone plays no part
-    clean = F.regexp_replace(F.regexp_replace(text, "T", " "), r"(\.\d{1,6})?\d*Z$", "$1")
+    clean = F.regexp_replace(F.regexp_replace(text, "T", " "), r"(\.\d{1,6})\d*Z$|Z$", "$1")
     iso = F.when(text.rlike(ISO_TIME), _iso_ms(clean))
     inside = lambda x: F.when(x.between(FIRST_SECOND * 1000, LAST_SECOND * 1000), x)
     seconds = F.when(number.between(FIRST_SECOND, LAST_SECOND), number * 1000)
