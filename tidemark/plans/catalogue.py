@@ -1,6 +1,7 @@
 """All queries; importing the operators registers them."""
 
-from tidemark.operators import folds, inbox, joins, probe, reconcile, windows  # noqa: F401
+from tidemark.operators import folds, inbox, joins, listings, probe, reconcile, verifier, windows  # noqa: F401
+from tidemark.sources import pages  # noqa: F401
 from tidemark.streaming import state  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
