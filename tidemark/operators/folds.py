@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.registry import query
-from tidemark.sources.journal import JOURNAL_SQL, journal
+from tidemark.sources.journal import HOUR, JOURNAL_SQL, NOW, journal
 
 Machine = Mapping[str, tuple[str, str, str]]
 
@@ -190,20 +190,21 @@ def apply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states.groupBy(final.alias("final_status"), "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
-FENCE = 3_000
+#: The fence, in arrival time.
+FENCE = NOW - 10 * 24 * HOUR
 
 
-@query("replay_after_fence", JOURNAL_SQL + f""", later AS (SELECT * FROM j WHERE order_hash IS NOT NULL AND event_id > {FENCE} AND event_ms > (SELECT max(event_ms) FROM j WHERE event_id <= {FENCE}) - 86400000),
-baseline AS (SELECT DISTINCT order_hash FROM j WHERE event_type = 'item_listed' AND event_id <= {FENCE}),
+@query("replay_after_fence", JOURNAL_SQL + f""", later AS (SELECT * FROM j WHERE order_hash IS NOT NULL AND received_ms > {FENCE} AND event_ms > (SELECT max(event_ms) FROM j WHERE received_ms <= {FENCE}) - 86400000),
+baseline AS (SELECT DISTINCT order_hash FROM j WHERE event_type = 'item_listed' AND received_ms <= {FENCE}),
 folded AS (SELECT order_hash, """ + duck_fold(ORDER_MACHINE, ORDER_ACTION, "", ORDER_EVENT) + """.s AS s, count(*) AS replayed FROM later JOIN baseline USING (order_hash) GROUP BY order_hash)
 SELECT b.order_hash, coalesce(s.status, 'none') AS status, coalesce(s.is_active, false) AS is_active, coalesce(replayed, 0) AS replayed FROM baseline b LEFT JOIN folded f USING (order_hash)""")
 def replay_after_fence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of a baseline, replayed with events behind the fence whose business time is after the snapshot."""
     rows = journal(spark, sf_dir)
     orders = rows.where("order_hash IS NOT NULL")
-    end = rows.where(F.col("event_id") <= FENCE).agg((F.max("event_ms") - 86_400_000).alias("end"))
-    later = orders.where(F.col("event_id") > FENCE).crossJoin(F.broadcast(end)).where("event_ms > end").drop("end")  # one row
-    base = orders.where((F.col("event_type") == "item_listed") & (F.col("event_id") <= FENCE)).select("order_hash").distinct()
+    end = rows.where(F.col("received_ms") <= FENCE).agg((F.max("event_ms") - 86_400_000).alias("end"))
+    later = orders.where(F.col("received_ms") > FENCE).crossJoin(F.broadcast(end)).where("event_ms > end").drop("end")  # one row
+    base = orders.where((F.col("event_type") == "item_listed") & (F.col("received_ms") <= FENCE)).select("order_hash").distinct()
     grouped = ordered_events(later.join(base, "order_hash", "left_semi"), "order_hash", ORDER_EVENT)
     folded = grouped.select("order_hash", F.expr(spark_fold(ORDER_MACHINE, ORDER_ACTION, "events")).alias("s"), F.size("events").cast("long").alias("replayed"))
     joined = base.join(folded, "order_hash", "left")

@@ -206,14 +206,14 @@ def count_pack_before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("journal_signature", JOURNAL_SQL + """
-SELECT event_type, count(*) AS n, md5(string_agg(event_id || ':' || processing_status || ':' || coalesce(event_version, -1), chr(10) ORDER BY event_id)) AS signature
-FROM j WHERE received_ms < 1704153600000 GROUP BY event_type""")
+SELECT token_id, count(*) AS n, md5(string_agg(event_id || ':' || processing_status || ':' || coalesce(event_version, -1), chr(10) ORDER BY event_id)) AS signature
+FROM j GROUP BY token_id""")
 def journal_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signature of a bounded set of rows (one day), as before and after a guarded run."""
+    """Signature of each asset's rows, to be compared before and after a guarded run."""
     line = F.concat_ws(":", F.col("event_id").cast("string"), "processing_status", F.coalesce("event_version", F.lit(-1)).cast("string"))
-    day = journal(spark, sf_dir).where(F.col("received_ms") < 1_704_153_600_000).select("event_type", F.struct("event_id", line.alias("line")).alias("x"))
-    parts = day.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("x")).alias("xs"))
-    return parts.select("event_type", "n", F.md5(F.array_join("xs.line", "\n")).alias("signature"))
+    lines = journal(spark, sf_dir).select("token_id", F.struct("event_id", line.alias("line")).alias("x"))
+    parts = lines.groupBy("token_id").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("x")).alias("xs"))
+    return parts.select("token_id", "n", F.md5(F.array_join("xs.line", "\n")).alias("signature"))
 
 
 @query("type_distribution_map", JOURNAL_SQL + """

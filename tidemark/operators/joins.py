@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.inbox import KEYED_SQL, with_dedupe_key
 from tidemark.plans.registry import query
-from tidemark.sources.journal import JOURNAL_SQL, NOW, journal, read
+from tidemark.sources.journal import HOUR, JOURNAL_SQL, NOW, journal, read
 
 NFT = ["chain", "contract_address", "token_id"]
 
@@ -81,12 +81,12 @@ def same_second_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The snapshot of the join queries: orders that a sweep of the last listings would have seen.
-SNAPSHOT_SQL = LATEST_SQL + """, seen AS (SELECT DISTINCT order_hash FROM j WHERE event_type = 'item_listed' AND k % 2 = 0)
+SNAPSHOT_SQL = LATEST_SQL + """, seen AS (SELECT DISTINCT order_hash FROM j WHERE event_type = 'item_listed' AND seller IS NOT NULL)
 """
 
 
 def snapshot(rows: DataFrame) -> DataFrame:
-    return rows.where("event_type = 'item_listed' AND k % 2 = 0").select("order_hash").distinct()
+    return rows.where("event_type = 'item_listed' AND seller IS NOT NULL").select("order_hash").distinct()
 
 
 @query("set_reconciliation", SNAPSHOT_SQL + """
@@ -110,14 +110,18 @@ def order_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("order_hash", F.array_join("ids", ",").alias("event_ids"), F.array_join("types", ",").alias("types"), "n")
 
 
-@query("window_status_tally", JOURNAL_SQL + """
+#: The window of an observation round: after its low-water mark, up to its high-water mark.
+WINDOW = (NOW - 5 * 24 * HOUR, NOW)
+
+
+@query("window_status_tally", JOURNAL_SQL + f"""
 SELECT count(*) AS relevant, count(*) FILTER (WHERE processing_status = 'pending') AS pending, count(*) FILTER (WHERE processing_status = 'processing') AS processing,
        count(*) FILTER (WHERE processing_status = 'failed') AS failed, count(*) FILTER (WHERE processing_status = 'reconciliation_required') AS reconciliation_required
-FROM j WHERE event_id > 100 AND event_id <= 900 AND (order_hash IS NOT NULL OR token_id IN (SELECT DISTINCT token_id FROM j WHERE event_type = 'item_listed' AND event_id <= 500))""")
+FROM j WHERE received_ms > {WINDOW[0]} AND received_ms <= {WINDOW[1]} AND (order_hash IS NOT NULL OR token_id IN (SELECT token_id FROM j WHERE event_type = 'item_listed' AND received_ms <= {WINDOW[0]} AND expiration_ms > {WINDOW[1]}))""")
 def window_status_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = journal(spark, sf_dir)
-    window = rows.where("event_id > 100 AND event_id <= 900")
-    scope = rows.where("event_type = 'item_listed' AND event_id <= 500").select(*NFT).distinct()
+    window = rows.where((F.col("received_ms") > WINDOW[0]) & (F.col("received_ms") <= WINDOW[1]))
+    scope = rows.where("event_type = 'item_listed'").where((F.col("received_ms") <= WINDOW[0]) & (F.col("expiration_ms") > WINDOW[1])).select(*NFT).distinct()
     transfers = window.where("order_hash IS NULL").join(scope, NFT, "left_semi").select("processing_status")
     relevant = window.where("order_hash IS NOT NULL").select("processing_status").unionAll(transfers)
     statuses = ("pending", "processing", "failed", "reconciliation_required")
@@ -132,13 +136,13 @@ def high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PUBLICATIONS_SQL = """
-WITH pub AS (SELECT o_orderkey AS publication_id, o_custkey % 50 AS commitment, o_orderkey % 997 AS sequence, CASE o_orderstatus WHEN 'O' THEN 'ACCEPTED' WHEN 'F' THEN 'REJECTED' ELSE 'DRAFT' END AS state FROM orders)
+WITH pub AS (SELECT o_orderkey AS publication_id, o_custkey AS commitment, o_orderkey % 997 AS sequence, CASE o_orderstatus WHEN 'O' THEN 'ACCEPTED' WHEN 'F' THEN 'REJECTED' ELSE 'DRAFT' END AS state FROM orders)
 """
 
 
 def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = F.when(F.col("o_orderstatus") == "O", "ACCEPTED").when(F.col("o_orderstatus") == "F", "REJECTED").otherwise("DRAFT")
-    return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("publication_id"), (F.col("o_custkey") % 50).alias("commitment"), (F.col("o_orderkey") % 997).alias("sequence"), state.alias("state"))
+    return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("publication_id"), F.col("o_custkey").alias("commitment"), (F.col("o_orderkey") % 997).alias("sequence"), state.alias("state"))
 
 
 @query("current_generation", PUBLICATIONS_SQL + """, accepted AS (SELECT commitment, max(sequence) AS sequence FROM pub WHERE state = 'ACCEPTED' GROUP BY commitment)
@@ -152,15 +156,15 @@ def current_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("commitment", "sequence", "candidates", F.when(sole, "CURRENT").otherwise("CONFLICT").alias("verdict"), F.when(sole, F.col("publication_id")).alias("publication_id"))
 
 
-@query("nearest_publication", PUBLICATIONS_SQL + """, attempts AS (SELECT c_custkey AS attempt_id, c_custkey % 50 AS commitment, c_custkey % 997 AS current FROM customer),
+@query("nearest_publication", PUBLICATIONS_SQL + """, attempts AS (SELECT c_custkey AS attempt_id, c_custkey AS commitment, c_custkey % 997 AS current FROM customer),
 grouped AS (SELECT attempt_id, current, count(sequence) AS n, min(sequence) AS lo, max(sequence) AS hi
-  FROM attempts LEFT JOIN (SELECT DISTINCT commitment, sequence FROM pub WHERE state = 'ACCEPTED' AND sequence % 7 = 3) USING (commitment) GROUP BY ALL)
+  FROM attempts LEFT JOIN (SELECT DISTINCT commitment, sequence FROM pub WHERE state = 'ACCEPTED') USING (commitment) GROUP BY ALL)
 SELECT attempt_id, CASE WHEN n = 0 THEN 'UNPROVEN' WHEN n = 1 OR lo > current OR hi < current THEN 'PROVEN' ELSE 'CONFLICT' END AS verdict,
        CASE WHEN n = 0 THEN NULL WHEN n = 1 OR lo > current THEN lo WHEN hi < current THEN hi END AS sequence FROM grouped""")
 def nearest_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All accepted publications above: the least; all below: the greatest; on both sides: a conflict."""
-    known = publications(spark, sf_dir).where("state = 'ACCEPTED' AND sequence % 7 = 3").groupBy("commitment").agg(F.count_distinct("sequence").alias("n"), F.min("sequence").alias("lo"), F.max("sequence").alias("hi"))
-    attempts = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("attempt_id"), (F.col("c_custkey") % 50).alias("commitment"), (F.col("c_custkey") % 997).alias("current"))
+    known = publications(spark, sf_dir).where("state = 'ACCEPTED'").groupBy("commitment").agg(F.count_distinct("sequence").alias("n"), F.min("sequence").alias("lo"), F.max("sequence").alias("hi"))
+    attempts = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("attempt_id"), F.col("c_custkey").alias("commitment"), (F.col("c_custkey") % 997).alias("current"))
     above, below, one = F.col("lo") > F.col("current"), F.col("hi") < F.col("current"), F.col("n") == 1
     verdict = F.when(F.col("n").isNull(), "UNPROVEN").when(one | above | below, "PROVEN").otherwise("CONFLICT")
     return attempts.join(known, "commitment", "left").select("attempt_id", verdict.alias("verdict"), F.when(one | above, F.col("lo")).when(below, F.col("hi")).alias("sequence"))
@@ -206,13 +210,14 @@ def live_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return active_orders(journal(spark, sf_dir)).where("expiration_ms IS NOT NULL").select("order_hash", "token_id", "expiration_ms", live.alias("visible"), F.when(live, "active").otherwise("expired").alias("status"))
 
 
-@query("fence_compare", JOURNAL_SQL + """, f AS (
-SELECT token_id, string_agg(event_id || '/' || processing_status, ',' ORDER BY event_id) FILTER (WHERE event_id <= 600) AS before_fence,
-       string_agg(event_id || '/' || processing_status, ',' ORDER BY event_id) FILTER (WHERE event_id <= 700) AS after_fence FROM j WHERE event_id <= 700 GROUP BY token_id)
+@query("fence_compare", JOURNAL_SQL + f""", f AS (
+SELECT token_id, string_agg(event_id || '/' || processing_status, ',' ORDER BY event_id) FILTER (WHERE received_ms <= {NOW}) AS before_fence,
+       string_agg(event_id || '/' || processing_status, ',' ORDER BY event_id) FILTER (WHERE received_ms <= {NOW + 24 * HOUR}) AS after_fence FROM j GROUP BY token_id)
 SELECT token_id, sha256(coalesce(before_fence, '')) AS pre, sha256(coalesce(after_fence, '')) AS post, coalesce(before_fence, '') = coalesce(after_fence, '') AS unchanged FROM f""")
 def fence_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of an asset's events at two fences over a bounded window of ids."""
+    """Fingerprints of each asset's events at two fences, a day apart."""
     entry = F.struct("event_id", F.concat(F.col("event_id").cast("string"), F.lit("/"), F.col("processing_status")).alias("text"))
-    rows = journal(spark, sf_dir).where("event_id <= 700").groupBy("token_id").agg(F.array_sort(F.collect_list(F.when(F.col("event_id") <= 600, entry))).alias("a"), F.array_sort(F.collect_list(entry)).alias("b"))
+    until = lambda fence: F.array_sort(F.collect_list(F.when(F.col("received_ms") <= fence, entry)))
+    rows = journal(spark, sf_dir).groupBy("token_id").agg(until(NOW).alias("a"), until(NOW + 24 * HOUR).alias("b"))
     pre, post = (F.sha2(F.array_join(f"{x}.text", ","), 256) for x in "ab")
     return rows.select("token_id", pre.alias("pre"), post.alias("post"), (pre == post).alias("unchanged"))

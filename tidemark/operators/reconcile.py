@@ -62,11 +62,11 @@ STATUS_REASONS = {"pending": "PENDING_EVENT", "processing": "PROCESSING_EVENT",
 
 
 @query("snapshot_presence", LATEST_SQL + f""", local AS (SELECT *, last_type <> 'item_listed' AS inactive FROM latest),
-seen AS (SELECT DISTINCT order_hash FROM j WHERE event_type = 'item_listed' AND k % 2 = 0 AND received_ms <= {BASELINE}),
+seen AS (SELECT DISTINCT order_hash FROM j WHERE event_type = 'item_listed' AND seller IS NOT NULL AND received_ms <= {BASELINE}),
 hits AS (SELECT order_hash, unnest(list_filter([
     CASE processing_status WHEN 'pending' THEN 'PENDING_EVENT' WHEN 'processing' THEN 'PROCESSING_EVENT' WHEN 'failed' THEN 'FAILED_EVENT' WHEN 'reconciliation_required' THEN 'UNRESOLVED_EVENT' END,
     CASE WHEN received_ms > {BASELINE} THEN 'NEWER_EVENT_AFTER_BASELINE' END, CASE WHEN event_version IS NULL THEN 'EVENT_ORDERING_AMBIGUOUS' END], lambda x: x IS NOT NULL)) AS reason
-  FROM j WHERE order_hash IS NOT NULL AND k < 4),
+  FROM j WHERE order_hash IS NOT NULL AND received_ms BETWEEN {BASELINE} - {12 * HOUR} AND {BASELINE} + {12 * HOUR}),
 own AS (SELECT order_hash, 'ORDER_NOT_ACTIVE' AS reason FROM local WHERE inactive AND n_events % 2 = 0),
 reasons AS (SELECT order_hash, string_agg(DISTINCT reason, ',' ORDER BY reason) AS reasons FROM (SELECT * FROM hits UNION ALL SELECT * FROM own) GROUP BY order_hash)
 SELECT l.order_hash, s.order_hash IS NOT NULL AS seen, coalesce(r.reasons, '') AS reasons,
@@ -76,8 +76,8 @@ def snapshot_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Local orders against a complete snapshot: present, absent, or blocked by what the journal still holds."""
     rows = journal(spark, sf_dir)
     local = latest_orders(rows).select("order_hash", ((F.col("last_type") != "item_listed") & (F.col("n_events") % 2 == 0)).alias("inactive"))
-    seen = rows.where((F.col("event_type") == "item_listed") & (F.col("k") % 2 == 0) & (F.col("received_ms") <= BASELINE)).select("order_hash").distinct().withColumn("is_seen", F.lit(True))
-    return classify_candidates(local, seen, rows.where("order_hash IS NOT NULL AND k < 4"), BASELINE)
+    seen = rows.where((F.col("event_type") == "item_listed") & F.col("seller").isNotNull() & (F.col("received_ms") <= BASELINE)).select("order_hash").distinct().withColumn("is_seen", F.lit(True))
+    return classify_candidates(local, seen, rows.where("order_hash IS NOT NULL").where(F.col("received_ms").between(BASELINE - 12 * HOUR, BASELINE + 12 * HOUR)), BASELINE)
 
 
 def classify_candidates(local: DataFrame, seen: DataFrame, events: DataFrame, baseline: int) -> DataFrame:
@@ -144,11 +144,11 @@ def ladder(checks: dict[str, Column]) -> Column:
     return found
 
 
-@query("generation_evaluation", JOURNAL_SQL + """, rounds AS (SELECT token_id AS sweep, received_ms // 86400000 AS round, max(event_id) AS high_water, count(*) FILTER (WHERE processing_status IN ('pending', 'processing', 'failed') AND k % 4 = 0) AS open FROM j GROUP BY ALL),
+@query("generation_evaluation", JOURNAL_SQL + """, rounds AS (SELECT token_id AS sweep, received_ms // 86400000 AS round, max(event_id) AS high_water, count(*) FILTER (WHERE processing_status IN ('pending', 'processing', 'failed') AND attempt_count >= 4) AS open FROM j GROUP BY ALL),
 counted AS (SELECT sweep, count(*) AS rounds, sum(open) AS open_total, arg_max(open, round) AS open_last, max(high_water) AS fence FROM rounds GROUP BY sweep)
 SELECT sweep, fence, CASE WHEN rounds < 2 THEN 'OPEN' WHEN rounds > 27 THEN 'ABORTED' WHEN open_last > 0 THEN 'CATCHING_UP' WHEN open_total = 0 THEN 'TRANSPORT_COMPLETE' ELSE 'VERIFIED' END AS state FROM counted""")
 def generation_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unsettled = F.col("processing_status").isin("pending", "processing", "failed") & (F.col("k") % 4 == 0)
+    unsettled = F.col("processing_status").isin("pending", "processing", "failed") & (F.col("attempt_count") >= 4)
     rounds = journal(spark, sf_dir).groupBy(F.col("token_id").alias("sweep"), F.expr("received_ms div 86400000").alias("round")).agg(F.max("event_id").alias("high_water"), F.count_if(unsettled).alias("open"))
     counted = rounds.groupBy("sweep").agg(F.count(F.lit(1)).alias("rounds"), F.sum("open").alias("open_total"), F.max_by("open", "round").alias("open_last"), F.max("high_water").alias("fence"))
     state = F.when(F.col("rounds") < 2, "OPEN").when(F.col("rounds") > 27, "ABORTED").when(F.col("open_last") > 0, "CATCHING_UP").when(F.col("open_total") == 0, "TRANSPORT_COMPLETE").otherwise("VERIFIED")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import normalise as N
@@ -79,12 +79,10 @@ def verifier_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attempts(spark, sf_dir).select("attempt_id", why.alias("reasons"))
 
 
-@query("permit_throttle", ATTEMPTS_SQL + """, asked AS (SELECT attempt_id, row_number() OVER (ORDER BY lease_ms, attempt_id) - 1 AS place FROM attempts WHERE lifecycle = 'CREATED' AND subject < 60)
-SELECT attempt_id, place // 2 AS second, CAST(place % 2 AS INTEGER) AS permit FROM asked""")
+@query("permit_throttle", ATTEMPTS_SQL + """, asked AS (SELECT attempt_id, subject, row_number() OVER (PARTITION BY subject ORDER BY lease_ms, attempt_id) - 1 AS place FROM attempts WHERE lifecycle = 'CREATED')
+SELECT attempt_id, subject, place // 2 AS second, CAST(place % 2 AS INTEGER) AS permit FROM asked""")
 def permit_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two requests a second, in order: the control plane's batch of at most a few hundred attempts."""
-    from pyspark.sql import Window
-
-    asked = attempts(spark, sf_dir).where("lifecycle = 'CREATED' AND subject < 60")
-    place = F.row_number().over(Window.orderBy("lease_ms", "attempt_id")) - 1
-    return asked.select("attempt_id", place.alias("place")).select("attempt_id", F.expr("place div 2").alias("second"), (F.col("place") % 2).alias("permit"))
+    """Two requests a second for each subject, in the order of their leases."""
+    asked = attempts(spark, sf_dir).where("lifecycle = 'CREATED'")
+    place = F.row_number().over(Window.partitionBy("subject").orderBy("lease_ms", "attempt_id")) - 1
+    return asked.select("attempt_id", "subject", place.alias("place")).select("attempt_id", "subject", F.expr("place div 2").alias("second"), (F.col("place") % 2).alias("permit"))

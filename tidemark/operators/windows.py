@@ -9,19 +9,18 @@ from tidemark.plans.registry import query
 from tidemark.sources.journal import HOUR, JOURNAL_SQL, journal
 
 
-@query("capture_caps", JOURNAL_SQL + """, day AS (SELECT * FROM j WHERE received_ms < 1704153600000),
-typed AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM day),
+@query("capture_caps", JOURNAL_SQL + """, typed AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM j),
 kept AS (SELECT *, row_number() OVER (ORDER BY event_id) AS overall FROM typed WHERE rn <= 40)
 SELECT event_id, event_type, rn, overall, rn = 1 OR rn % 10 = 0 AS sampled FROM kept WHERE overall <= 150""")
 def capture_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 40 of each kind, then the first 150 of those, of one day's capture; every tenth is sampled.
+    """The first 40 of each kind, then the first 150 of those; every tenth is sampled.
 
     The caps are the feature. Each kind's head is a top-k, so the rows that are
     numbered as a whole are 200 at most.
     """
-    day = journal(spark, sf_dir).where(F.col("received_ms") < 1_704_153_600_000).select("event_id", "event_type")
+    rows = journal(spark, sf_dir).select("event_id", "event_type")
     kinds = ("item_listed", "item_sold", "item_cancelled", "item_transferred", "order_invalidate")
-    heads = [day.where(F.col("event_type") == k).orderBy("event_id").limit(40) for k in kinds]
+    heads = [rows.where(F.col("event_type") == k).orderBy("event_id").limit(40) for k in kinds]
     together = heads[0]
     for head in heads[1:]:
         together = together.unionAll(head)
@@ -61,14 +60,14 @@ def lineage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ROUNDS_SQL = JOURNAL_SQL + """, rounds AS (
 SELECT token_id AS sweep, received_ms // 86400000 AS round, max(event_id) AS high_water,
-       count(*) FILTER (WHERE processing_status IN ('pending', 'processing', 'failed', 'reconciliation_required') AND k % 2 = 0) AS open
+       count(*) FILTER (WHERE processing_status IN ('pending', 'processing', 'failed', 'reconciliation_required') AND attempt_count >= 3) AS open
 FROM j GROUP BY ALL)
 """
 
 
 def catch_up_rounds(rows: DataFrame) -> DataFrame:
     """One round for each sweep (asset) and day: its high-water mark and the rows that are not settled."""
-    unsettled = F.col("processing_status").isin("pending", "processing", "failed", "reconciliation_required") & (F.col("k") % 2 == 0)
+    unsettled = F.col("processing_status").isin("pending", "processing", "failed", "reconciliation_required") & (F.col("attempt_count") >= 3)
     return rows.groupBy(F.col("token_id").alias("sweep"), F.expr("received_ms div 86400000").alias("round")).agg(F.max("event_id").alias("high_water"), F.count_if(unsettled).alias("open"))
 
 
