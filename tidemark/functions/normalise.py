@@ -58,14 +58,14 @@ def business_ms(value: Column) -> Column:
     iso = F.when(text.rlike(ISO_TIME), _iso_ms(clean))
     inside = lambda x: F.when(x.between(FIRST_SECOND * 1000, LAST_SECOND * 1000), x)
     seconds = F.when(number.between(FIRST_SECOND, LAST_SECOND), number * 1000)
-    return F.coalesce(seconds, inside(number), inside(iso))
+    return F.coalesce(seconds, inside(number), inside(iso)).cast("long")
 
 
 def _iso_ms(clean: Column) -> Column:
     moment = clean.try_cast("timestamp_ntz")
     days = F.datediff(moment.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
     micros = F.round(F.extract(F.lit("SECOND"), moment) * 1000, 6)
-    return days * 86_400_000 + F.hour(moment) * 3_600_000 + F.minute(moment) * 60_000 + F.floor(micros)
+    return days * 86_400_000 + F.hour(moment) * 3_600_000 + F.minute(moment) * 60_000 + F.floor(micros).cast("long")
 
 
 def floor_second(ms: Column) -> Column:
