@@ -21,9 +21,10 @@ import regex
 from pyspark.sql import DataFrame
 
 from tidemark.llm import textgrams
+from tidemark.llm.tables import bound_batches
 
 #: Bytes of text in a slice: distinct words are gathered over this much.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 #: How words are cut before merging (fixed value of the vocabulary file).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
@@ -232,6 +233,7 @@ def vocabulary(source: str) -> WordBpe:
 
 def content(df: DataFrame, path: str):
     """The vocabulary file (a few MB at most) as a broadcast, so executors need no copy of it."""
+    bound_batches(df.sparkSession)
     with open(path, encoding="utf-8") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
 
@@ -242,7 +244,7 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = vocabulary(file.value)
-        for batch in batches:
+        for batch in textgrams.gathered(batches, BATCH_BYTES):
             for part, texts in textgrams.slices(batch, "text", BATCH_BYTES):
                 ids, starts = model.encode(texts)
                 lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int32)))
@@ -278,7 +280,7 @@ def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text"
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = vocabulary(file.value)
-        for batch in batches:
+        for batch in textgrams.gathered(batches, BATCH_BYTES):
             for part, texts in textgrams.slices(batch, "text", BATCH_BYTES):
                 ids, starts = model.encode(texts)
                 raw = memoryview(ids.astype("<u4").tobytes())

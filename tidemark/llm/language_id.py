@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textgrams
+from tidemark.llm.tables import bound_batches
 
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -196,6 +197,7 @@ def predict(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str
     that sorts first. Repeated rows are judged one by one. Columns of ``docs``
     that are named like the added ones are replaced.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textgrams
-from tidemark.llm.tables import cut
+from tidemark.llm.tables import bound_batches, cut
 
 #: Counters of word frequency: words share them by hash, so the table has a fixed size. The order
 #: that they give is the same for all lines, which is all that the prefix filter needs.
@@ -64,6 +64,7 @@ def line_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
                 columns = [pa.array(same.view(np.int64)), docs_of, pa.array(number.astype(np.int32)), lists, *map(pa.array, halves), key_lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["same", "doc", "line", "words", "bitmap", "wide", "keys"])
 
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).where("doc IS NOT NULL")
     return rows.mapInArrow(task, f"same long, doc {rows.schema['doc'].dataType.simpleString()}, line int, words array<int>, bitmap long, wide long, keys array<long>")
 

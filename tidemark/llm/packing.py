@@ -25,7 +25,7 @@ SEQUENCE = 2048
 CLOSING_ID = 1
 #: Hashed features, projected dimensions and bits of each dimension in the Hilbert key.
 FEATURES, DIMENSIONS, BITS = 256, 4, 12
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 6 << 20
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -85,7 +85,7 @@ def tokenise(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text"
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = bpe.vocabulary(file.value)
         width = "<u2" if len(model.tokens) <= 1 << 16 else "<u4"
-        for batch in batches:
+        for batch in textgrams.gathered(batches, BATCH_BYTES):
             for part, texts in textgrams.slices(batch, "text", BATCH_BYTES):
                 ids, starts = model.encode(texts)
                 closed = np.insert(ids, starts[1:], CLOSING_ID).astype(width)

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm import textgrams
+from tidemark.llm.tables import bound_batches
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -180,6 +181,7 @@ def judge(docs: DataFrame, limits: Limits = Limits(), key: str = "doc_id", text:
                     names.append("spans")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    bound_batches(docs.sparkSession)
     rows = docs.selectExpr(f"`{key}` AS key", f"`{text}` AS text")
     out = f"`{key}` {rows.schema['key'].dataType.simpleString()}, {', '.join(f'{c} long' for c in COUNTS)}, base_failed boolean, kept boolean"
     return rows.mapInArrow(task, out + ", spans array<array<long>>" * with_spans)

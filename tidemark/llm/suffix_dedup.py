@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textgrams
-from tidemark.llm.tables import cut
+from tidemark.llm.tables import bound_batches, cut
 
 #: Words from which on a repeated passage counts, and words that a suffix is first sorted by.
 LEAST, ANCHOR = 50, 25
@@ -79,6 +79,7 @@ def suffixes(docs: DataFrame, least: int, anchor: int, key: str, text: str) -> D
                 columns = [pa.array(first.view(np.int64)), pa.array(block.view(np.int64)), part.column("doc").take(pa.array(owner)), pa.array(at)]
                 yield pa.RecordBatch.from_arrays(columns, names=["first", "block", "doc", "at"])
 
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).where("doc IS NOT NULL")
     return rows.mapInArrow(task, f"first long, block long, doc {rows.schema['doc'].dataType.simpleString()}, at long")
 

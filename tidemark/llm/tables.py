@@ -16,6 +16,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a batch of rows on its way to or from a Python task. Texts are long, so the usual 64 MB
+#: (several times over, in the JVM and in Python) would take more memory than the work itself.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's limit on such batches; a lower one stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, "64m").rstrip("bB")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a folder of our own only where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: A slice of a batch holds about so many bytes of text (one longer text is a slice of its own).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -179,6 +179,20 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(body[at[0] : at[-1]], at - at[0])
 
 
+def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Small batches put together until they hold about ``limit`` bytes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """Cut a batch into runs of rows with about ``limit`` bytes of text each."""
     if not batch.num_rows:
