@@ -185,22 +185,35 @@ FROM keyed c LEFT JOIN (SELECT event_id, arg_min(verdict, peer_id) AS v FROM pai
 def durable_peer_safety(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first peer (by id) with the same identity and a comparable or missing version decides.
 
-    Peers are kept as sorted arrays per identity of five parts (one asset, kind
-    and instant), and each row finds its peer in them.
+    A row's peer is among the two least ids of its own version, of no version,
+    or (for a row without a version) of the whole identity. Those are ranked
+    per identity and version, which Spark cuts before the shuffle, so a group
+    of many equal rows costs no square.
     """
     rows = with_dedupe_key(journal(spark, sf_dir)).select(*PEER_GROUP, "event_id", "event_version", "transaction_hash", "dedupe_key")
-    mine, peer = rows.alias("c"), rows.alias("p")
-    same = [F.col(f"c.{c}") == F.col(f"p.{c}") for c in PEER_GROUP]
-    v, w, t, u = (F.col(x) for x in ("c.event_version", "p.event_version", "c.transaction_hash", "p.transaction_hash"))
+    two = least_of(rows, [*PEER_GROUP, "event_version"], 2)
+    peer = F.struct("event_id", "event_version", "transaction_hash", "dedupe_key").alias("peer")
+    # at most two rows a version, then two an identity, so these lists are short
+    own = two.groupBy(*PEER_GROUP, F.coalesce("event_version", F.lit(-1)).alias("version")).agg(F.collect_list(peer).alias("own"))
+    unversioned = two.where("event_version IS NULL").groupBy(*PEER_GROUP).agg(F.collect_list(peer).alias("unversioned"))
+    any_version = least_of(two, PEER_GROUP, 2).groupBy(*PEER_GROUP).agg(F.collect_list(peer).alias("any_version"))
+    known = rows.withColumn("version", F.coalesce("event_version", F.lit(-1)))
+    joined = known.join(own, [*PEER_GROUP, "version"], "left").join(any_version, PEER_GROUP, "left").join(unversioned, PEER_GROUP, "left")
+    pool = F.when(F.col("event_version").isNull(), F.col("any_version")).otherwise(F.concat("own", F.coalesce("unversioned", F.array().cast(joined.schema["own"].dataType))))
+    others = joined.withColumn("p", F.array_min(F.filter(pool, lambda x: x["event_id"] != F.col("event_id"))))
+    v, w, t, u = (F.col(x) for x in ("event_version", "p.event_version", "transaction_hash", "p.transaction_hash"))
     verdict = (
-        F.when(v.isNull() | w.isNull(), "AMBIGUOUS:same_identity_uncomparable_version").when(v != w, F.lit(None))
+        F.when(F.col("p").isNull(), "SAFE_UNIQUE:").when(v.isNull() | w.isNull(), "AMBIGUOUS:same_identity_uncomparable_version")
         .when(t.isNull() | u.isNull(), "AMBIGUOUS:same_identity_missing_transaction_hash").when(t != u, "CONFLICT:same_identity_different_transaction_hash")
-        .when(F.col("c.dedupe_key") == F.col("p.dedupe_key"), "EQUIVALENT_DUPLICATE:equivalent_durable_event_duplicate").otherwise("AMBIGUOUS:same_identity_inconsistent_durable_representation")
+        .when(F.col("dedupe_key") == F.col("p.dedupe_key"), "EQUIVALENT_DUPLICATE:equivalent_durable_event_duplicate").otherwise("AMBIGUOUS:same_identity_inconsistent_durable_representation")
     )
-    pairs = mine.join(peer, [*same, F.col("c.event_id") != F.col("p.event_id")]).select(F.col("c.event_id").alias("event_id"), F.col("p.event_id").alias("peer_id"), verdict.alias("verdict"))
-    first = pairs.where("verdict IS NOT NULL").groupBy("event_id").agg(F.min_by("verdict", "peer_id").alias("v"))
-    found = rows.select("event_id").join(first, "event_id", "left")
-    return found.select("event_id", F.coalesce(F.split_part("v", F.lit(":"), F.lit(1)), F.lit("SAFE_UNIQUE")).alias("classification"), F.coalesce(F.split_part("v", F.lit(":"), F.lit(2)), F.lit("")).alias("reason"))
+    return others.select("event_id", F.split_part(verdict, F.lit(":"), F.lit(1)).alias("classification"), F.split_part(verdict, F.lit(":"), F.lit(2)).alias("reason"))
+
+
+def least_of(rows: DataFrame, group: list[str], most: int) -> DataFrame:
+    """The rows with the least ids of each group."""
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("event_id"))
+    return rows.withColumn("place", place).where(F.col("place") <= most).drop("place")
 
 
 @query("live_listings", LATEST_SQL + f"""
