@@ -115,35 +115,49 @@ def prefix_length(size: np.ndarray, least: float) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
-    """(word, id, bitmap, wide, size, place, done) for the front words of every set, rare words first.
+    """(word, id, bitmap, wide, shape) for the front words of every set, rare words first.
 
-    A word whose counter is 1 is in one set alone and can't be shared.
+    A word whose counter is 1 is in one set alone and can't be shared. ``shape``
+    packs the set's size, the word's place in it, and whether the set is done,
+    as these rows are many. Words of one counter keep the order of their values,
+    which is the same in all sets.
     """
-    shared = sets.sparkSession.sparkContext.broadcast(np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32))
+    rank = np.empty(COUNTERS, np.int32)
+    rank[np.argsort(counts, kind="stable")] = np.arange(COUNTERS, dtype=np.int32)
+    shared = sets.sparkSession.sparkContext.broadcast((rank, counts > 1))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        rank, repeated = shared.value
         for batch in batches:
             lists = batch.column("words")
             words = lists.flatten().to_numpy()
             sizes = lists.value_lengths().to_numpy().astype(np.int64)
             owner = np.repeat(np.arange(len(sizes)), sizes)
-            count = table[_counter(words)]
-            order = np.lexsort((words, count, owner))
+            counter = _counter(words)
+            order = _in_order(owner * COUNTERS + rank[counter])
             place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            words, count = words[order], count[order]
-            front = (place < prefix_length(sizes, least)[owner]) & (count > 1)
-            of = pa.array(owner[front])
-            given = [batch.column(c).take(of) for c in ("same", "bitmap", "wide")]
-            columns = [pa.array(words[front]), *given, pa.array(sizes[owner[front]].astype(np.int32)), pa.array(place[front].astype(np.int32)), batch.column("done").take(of)]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "id", "bitmap", "wide", "size", "place", "done"])
+            front = np.flatnonzero(place < prefix_length(sizes, least)[owner])
+            front = front[repeated[counter[order[front]]]]
+            of = owner[front]
+            given = [batch.column(c).take(pa.array(of)) for c in ("same", "bitmap", "wide")]
+            shape = sizes[of] << 32 | place[front] << 1 | batch.column("done").to_numpy(zero_copy_only=False)[of]
+            yield pa.RecordBatch.from_arrays([pa.array(words[order[front]]), *given, pa.array(shape)], names=["word", "id", "bitmap", "wide", "shape"])
 
-    return sets.select("same", "words", "bitmap", "wide", "done").mapInArrow(task, "word int, id long, bitmap long, wide long, size int, place int, done boolean")
+    return sets.select("same", "words", "bitmap", "wide", "done").mapInArrow(task, "word int, id long, bitmap long, wide long, shape long")
 
 
-def _may_be_near(x: str, y: str, least: float) -> tuple[Column, Column]:
+def _in_order(keys: np.ndarray) -> np.ndarray:
+    """Places of the keys from least to greatest; equal keys stay in their order."""
+    bits = len(keys).bit_length()
+    if int(keys.max(initial=0)).bit_length() + bits > 63:
+        return np.argsort(keys, kind="stable")
+    packed = keys << bits | np.arange(len(keys))
+    packed.sort()
+    return packed & ((1 << bits) - 1)
+
+
+def _may_be_near(x: str, y: str, size_x: Column, size_y: Column, least: float) -> tuple[Column, Column]:
     """Whether sizes and bitmaps allow two sets to be similar, and the words that they must share."""
-    size_x, size_y = F.col(f"{x}.size"), F.col(f"{y}.size")
     overlap = F.ceil(F.lit(least / (1 + least)) * (size_x + size_y) - 1e-9)
     narrow, wide = (F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}")) for c in ("bitmap", "wide"))
     # a word's place among 128 bits and among 64 differ in the half alone, so a large set's halves fold to a small one's
@@ -156,16 +170,18 @@ def _may_be_near(x: str, y: str, least: float) -> tuple[Column, Column]:
 def candidates(front: DataFrame, least: float) -> DataFrame:
     """(a, b): pairs of sets that pass all filters, once each; not of two that are settled already."""
     one, two = front.alias("x"), front.alias("y")
-    may, overlap = _may_be_near("x", "y", least)
+    size = {s: F.shiftright(f"{s}.shape", 32) for s in "xy"}
+    place = {s: F.shiftright(f"{s}.shape", 1).bitwiseAND(F.lit((1 << 31) - 1)) for s in "xy"}
+    may, overlap = _may_be_near("x", "y", size["x"], size["y"], least)
     fits = (
         (F.col("x.word") == F.col("y.word"))
         & (F.col("x.id") < F.col("y.id"))
-        & ~(F.col("x.done") & F.col("y.done"))
-        & may
+        & (F.col("x.shape").bitwiseAND(F.col("y.shape")).bitwiseAND(F.lit(1)) == 0)  # not both done
         # the front words that this pair of sizes must share one of
-        & (F.col("x.place") <= F.col("x.size") - overlap)
-        & (F.col("y.place") <= F.col("y.size") - overlap)
-        & (F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) + F.least("x.place", "y.place") >= overlap)
+        & (place["x"] <= size["x"] - overlap)
+        & (place["y"] <= size["y"] - overlap)
+        & may
+        & (F.least(size["x"] - place["x"], size["y"] - place["y"]) + F.least(place["x"], place["y"]) >= overlap)
     )
     return one.join(two, fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
@@ -176,7 +192,7 @@ def star_candidates(sets: DataFrame, least: float) -> DataFrame:
     heads = rows.groupBy("key").agg(F.min(F.struct("place", "same", "size", "bitmap", "wide")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # written first, so that Spark deals out both sides of the join and can split a key that many share
     heads = cut(heads.select("key", "h.same", "h.size", "h.bitmap", "h.wide"), "line-heads")
-    may, _ = _may_be_near("x", "y", least)
+    may, _ = _may_be_near("x", "y", F.col("x.size"), F.col("y.size"), least)
     met = rows.alias("x").join(heads.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.same") != F.col("y.same")) & may)
     return met.select(F.col("x.same").alias("a"), F.col("y.same").alias("b")).distinct()
 
