@@ -22,6 +22,8 @@ from tidemark.llm.tables import bound_batches, cut
 #: Counters of word frequency: words share them by hash, so the table has a fixed size. The order
 #: that they give is the same for all lines, which is all that the prefix filter needs.
 COUNTERS = 1 << 20
+#: Counters that are summed as one row.
+BLOCK = 1 << 10
 #: Ids of up to this many sets under verification are sent to all executors (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1 << 21
 #: Orders of words by which a line first meets the earliest line with the same least words.
@@ -92,21 +94,30 @@ def _counter(words: np.ndarray) -> np.ndarray:
 
 
 def word_counts(sets: DataFrame) -> np.ndarray:
-    """How many sets have a word of each counter: summed in the tasks, then by Spark, over all sets."""
+    """How many sets have a word of each counter: summed in the tasks, then block by block, over all sets."""
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def partly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             total += np.bincount(_counter(batch.column("words").flatten().to_numpy()), minlength=COUNTERS)
-        used = np.flatnonzero(total)
-        for at in range(0, len(used), 1 << 16):
-            some = used[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["counter", "n"])
-
-    found = sets.select("words").mapInArrow(task, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(COUNTERS, np.int64)
-    counts[found.column("counter").to_numpy()] = found.column("n").to_numpy()
-    return counts
+        yield _blocks({i: x for i, x in enumerate(total.reshape(-1, BLOCK)) if x.any()})
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                sums[block] = sums.get(block, 0) + np.frombuffer(raw, np.int64)
+        yield _blocks(sums)
+
+    kind = "block int, n binary"
+    counts = np.zeros((COUNTERS // BLOCK, BLOCK), np.int64)
+    for row in sets.select("words").mapInArrow(partly, kind).repartition("block").mapInArrow(summed, kind).toArrow().to_pylist():
+        counts[row["block"]] = np.frombuffer(row["n"], np.int64)
+    return counts.ravel()
+
+
+def _blocks(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "n"])
 
 
 def prefix_length(size: np.ndarray, least: float) -> np.ndarray:
