@@ -74,3 +74,47 @@ def test_recall_on_random_neighbourhoods(spark):
     expected, found = brute(rows), answers(E.near_vectors(table(spark, rows)))
     links = sum(n for n, _ in expected.values())
     assert sum(found[k][0] for k in found) >= 0.95 * links and all(found[k][0] <= expected[k][0] for k in found)
+
+
+def by_matrix(rows, threshold=0.93):
+    """The same as ``brute`` for vectors without oddities, by one product."""
+    x = np.array([v for _, v, _ in rows], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([k for _, _, k in rows])
+    hit = (x @ x.T >= threshold) & (label[:, None] == label[None])
+    np.fill_diagonal(hit, False)
+    component = np.array([i for i, _, _ in rows])
+    while True:
+        least = np.minimum(component, np.where(hit, component[None], np.iinfo(np.int64).max).min(axis=1))
+        if (least == component).all():
+            return {i: (int(n), int(c)) for (i, _, _), n, c in zip(rows, hit.sum(axis=1), component)}
+        component = least
+
+
+def test_a_clump_does_not_hide_missed_links_of_small_groups(spark):
+    """With a weak search, a clump's links alone would reach the target over all links; those of the pairs must be found too."""
+    rng = np.random.default_rng(21)
+    clump = rng.standard_normal(24) + 0.05 * rng.standard_normal((300, 24))
+    pairs = np.repeat(rng.standard_normal((250, 24)), 2, axis=0)
+    pairs += 0.15 * rng.standard_normal(pairs.shape)
+    vectors = np.concatenate([clump, pairs]).astype(np.float32)
+    rows = [(int(i), [x.item() for x in vectors[k]], 0) for k, i in enumerate(rng.permutation(len(vectors)))]
+    weak = E.Settings(orders=1, bits=10, run=8, neighbours=1, local=4, taken=1)
+    expected, found = by_matrix(rows), answers(E.near_vectors(table(spark, rows), weak))
+    small = [i for i, (n, _) in expected.items() if 0 < n < 10]
+    assert len(small) > 300 and sum(found[i] == expected[i] for i in small) >= 0.99 * len(small)
+
+
+def test_recall_is_of_vectors_and_of_each_class():
+    s = E.Settings()
+    assert E.recall_of([10**6] * 300 + [1] * 40, [10**6] * 300 + [0] * 40, s) == 0
+    assert E.recall_of([1] * 50 + [0] * 9, [1] * 50 + [0] * 9, s) == 1 and E.recall_of([], [], s) == 1
+    assert E.recall_of([1] * 95 + [2] * 5, [1] * 95 + [1] * 5, s) == pytest.approx(0.975)
+    assert E.orders_for(1000, s) >= s.orders and E.orders_for(10**8, s) > 2 * E.orders_for(50_000, s)
+
+
+def test_a_search_that_stays_short_fails(spark, monkeypatch):
+    monkeypatch.setattr(E, "in_runs", lambda own, *_: spark.createDataFrame([], "a long, b long, cosine double, out boolean"))
+    monkeypatch.setattr(E, "recall_of", lambda *_: 0.5)
+    with pytest.raises(RuntimeError, match="recall of 0.5"):
+        E.near_vectors(table(spark, clusters(3, (5,))), E.Settings(stalled=1))

@@ -2,12 +2,16 @@
 
 Vectors that are equal are one node. Each node starts with the neighbours it
 meets in short runs of vectors sorted by hyperplane codes; then neighbours of a
-common neighbour are compared, and every list keeps its best. Links over the
-threshold join nodes into components. A list that is full of links may have
-lost some, so all lists are enlarged to the whole component: members near its
-centre are linked to each other by the triangle inequality and are counted, the
-others are compared in blocks. A bounded sample of vectors is compared with all
-of them after each round, and the rounds go on until the sample's links are found.
+common neighbour are compared, and every list keeps its best, and its best
+outside the node's component. Links over the threshold join nodes into
+components. As a link inside a component takes no place of one that leads out,
+a list full of links hides no component; n_links is counted in the whole
+component: members near its centre are linked to each other by the triangle
+inequality and are counted, the others are compared in blocks. Each further
+round sorts by codes of its own and looks for links between components alone. A
+fresh bounded sample of vectors is compared with all of them after each round.
+The rounds end when one finds no link and the sample's are found; if rounds find
+none although the sample shows that there are, the search fails.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ BROADCAST_CENTRES = 1 << 12
 class Settings:
     threshold: float = 0.93
     neighbours: int = 6
-    #: Sort orders that the first neighbours come from, bits of each code, and vectors in a run.
+    #: Sort orders of a round at least (see ``orders_for``), bits of each code, and vectors in a run.
     orders: int = 6
     bits: int = 24
     run: int = 128
@@ -42,14 +46,23 @@ class Settings:
     taken: int = 3
     #: Members of a component compared with each other at a time.
     block: int = 512
-    #: Vectors of the audit (they go to all executors), the share of their links to find, and rounds at most.
+    #: Vectors of the audit (they go to all executors), the share of its links to find for the mean vector and
+    #: for that of each class by number of links, vectors that make a class, and rounds that may find no link before.
     audited: int = 500
     recall: float = 0.99
-    rounds: int = 4
+    least_class: int = 30
+    stalled: int = 4
 
 
-def _planes(dimensions: int, s: Settings) -> np.ndarray:
-    return np.random.default_rng(dimensions).standard_normal((dimensions, s.orders * s.bits))
+def orders_for(nodes: int, s: Settings) -> int:
+    """Orders in which a pair at the threshold shares a run's code prefix at least once with a chance of ``recall``."""
+    same_bit = 1 - math.acos(s.threshold) / math.pi
+    shared = same_bit ** min(s.bits, max(0.0, math.log2(max(nodes, 1) / s.run)))
+    return max(s.orders, math.ceil(math.log(1 - s.recall) / math.log(1 - shared)) if shared < 1 else 1)
+
+
+def _planes(dimensions: int, orders: int, bits: int, turn: int) -> np.ndarray:
+    return np.random.default_rng([dimensions, turn]).standard_normal((dimensions, orders * bits))
 
 
 def _matrix(blobs: list[bytes], width: int) -> np.ndarray:
@@ -101,45 +114,60 @@ def _runs(batches: Iterator[pa.RecordBatch], key: list[str], most: int) -> Itera
         yield dict(zip(key, now, strict=True)), held
 
 
-def _pairs_out(ids: list[tuple[int, int, float]]) -> pa.RecordBatch:
-    a, b, s = zip(*ids, strict=True) if ids else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())], names=["a", "b", "cosine"])
+def _pairs_out(ids: list[tuple[int, int, float, bool]]) -> pa.RecordBatch:
+    a, b, s, out = zip(*ids, strict=True) if ids else ((), (), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64()), pa.array(out, pa.bool_())], names=["a", "b", "cosine", "out"])
+
 
+def _best_of(rows: dict[str, list], width: int, most: int, least: float | None) -> list[tuple[int, int, float, bool]]:
+    """For every vector of a run, the most similar others of it, and those outside its component.
 
-def _best_of(rows: dict[str, list], width: int, most: int) -> list[tuple[int, int, float]]:
-    """For every vector of a run, the most similar others of it."""
+    With ``least``, only those outside that are at least so similar.
+    """
     ids = rows["id"]
     if len(ids) < 2:
         return []
+    component = np.array(rows["component"])
+    outside = component[:, None] != component[None]
+    if least is not None and not outside.any():
+        return []
     x = _matrix(rows["vec"], width)
     cosine = x @ x.T
     np.fill_diagonal(cosine, -2)
     k = min(most, len(ids) - 1)
-    best = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-    return [(ids[i], ids[j], float(cosine[i, j])) for i in range(len(ids)) for j in best[i].tolist() if ids[i] != ids[j]]
+    found: set[tuple[int, int, float, bool]] = set()
+    for seen in [cosine if least is None else np.where(outside, cosine, -2)]:
+        best = np.argpartition(-seen, k - 1, axis=1)[:, :k]
+        i, j = np.repeat(np.arange(len(ids)), k), best.ravel()
+        good = seen[i, j] >= (-1.5 if least is None else least)
+        i, j = i[good], j[good]
+        found.update((ids[p], ids[q], c, o) for p, q, c, o in zip(i.tolist(), j.tolist(), cosine[i, j].tolist(), outside[i, j].tolist()) if ids[p] != ids[q])
+    return list(found)
 
 
-def _compare(sorted_rows: DataFrame, key: list[str], width: int, run: int, taken: int) -> DataFrame:
+def _compare(sorted_rows: DataFrame, key: list[str], width: int, run: int, taken: int, least: float | None = None) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int, float]] = []
+        out: list[tuple[int, int, float, bool]] = []
         for _, rows in _runs(batches, key, run):
-            out += _best_of(rows, width, taken)
+            out += _best_of(rows, width, taken, least)
             if len(out) > 20_000:
                 yield _pairs_out(out)
                 out = []
         yield _pairs_out(out)
 
-    return sorted_rows.mapInArrow(task, "a long, b long, cosine double")
+    return sorted_rows.mapInArrow(task, "a long, b long, cosine double, out boolean")
 
 
 def _shortened(edges: DataFrame, most: int) -> DataFrame:
     """The best neighbours of every node, each once."""
-    found = edges.groupBy("a").agg(F.collect_set(F.struct((-F.col("cosine")).alias("far"), "b")).alias("all"))
-    return found.select("a", F.explode(F.slice(F.array_sort("all"), 1, most)).alias("x")).select("a", "x.b", (-F.col("x.far")).alias("cosine"))
+    each = F.struct((-F.col("cosine")).alias("far"), "b")
+    found = edges.groupBy("a").agg(F.collect_set(each).alias("all"))
+    best = F.slice(F.array_sort("all"), 1, most)
+    return found.select("a", F.explode(best).alias("x")).select("a", "x.b", (-F.col("x.far")).alias("cosine"))
 
 
-def first_neighbours(nodes: DataFrame, width: int, s: Settings) -> DataFrame:
-    """(a, b, cosine) from runs of the sort orders; a run never crosses spaces."""
+def in_runs(nodes: DataFrame, width: int, s: Settings, orders: int, turn: int, least: float | None = None) -> DataFrame:
+    """(a, b, cosine, out) from runs of the sort orders of a turn; a run never crosses spaces. ``nodes`` has component."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,50 +177,74 @@ def first_neighbours(nodes: DataFrame, width: int, s: Settings) -> DataFrame:
             for rows in by_size.values():
                 part = batch.take(pa.array(rows))
                 x = _matrix(part.column("vec").to_pylist(), width)
-                bits = (x @ _planes(x.shape[1], s) > 0).reshape(len(rows), s.orders, s.bits)
+                bits = (x @ _planes(x.shape[1], orders, s.bits, turn) > 0).reshape(len(rows), orders, s.bits)
                 codes = bits @ (1 << np.arange(s.bits, dtype=np.int64))
-                for order in range(s.orders):
-                    columns = [part.column("space"), pa.array(np.full(len(rows), order, np.int32)), pa.array(codes[:, order]), part.column("id"), part.column("vec")]
-                    yield pa.RecordBatch.from_arrays(columns, names=["space", "order", "code", "id", "vec"])
+                for order in range(orders):
+                    columns = [part.column("space"), pa.array(np.full(len(rows), order, np.int32)), pa.array(codes[:, order]), *(part.column(c) for c in ("id", "component", "vec"))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["space", "order", "code", "id", "component", "vec"])
 
-    coded = nodes.select("id", "space", "vec").mapInArrow(task, "space string, order int, code long, id long, vec binary")
-    ordered = cut(coded, "codes").repartitionByRange("space", "order", "code", "id").sortWithinPartitions("space", "order", "code", "id")
-    return _shortened(_compare(ordered, ["space", "order"], width, s.run, s.neighbours), s.neighbours)
+    coded = nodes.select("id", "component", "space", "vec").mapInArrow(task, "space string, order int, code long, id long, component long, vec binary")
+    # vectors with equal codes lie in another order each time
+    by = ["space", "order", "code", F.xxhash64("id", "order", F.lit(turn)), "id"]
+    ordered = cut(coded, "codes").repartitionByRange(*by).sortWithinPartitions(*by)
+    return _compare(ordered, ["space", "order"], width, s.run, s.neighbours, least)
 
 
-def descend(graph: DataFrame, nodes: DataFrame, width: int, s: Settings) -> DataFrame:
+def descend(graph: DataFrame, nodes: DataFrame, width: int, s: Settings, turn: int) -> DataFrame:
     """One round: all that have a neighbour in common, or are neighbours, are compared; lists keep the best."""
     members = graph.select(F.col("b").alias("centre"), F.col("a").alias("id")).unionAll(graph.select(F.col("a").alias("centre"), F.col("b").alias("id")))
-    members = members.unionAll(nodes.select(F.col("id").alias("centre"), "id")).distinct().join(nodes.select("id", "vec"), "id")
-    members = cut(members.select("centre", "id", "vec"), "members")
-    # a node that many have as neighbour is dealt out to several tasks, and compared part by part
-    ordered = members.repartitionByRange("centre", "id").sortWithinPartitions("centre", "id")
-    return _shortened(graph.unionAll(_compare(ordered, ["centre"], width, s.local, s.taken)), s.neighbours)
+    members = members.unionAll(nodes.select(F.col("id").alias("centre"), "id")).distinct().join(nodes.select("id", "component", "vec"), "id")
+    members = cut(members.select("centre", "id", "component", "vec"), "members")
+    # a node that many have as neighbour is dealt out to several tasks, and compared part by part, with other parts each time
+    by = ["centre", F.xxhash64("id", F.lit(turn)), "id"]
+    ordered = members.repartitionByRange(*by).sortWithinPartitions(*by)
+    a, b = (nodes.select(F.col("id").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
+    before = graph.join(a, "a").join(b, "b").select("a", "b", "cosine", (F.col("of_a") != F.col("of_b")).alias("out"))
+    return _shortened(before.unionAll(_compare(ordered, ["centre"], width, s.local, s.taken)), s.neighbours)
+
 
+def recall_of(links: list[int], found: list[int], s: Settings) -> float:
+    """Mean share of a vector's links that was found: the least of that over all vectors and that of each class by number of links."""
+    n, shares = np.array(links), np.array(found) / np.maximum(links, 1)
+    classes = np.floor(np.log2(np.maximum(n, 1)) / 3)
+    groups = [n > 0, *((n > 0) & (classes == c) for c in set(classes.tolist()) if ((n > 0) & (classes == c)).sum() >= s.least_class)]
+    return min((float(shares[g].mean()) for g in groups if g.any()), default=1.0)
 
-def audit(nodes: DataFrame, named: DataFrame, width: int, s: Settings) -> float:
-    """Share of a sample's links (against all vectors) whose ends are in one component; 1 if it has none."""
-    sample = nodes.orderBy(F.xxhash64("id", F.lit("audit"))).limit(s.audited).join(named, "id").select("id", "space", "vec", "component").collect()
+
+def audit(nodes: DataFrame, width: int, s: Settings, turn: int = 0) -> tuple[float, DataFrame]:
+    """Recall of the links of a turn's sample (against all vectors): those whose ends are in one component. And links (a, b) that were not found.
+
+    ``nodes`` has component.
+    """
+    sample = nodes.orderBy(F.xxhash64("id", F.lit("audit"), F.lit(turn))).limit(s.audited).select("id", "space", "vec", "component").collect()
     spaces: dict[str, list] = {}
     for r in sample:
         spaces.setdefault(r["space"], []).append((r["id"], bytes(r["vec"]), r["component"]))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = {k: ([q[0] for q in v], _matrix([q[1] for q in v], width), np.array([q[2] for q in v])) for k, v in spaces.items()}
-        links, found = 0, 0
+        queries = {k: (np.array([q[0] for q in v]), _matrix([q[1] for q in v], width), np.array([q[2] for q in v])) for k, v in spaces.items()}
+        sums = {k: np.zeros((2, len(v)), np.int64) for k, v in spaces.items()}
+        missed: dict[tuple[int, int], int] = {}  # one link of a vector to each component
         for batch in batches:
             space = np.array(batch.column("space").to_pylist(), object)
             blobs, ids, component = batch.column("vec").to_pylist(), batch.column("id").to_numpy(), batch.column("component").to_numpy()
             for k in set(space.tolist()) & set(queries):
                 rows = np.flatnonzero(space == k)
                 theirs, x, own = queries[k]
-                hit = (_matrix([blobs[i] for i in rows], width) @ x.T >= s.threshold) & (ids[rows][:, None] != np.array(theirs)[None])
-                links += int(hit.sum())
-                found += int((hit & (component[rows][:, None] == own[None])).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([links]), pa.array([found])], names=["links", "found"])
-
-    row = nodes.join(named, "id").select("id", "space", "vec", "component").mapInArrow(task, "links long, found long").agg(F.sum("links").alias("n"), F.sum("found").alias("f")).first()
-    return (row["f"] or 0) / row["n"] if row["n"] else 1.0
+                hit = (_matrix([blobs[i] for i in rows], width) @ x.T >= s.threshold) & (ids[rows][:, None] != theirs[None])
+                inside = component[rows][:, None] == own[None]
+                sums[k] += [hit.sum(axis=0), (hit & inside).sum(axis=0)]
+                i, j = np.nonzero(hit & ~inside)
+                missed.update(zip(zip(theirs[j].tolist(), component[rows][i].tolist()), ids[rows][i].tolist()))
+        a = [i for k in spaces for i in queries[k][0].tolist()]
+        n, f = np.concatenate([np.zeros((2, 0), np.int64), *sums.values()], axis=1).tolist()
+        m = len(missed)
+        columns = [a + [x for x, _ in missed], [None] * len(a) + list(missed.values()), n + [0] * m, f + [0] * m]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "links", "found"])
+
+    told = cut(nodes.select("id", "space", "vec", "component").mapInArrow(task, "a long, b long, links long, found long"), "audit")
+    per_vector = told.groupBy("a").agg(F.sum("links").alias("n"), F.sum("found").alias("f")).collect()
+    return recall_of([r["n"] for r in per_vector], [r["f"] for r in per_vector], s), told.where("b IS NOT NULL").select("a", "b")
 
 
 def _counted(rows: dict[str, list], width: int, threshold: float) -> list[tuple[int, int]]:
@@ -286,18 +338,37 @@ def count_links(members: DataFrame, width: int, s: Settings) -> DataFrame:
     return direct.unionAll(inner).unionAll(ordered.mapInArrow(compare, "id long, links long")).groupBy("id").agg(F.sum("links").alias("links"))
 
 
+def _joined(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, component) of all nodes by the links (a, b)."""
+    return cut(nodes.select("id").join(components(links), "id", "left").select("id", F.coalesce("component", "id").alias("component")), "named")
+
+
 def linked_components(nodes: DataFrame, width: int, s: Settings) -> tuple[DataFrame, float]:
-    """(id, component) of all nodes, and the audit's recall."""
-    graph = cut(first_neighbours(nodes, width, s), "graph")
-    recall = 0.0
-    for _ in range(max(1, s.rounds)):
-        graph = cut(descend(graph, nodes, width, s), "graph")
-        found = components(graph.where(F.col("cosine") >= s.threshold).select("a", "b"))
-        named = cut(nodes.select("id").join(found, "id", "left").select("id", F.coalesce("component", "id").alias("component")), "named")
-        recall = audit(nodes, named, width, s)
-        if recall >= s.recall:
-            break
-    return named, recall
+    """(id, component) of all nodes, and the audit's recall. It is an error if that stays below ``s.recall``."""
+    named = cut(nodes.select("id", F.col("id").alias("component")), "named")
+    count = named.count()
+    orders, idle, turn = orders_for(count, s), 0, 0
+    graph = missed = None
+    while True:
+        own = nodes.join(named, "id")
+        if graph is None:
+            graph = cut(_shortened(in_runs(own, width, s, orders, turn), s.neighbours), "graph")
+        else:
+            graph = graph.unionAll(cut(in_runs(own, width, s, orders, turn, s.threshold).select("a", "b", "cosine"), "fresh"))
+        better = cut(descend(graph, own, width, s, turn), "graph")
+        links = graph.unionAll(better).where(F.col("cosine") >= s.threshold).select("a", "b")
+        # a component's links may leave the lists, so it is kept as links to its least node
+        links = links.unionAll(named.select("id", "component"))
+        named = _joined(nodes, links if missed is None else links.unionAll(missed))
+        left = named.where("id = component").count()
+        recall, missed = audit(nodes.join(named, "id"), width, s, turn)
+        idle = idle + 1 if left == count else 0
+        if idle and recall >= s.recall:
+            return _joined(nodes, missed.unionAll(named.select("id", "component"))), recall
+        if idle >= s.stalled:
+            raise RuntimeError(f"near-duplicate vectors: rounds find no more links, with a recall of {recall:.4f} below {s.recall}")
+        orders *= 1 if recall >= s.recall else 2
+        graph, count, turn = better, left, turn + 1
 
 
 def near_vectors(vectors: DataFrame, settings: Settings = Settings(), key: str = "vec_id", embedding: str = "embedding", label: str = "label") -> DataFrame:
