@@ -118,3 +118,23 @@ def test_a_search_that_stays_short_fails(spark, monkeypatch):
     monkeypatch.setattr(E, "recall_of", lambda *_: 0.5)
     with pytest.raises(RuntimeError, match="recall of 0.5"):
         E.near_vectors(table(spark, clusters(3, (5,))), E.Settings(stalled=1))
+
+
+def joined_clumps(seed, clumps, size, dimensions=16):
+    """Dense clumps in a row, too far apart to be linked but for one vector of each that leans to the next."""
+    rng = np.random.default_rng(seed)
+    axes = np.linalg.qr(rng.standard_normal((dimensions, dimensions)))[0]
+    step, lean, rows = np.arccos(0.93) * 1.4, np.arccos(0.93) * 0.43, []
+    for c in range(clumps):
+        at = lambda angle: np.cos(angle) * axes[0] + np.sin(angle) * axes[1]
+        dense = at(c * step) + 0.008 * rng.standard_normal((size - 1, dimensions))
+        rows += [*dense, at(c * step + (lean if c + 1 < clumps else 0))]
+    return [(int(i), [x.item() for x in np.asarray(rows[k], np.float32)], 0) for k, i in enumerate(rng.permutation(len(rows)))]
+
+
+def test_dense_clumps_joined_by_few_links_are_one_component(spark):
+    """Every vector has far more than a list of links in its own clump."""
+    rows = joined_clumps(5, 4, 400)
+    expected = by_matrix(rows)
+    assert len({c for _, c in expected.values()}) == 1 and len({n for n, _ in expected.values()}) > 1
+    assert answers(E.near_vectors(table(spark, rows))) == expected

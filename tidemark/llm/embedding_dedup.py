@@ -136,7 +136,7 @@ def _best_of(rows: dict[str, list], width: int, most: int, least: float | None)
     np.fill_diagonal(cosine, -2)
     k = min(most, len(ids) - 1)
     found: set[tuple[int, int, float, bool]] = set()
-    for seen in [cosine if least is None else np.where(outside, cosine, -2)]:
+    for seen in [np.where(outside, cosine, -2)] + ([cosine] if least is None else []):
         best = np.argpartition(-seen, k - 1, axis=1)[:, :k]
         i, j = np.repeat(np.arange(len(ids)), k), best.ravel()
         good = seen[i, j] >= (-1.5 if least is None else least)
@@ -159,10 +159,10 @@ def _compare(sorted_rows: DataFrame, key: list[str], width: int, run: int, taken
 
 
 def _shortened(edges: DataFrame, most: int) -> DataFrame:
-    """The best neighbours of every node, each once."""
+    """The best neighbours of every node and the best outside its component, each once."""
     each = F.struct((-F.col("cosine")).alias("far"), "b")
-    found = edges.groupBy("a").agg(F.collect_set(each).alias("all"))
-    best = F.slice(F.array_sort("all"), 1, most)
+    found = edges.groupBy("a").agg(F.collect_set(each).alias("all"), F.collect_set(F.when(F.col("out"), each)).alias("others"))
+    best = F.array_union(F.slice(F.array_sort("all"), 1, most), F.slice(F.array_sort("others"), 1, most))
     return found.select("a", F.explode(best).alias("x")).select("a", "x.b", (-F.col("x.far")).alias("cosine"))
 
 
