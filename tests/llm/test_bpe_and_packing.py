@@ -42,13 +42,34 @@ def test_ids_and_decoding_equal_the_library(model, library):
         assert model.decode(ids).decode() == library.decode(expected, skip_special_tokens=False)
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(st.characters(codec="utf-8", max_codepoint=0x2FFF), max_size=20), max_size=5))
+def test_every_character_equals_the_library(model, library):
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 50_000):
+        texts = [f"a{chr(c)}b" for c in points[at : at + 50_000]]
+        expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [hex(ord(t[1])) for t, x, y in zip(texts, encoded(model, texts), expected, strict=True) if x != y] == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.characters(codec="utf-8"), max_size=20), max_size=5))
 def test_any_text_equals_the_library(model, library, texts):
-    # code points that newer Unicode versions have given a class since are left to the library's own version
     assert encoded(model, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_mixed_scripts_and_marks_equal_the_library(model, library):
+    rng = random.Random(5)
+    blocks = [(0x20, 0x250), (0x300, 0x370), (0x370, 0x600), (0x600, 0x1000), (0x1000, 0x3100), (0xA640, 0xABFF), (0x10000, 0x1F000), (0x1F300, 0x1FB00), (0xE0000, 0xE01FF), (0xFB00, 0xFE30)]
+    texts = ["".join(chr(rng.randrange(*rng.choice(blocks))) for _ in range(rng.randint(1, 12))) for _ in range(20_000)]
+    texts += ["Y\u030a y\u030a", "A\u030aB", "x\u089b\u0301", "\u1df6\u036f"]
+    assert encoded(model, texts) == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_keys_of_a_text_depend_on_no_other_text():
+    texts = [*ODD, "Plain WORDS here, and more.", "a < b", "<", "|", "Y", "\u030a", "x=Z", "\u0338"]
+    together = packing.curve_keys(textgrams.texts_of(pa.array(texts)))
+    assert together.tolist() == [packing.curve_keys(textgrams.texts_of(pa.array([t])))[0] for t in texts]
+
+
 def test_round_trip_of_documents(documents, odd_texts, library):
     texts = [*odd_texts, *ODD]
     rows = {r["doc_id"]: r for r in bpe.round_trip(documents(texts), vocabulary_file()).collect()}

@@ -47,6 +47,22 @@ def test_measures_equal_brute_force():
         assert [int(found[c][i]) for c in R.COUNTS] == brute(t, 4), t
 
 
+def unlike_pair(length, one="a", two="b"):
+    """Two strings with equal values of any polynomial with an odd base modulo 2**64, if they are long enough."""
+    x, y = one, two
+    while len(x) < length:
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_equal_lines_and_words_are_told_by_their_text_and_not_by_a_hash():
+    x, y = unlike_pair(2048)
+    found = R.measure(textgrams.texts_of(pa.array([f"{x}\n{y}", f"{x} {y}\n{y} {x}\n{x} {y}", f"{x}\n\n{x}"])), R.Limits())
+    assert found["n_dup_lines"].tolist() == [0, 1, 1]
+    texts = textgrams.texts_of(pa.array([f"{x} {y}"]))
+    assert len(set(texts.word_hashes.tolist())) == 2 and len(set(texts.vocabulary[0].tolist())) == 2
+
+
 def test_verdicts(documents, odd_texts):
     prose = " ".join(f"p{i}" for i in range(100))
     repeat = " ".join(f"r{i}" for i in range(24))

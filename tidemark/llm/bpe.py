@@ -5,6 +5,12 @@ every adjacent pair to all its positions. The pairs that occur are taken in
 ascending rank; a merge is applied at all positions of its pair at once, and
 only the lists of the neighbouring pairs change. A word is merged once however
 often it occurs, and its ids are laid out for all its occurrences.
+
+Words are lowered and cut by Python's tables of characters. Tables of another
+version of Unicode differ from them in characters that one of the two doesn't
+know, and in the order of marks that need composing. So words that need it, or
+hold a character that is not printable (among them all unknown ones), are
+normalised and cut by the rules of the file itself.
 """
 
 from __future__ import annotations
@@ -19,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from tidemark.llm import textgrams
 from tidemark.llm.tables import bound_batches
@@ -50,6 +57,9 @@ class WordBpe:
         self.encoded_tokens = [t.encode() for t in self.tokens]
         self.end = model["end_of_word_suffix"]
         letters = byte_letters()
+        self.byte_of = {x: i for i, x in enumerate(letters)}
+        rules = {**found, "model": {**model, "vocab": {}, "merges": []}, "added_tokens": []}
+        self.rules = Tokenizer.from_str(json.dumps(rules))
         self.inner = np.array([self.vocabulary[x] for x in letters], np.int64)
         self.last = np.array([self.vocabulary[x + self.end] for x in letters], np.int64)
         self.width = len(self.tokens)
@@ -87,7 +97,9 @@ class WordBpe:
 
     def _plain(self, text: str) -> list[bytes]:
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
+            if not text.isprintable() or not unicodedata.is_normalized("NFC", text):
+                lowered = self.rules.normalizer.normalize_str(text)
+                return [bytes(map(self.byte_of.__getitem__, piece)) for piece, _ in self.rules.pre_tokenizer.pre_tokenize_str(lowered)]
         # one character at a time where the last letter of a word would be lowered in another way
         text = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
         return [text.encode()] if text.isalpha() else [x.encode() for x in PIECES.findall(text)]

@@ -129,10 +129,9 @@ def measure(texts: textgrams.Texts, limits: Limits) -> dict[str, np.ndarray]:
     starts, ends, line_text = texts.lines
     filled = np.concatenate([[0], np.cumsum(~space)])
     with_word = filled[ends] > filled[starts]
-    hashes, owner = texts.hashes(starts[with_word], ends[with_word]), line_text[with_word]
-    order = np.lexsort((hashes, owner))
-    again = (hashes[order][1:] == hashes[order][:-1]) & (owner[order][1:] == owner[order][:-1])
-    counts["n_dup_lines"] = np.bincount(owner[order][1:][again], minlength=len(texts))
+    owner = line_text[with_word]
+    _, first = np.unique(owner * (len(starts) + 1) + texts.line_codes[with_word], return_index=True)
+    counts["n_dup_lines"] = np.bincount(owner, minlength=len(texts)) - np.bincount(owner[first], minlength=len(texts))
     codes, _ = texts.vocabulary
     lengths = longest_repeats(codes, texts.word_text)
     # a window of three words that is found twice covers its own three words only

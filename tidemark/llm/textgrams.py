@@ -6,6 +6,7 @@ one slice of an Arrow batch. Words are runs of anything but ASCII white space.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
@@ -25,9 +26,18 @@ _SIGN[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = T
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER[9:14] = 32
-_BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Hashes of bytes are polynomials modulo a prime, at a base drawn at random once: no two strings, however regular, are
+#: likelier to collide than by their length over the prime.
+PRIME = (1 << 61) - 1
+_BASE = int(np.random.default_rng(20240229).integers(1 << 32, PRIME))
+_P, _30, _31, _32, _61 = np.uint64(PRIME), *map(np.uint64, (30, 31, 32, 61))
+_LOW_29, _LOW_30, _LOW_31, _LOW_32 = (np.uint64((1 << n) - 1) for n in (29, 30, 31, 32))
+#: Windows of hashes are polynomials modulo 2**64, which is quicker. Two windows of two values alone can collide there,
+#: but only if they are longer than this.
+LONGEST_WINDOW = 256
+_ODD = 0x9E3779B97F4A7C15
+#: A longer run of bytes could let a sum of 40-bit terms wrap around.
+_LONGEST_RUN = 1 << 23
 
 
 def is_space(data: np.ndarray) -> np.ndarray:
@@ -43,28 +53,93 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> _61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of values below it, in halves that don't overflow."""
+    xh, xl, yh, yl = x >> _31, x & _LOW_31, y >> _31, y & _LOW_31
+    middle = xl * yh + xh * yl
+    return _reduced(((xh * yh) << np.uint64(1)) + (middle >> _30) + ((middle & _LOW_30) << _31) + xl * yl)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> _61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of values below it, in halves that don't overflow."""
+    xh, xl, yh, yl = x >> _31, x & _LOW_31, y >> _31, y & _LOW_31
+    middle = xl * yh + xh * yl
+    return _reduced(((xh * yh) << np.uint64(1)) + (middle >> _30) + ((middle & _LOW_30) << _31) + xl * yl)
+
+
+def _room(n: int) -> int:
+    return max(1 << 16, 1 << int(n).bit_length())
+
+
+@lru_cache(maxsize=1)
+def _prime_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASE, pow(_BASE, -1, PRIME)):
+        found = np.ones(1, np.uint64)
+        while len(found) < size:
+            found = np.concatenate([found, _times(found, np.uint64(pow(base, len(found), PRIME)))])
+        out.append(found)
+    return tuple(out)
+
+
 @lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up = np.full(size, _BASE, np.uint64)
-    down = np.full(size, _BASE_INVERSE, np.uint64)
+def _odd_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    up, down = np.full(size, _ODD, np.uint64), np.full(size, pow(_ODD, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0 to n of the base and of its inverse, modulo 2**64."""
-    size = max(1 << 16, 1 << int(n).bit_length())
-    up, down = _powers(size)
-    return up, down
+def _sums(terms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of the terms from start to end, modulo 2**64."""
+    total = np.zeros(len(terms) + 1, np.uint64)
+    np.cumsum(terms, out=total[1:])
+    return total[ends] - total[starts]
+
+
+def _with_length(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes from start to end for every pair, in time that does not depend on their lengths.
+
+    A very long run has a hash of another kind. Powers are taken in two parts
+    of 32 and 29 bits, so sums over a run don't overflow.
+    """
+    up, down = _prime_powers(_room(len(data)))
+    up, wide = up[: len(data)], data.astype(np.uint64) + np.uint64(1)
+    high = _reduced(_sums(wide * (up >> _32), starts, ends))
+    low = _reduced(_sums(wide * (up & _LOW_32), starts, ends))
+    value = _reduced(((high & _LOW_29) << _32) + (high >> np.uint64(29)) + low)
+    out = _with_length(_times(value, down[starts]), starts, ends)
+    for i in np.flatnonzero(ends - starts > _LONGEST_RUN).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 def slice_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of ``values[start:end]`` for every pair, in time that does not depend on their lengths."""
-    up, down = powers(len(values))
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
-    lengths = (ends - starts).astype(np.uint64)
-    return mix((sums[ends] - sums[starts]) * down[starts] + lengths * np.uint64(0xD6E8FEB86659FD93))
+    """Hash of ``values[start:end]`` for every pair, of windows that are not too long."""
+    if len(starts) and int((ends - starts).max()) > LONGEST_WINDOW:
+        raise ValueError(f"windows of more than {LONGEST_WINDOW} values")
+    up, down = _odd_powers(_room(len(values)))
+    return _with_length(_sums(values * up[: len(values)], starts, ends) * down[starts], starts, ends)
+
+
+def set_hashes(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Hash of each set of values, whatever their order; a set goes from one begin to the next."""
+    if not len(begins):
+        return np.zeros(0, np.uint64)
+    return _with_length(np.add.reduceat(mix(values), begins), begins, np.append(begins[1:], len(values)))
 
 
 def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -116,10 +191,7 @@ class Texts:
 
     @cached_property
     def word_hashes(self) -> np.ndarray:
-        return slice_hashes(_BYTE_VALUES[self.data], self.starts, self.ends)
-
-    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return slice_hashes(_BYTE_VALUES[self.data], starts, ends)
+        return byte_hashes(self.data, self.starts, self.ends)
 
     @cached_property
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,6 +203,11 @@ class Texts:
         order = np.lexsort((starts, text))  # the k-th start and the k-th end of a text are one line's
         return starts[order], ends[np.lexsort((ends, text))], text[order]
 
+    @cached_property
+    def line_codes(self) -> np.ndarray:
+        """A number for every line that equal lines alone share."""
+        return _coded(self.data, self.lines[0], int(self.offsets[-1]), b"\n")[0]
+
     @cached_property
     def vocabulary(self) -> tuple[np.ndarray, list[bytes]]:
         """Code of every word, and the distinct words."""
@@ -142,27 +219,36 @@ class Texts:
 
         Only where both neighbours are ASCII and the sign is no apostrophe, so
         every cut is one that a word vocabulary makes too; other words stay
-        whole. Texts with ``<|`` are left alone, as it may begin a special token.
+        whole. So do words with ``<|``, in their case, as it may begin a special
+        token; and a letter before a character that isn't ASCII keeps its case,
+        as a mark there may belong to it. A text's pieces depend on no other text.
         """
-        if self.data.tobytes().find(b"<|") >= 0:
-            return *self.vocabulary, self.word_offsets
         letter, sign = _LETTER[self.data], _SIGN[self.data]
-        begin = np.zeros(len(self.data), bool)
+        before_other = np.zeros(len(letter), bool)
+        before_other[:-1] = self.data[1:] >= 0x80
+        before_other[self.ends - 1] = False
+        data = np.where(before_other, self.data, _LOWER[self.data])
+        begin = np.zeros(len(data), bool)
         begin[1:] = (letter[1:] & sign[:-1]) | (sign[1:] & letter[:-1])
+        marks = np.flatnonzero((self.data[:-1] == 60) & (self.data[1:] == 124))
+        word = np.searchsorted(self.starts, marks, side="right") - 1
+        for w in np.unique(word[marks + 1 < self.ends[word]]).tolist():
+            a, b = self.starts[w], self.ends[w]
+            begin[a:b], data[a:b] = False, self.data[a:b]
         begin[self.starts] = True
         starts = np.flatnonzero(begin)
-        return *_coded(_LOWER[self.data], starts, int(self.offsets[-1])), np.searchsorted(starts, self.offsets)
+        return *_coded(data, starts, int(self.offsets[-1])), np.searchsorted(starts, self.offsets)
 
 
-def _coded(data: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, list[bytes]]:
-    """Codes of the runs from start to start, white space at their ends aside, and the distinct runs."""
+def _coded(data: np.ndarray, starts: np.ndarray, end: int, aside: bytes = b" \t\n\v\f\r") -> tuple[np.ndarray, list[bytes]]:
+    """Codes of the runs from start to start, such bytes at their ends aside, and the distinct runs."""
     if not len(starts):
         return np.zeros(0, np.int64), []
     bounds = np.append(starts, end).astype(np.int32)
     runs = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
     coded = runs.dictionary_encode()
     seen: dict[bytes, int] = {}
-    to = [seen.setdefault(w.rstrip(b" \t\n\v\f\r"), len(seen)) for w in coded.dictionary.to_pylist()]
+    to = [seen.setdefault(w.rstrip(aside), len(seen)) for w in coded.dictionary.to_pylist()]
     return np.array(to, np.int64)[coded.indices.to_numpy()], list(seen)
 
 
