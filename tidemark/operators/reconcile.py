@@ -58,39 +58,6 @@ def window_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BASELINE = NOW - 15 * 24 * HOUR
-STATUS_REASONS = {"pending": "PENDING_EVENT", "processing": "PROCESSING_EVENT", "failed": "FAILED_EVENT", "reconciliation_required": "UNRESOLVED_EVENT"}
-
-
-@query("snapshot_presence", LATEST_SQL + f""", local AS (SELECT *, last_type <> 'item_listed' AS inactive FROM latest),
-seen AS (SELECT DISTINCT order_hash FROM j WHERE event_type = 'item_listed' AND seller IS NOT NULL AND received_ms <= {BASELINE}),
-hits AS (SELECT order_hash, unnest(list_filter([
-    CASE processing_status WHEN 'pending' THEN 'PENDING_EVENT' WHEN 'processing' THEN 'PROCESSING_EVENT' WHEN 'failed' THEN 'FAILED_EVENT' WHEN 'reconciliation_required' THEN 'UNRESOLVED_EVENT' END,
-    CASE WHEN received_ms > {BASELINE} THEN 'NEWER_EVENT_AFTER_BASELINE' END, CASE WHEN event_version IS NULL THEN 'EVENT_ORDERING_AMBIGUOUS' END], lambda x: x IS NOT NULL)) AS reason
-  FROM j WHERE order_hash IS NOT NULL AND received_ms BETWEEN {BASELINE} - {12 * HOUR} AND {BASELINE} + {12 * HOUR}),
-own AS (SELECT order_hash, 'ORDER_NOT_ACTIVE' AS reason FROM local WHERE inactive AND n_events % 2 = 0),
-reasons AS (SELECT order_hash, string_agg(DISTINCT reason, ',' ORDER BY reason) AS reasons FROM (SELECT * FROM hits UNION ALL SELECT * FROM own) GROUP BY order_hash)
-SELECT l.order_hash, s.order_hash IS NOT NULL AS seen, coalesce(r.reasons, '') AS reasons,
-       CASE WHEN r.reasons IS NOT NULL THEN 'BLOCKED' WHEN s.order_hash IS NOT NULL THEN 'PRESENT' ELSE 'ABSENT_CANDIDATE' END AS class
-FROM local l LEFT JOIN seen s USING (order_hash) LEFT JOIN reasons r USING (order_hash)""")
-def snapshot_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Local orders against a complete snapshot: present, absent, or blocked by what the journal still holds."""
-    rows = journal(spark, sf_dir)
-    local = latest_orders(rows).select("order_hash", ((F.col("last_type") != "item_listed") & (F.col("n_events") % 2 == 0)).alias("inactive"))
-    seen = rows.where((F.col("event_type") == "item_listed") & F.col("seller").isNotNull() & (F.col("received_ms") <= BASELINE)).select("order_hash").distinct().withColumn("is_seen", F.lit(True))
-    return classify_candidates(local, seen, rows.where("order_hash IS NOT NULL").where(F.col("received_ms").between(BASELINE - 12 * HOUR, BASELINE + 12 * HOUR)), BASELINE)
-
-
-def classify_candidates(local: DataFrame, seen: DataFrame, events: DataFrame, baseline: int) -> DataFrame:
-    """(order_hash, seen, reasons, class). Reasons are flags, combined per order before any join."""
-    flags = {n: F.bool_or(F.col("processing_status") == s) for s, n in STATUS_REASONS.items()}
-    flags |= {"NEWER_EVENT_AFTER_BASELINE": F.bool_or(F.col("received_ms") > baseline), "EVENT_ORDERING_AMBIGUOUS": F.bool_or(F.col("event_version").isNull())}
-    per_order = events.groupBy("order_hash").agg(*(f.alias(n) for n, f in flags.items()))
-    joined = local.join(seen, "order_hash", "left").join(per_order, "order_hash", "left")
-    why = N.reasons(("ORDER_NOT_ACTIVE", F.col("inactive")), *((n, F.col(n)) for n in flags))
-    is_seen = F.col("is_seen").isNotNull()
-    return joined.select("order_hash", is_seen.alias("seen"), why.alias("reasons"), F.when(why != "", "BLOCKED").when(is_seen, "PRESENT").otherwise("ABSENT_CANDIDATE").alias("class"))
-
-
 MANIFEST_SQL = "WITH m AS (SELECT o_orderkey AS sweep_id, o_orderstatus = 'F' AS truncated, o_orderkey % 5 AS malformed, o_custkey % 7 AS conflicts, o_orderpriority LIKE '5%' AS cycle, o_totalprice > 20000 AS exhausted FROM orders)"
 
 
@@ -108,53 +75,6 @@ def manifest_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifests.select("sweep_id", N.reasons(("SNAPSHOT_NOT_COMPLETE", incomplete), ("SNAPSHOT_SEMANTICALLY_UNSAFE", unsafe)).alias("reasons"), (~incomplete).alias("eligible"))
 
 
-#: Rungs of the audit ladder, tried from the top; the state that each comes to.
-LADDER = (
-    ("PROVIDER_EVIDENCE_MISSING", "UNPROVEN"), ("GENERATION_SUPERSEDED", "SUPERSEDED"), ("EVIDENCE_MISMATCH", "BLOCKED"), ("JOURNAL_CHANGED", "BLOCKED"), ("WATERMARK_REGRESSED", "BLOCKED"),
-    ("PRESENT_IN_SNAPSHOT", "BLOCKED"), ("NOT_CONFIRMED_INACTIVE", "UNPROVEN"), ("LATER_EVIDENCE", "BLOCKED"),
-)
-
-
-@query("shadow_ladder", PUBLICATIONS_SQL + """, attempts AS (SELECT l_orderkey * 8 + l_linenumber AS attempt_id, l_orderkey % 997 AS sequence, l_partkey % 11 AS provider, l_suppkey % 13 AS evidence, l_linenumber AS line, l_returnflag AS flag, l_linestatus AS ls, CAST(l_quantity AS INTEGER) AS q FROM lineitem),
-top AS (SELECT max(sequence) AS newest FROM pub WHERE state = 'ACCEPTED' AND sequence < 900),
-judged AS (SELECT attempt_id, CASE WHEN provider = 0 THEN 'PROVIDER_EVIDENCE_MISSING' WHEN sequence > newest THEN 'GENERATION_SUPERSEDED' WHEN evidence = 0 THEN 'EVIDENCE_MISMATCH' WHEN line = 5 THEN 'JOURNAL_CHANGED'
-  WHEN q > 45 THEN 'WATERMARK_REGRESSED' WHEN flag = 'A' THEN 'PRESENT_IN_SNAPSHOT' WHEN ls = 'O' THEN 'NOT_CONFIRMED_INACTIVE' WHEN q % 7 = 0 THEN 'LATER_EVIDENCE' ELSE 'ELIGIBLE' END AS reason FROM attempts, top)
-SELECT reason, CASE WHEN reason IN ('PROVIDER_EVIDENCE_MISSING', 'NOT_CONFIRMED_INACTIVE') THEN 'UNPROVEN' WHEN reason = 'GENERATION_SUPERSEDED' THEN 'SUPERSEDED' WHEN reason = 'ELIGIBLE' THEN 'ELIGIBLE' ELSE 'BLOCKED' END AS state,
-       count(*) AS n, min(attempt_id) AS first_attempt FROM judged GROUP BY ALL""")
-def shadow_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = publications(spark, sf_dir).where("state = 'ACCEPTED' AND sequence < 900").agg(F.max("sequence").alias("newest"))  # one row
-    q = F.col("l_quantity").cast("int")
-    checks = {
-        "PROVIDER_EVIDENCE_MISSING": F.col("l_partkey") % 11 == 0, "GENERATION_SUPERSEDED": F.col("l_orderkey") % 997 > F.col("newest"), "EVIDENCE_MISMATCH": F.col("l_suppkey") % 13 == 0,
-        "JOURNAL_CHANGED": F.col("l_linenumber") == 5, "WATERMARK_REGRESSED": q > 45, "PRESENT_IN_SNAPSHOT": F.col("l_returnflag") == "A", "NOT_CONFIRMED_INACTIVE": F.col("l_linestatus") == "O", "LATER_EVIDENCE": q % 7 == 0,
-    }
-    attempts = read(spark, sf_dir, "lineitem").crossJoin(F.broadcast(newest))
-    judged = attempts.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("attempt_id"), ladder(checks).alias("reason"))
-    state = F.lit("ELIGIBLE")
-    for reason, name in LADDER:
-        state = F.when(F.col("reason") == reason, name).otherwise(state)
-    return judged.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.min("attempt_id").alias("first_attempt")).select("reason", state.alias("state"), "n", "first_attempt")
-
-
-def ladder(checks: dict[str, Column]) -> Column:
-    """The first rung whose check holds, else ELIGIBLE."""
-    found = F.lit("ELIGIBLE")
-    for reason, _ in reversed(LADDER):
-        found = F.when(checks[reason], reason).otherwise(found)
-    return found
-
-
-@query("generation_evaluation", JOURNAL_SQL + """, rounds AS (SELECT token_id AS sweep, received_ms // 86400000 AS round, max(event_id) AS high_water, count(*) FILTER (WHERE processing_status IN ('pending', 'processing', 'failed') AND attempt_count >= 4) AS open FROM j GROUP BY ALL),
-counted AS (SELECT sweep, count(*) AS rounds, sum(open) AS open_total, arg_max(open, round) AS open_last, max(high_water) AS fence FROM rounds GROUP BY sweep)
-SELECT sweep, fence, CASE WHEN rounds < 2 THEN 'OPEN' WHEN rounds > 27 THEN 'ABORTED' WHEN open_last > 0 THEN 'CATCHING_UP' WHEN open_total = 0 THEN 'TRANSPORT_COMPLETE' ELSE 'VERIFIED' END AS state FROM counted""")
-def generation_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unsettled = F.col("processing_status").isin("pending", "processing", "failed") & (F.col("attempt_count") >= 4)
-    rounds = journal(spark, sf_dir).groupBy(F.col("token_id").alias("sweep"), F.expr("received_ms div 86400000").alias("round")).agg(F.max("event_id").alias("high_water"), F.count_if(unsettled).alias("open"))
-    counted = rounds.groupBy("sweep").agg(F.count(F.lit(1)).alias("rounds"), F.sum("open").alias("open_total"), F.max_by("open", "round").alias("open_last"), F.max("high_water").alias("fence"))
-    state = F.when(F.col("rounds") < 2, "OPEN").when(F.col("rounds") > 27, "ABORTED").when(F.col("open_last") > 0, "CATCHING_UP").when(F.col("open_total") == 0, "TRANSPORT_COMPLETE").otherwise("VERIFIED")
-    return counted.select("sweep", "fence", state.alias("state"))
-
-
 @query("peer_attempt_idempotence", KEYED_SQL + """
 SELECT dedupe_key, count(*) AS attempts, CASE WHEN bool_or(transaction_hash IS NULL) AND count(*) > 1 THEN 'INCOMPLETE' WHEN count(DISTINCT md5(coalesce(seller, '') || price_raw)) > 1 THEN 'CONFLICT' ELSE 'IDEMPOTENT' END AS verdict
 FROM keyed GROUP BY dedupe_key""")
