@@ -50,6 +50,23 @@ def test_equals_brute_force(documents):
             assert r["n_words"] == len(found) and r["removed_words"] == len(expected[i])
 
 
+def test_large_runs_go_by_passages(documents, monkeypatch):
+    monkeypatch.setattr(S, "RUN", 3)
+    texts = sharing(random.Random(12))
+    expected = brute(texts, 10)
+    assert all(places(r) == expected[r["doc_id"]] for r in S.remove_repeated_passages(documents(texts), 10, 5).collect())
+
+
+def test_regular_words_are_told_apart(documents):
+    """Words that a polynomial hash modulo 2**64 can't tell apart, in passages that are equal but for them."""
+    one, two = "a", "b"
+    while len(one) < 2048:
+        one, two = one + two, two + one
+    same = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*same[:30], x, *same[30:]]) for x in (one, two, one)]
+    assert [sorted(places(r)) for r in sorted(S.remove_repeated_passages(documents(texts)).collect(), key=lambda r: r["doc_id"])] == [[], [], list(range(61))]
+
+
 def test_without_broadcasts(documents, monkeypatch):
     monkeypatch.setattr(S, "BROADCAST_SUFFIXES", -1)
     texts = sharing(random.Random(8))
