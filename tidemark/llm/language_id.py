@@ -177,7 +177,7 @@ def sample(rows: DataFrame, settings: Settings = Settings()) -> tuple[np.ndarray
     body, size, n = F.col("text").cast("binary"), settings.window, settings.windows_per_text
     step = F.greatest(F.lit(1), F.floor((F.octet_length("text") - size) / max(1, n - 1)))
     parts = [F.substring(body, 1 + (step * i).cast("int"), F.lit(size)).alias(f"w{i}") for i in range(n)]
-    got = kept.select("lang", *parts).orderBy("lang", "w0").collect()
+    got = kept.select("lang", *parts).orderBy("lang", *(f"w{i}" for i in range(n))).collect()  # one order, however the rows lie
     languages = sorted({r["lang"] for r in got})
     windows, labels = [], []
     for r in got:

@@ -48,6 +48,8 @@ def shard_records(df: DataFrame, key: str = "doc_id", text: str = "text", weight
     grown = [*weights, sum(weights) / len(weights)]
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     name = F.coalesce(F.col(key).cast("string"), F.lit("\0null"))
+    # the text takes part, so that the rows of one key spread over the slices of their shard
+    slice_ = F.pmod(F.xxhash64(name, F.crc32(body)), F.lit(SLICES)).cast("int").alias("slice")
     rows = df.select(
         F.col(key),
         (F.octet_length(body) + 1).cast("long").alias("size"),
@@ -55,9 +57,9 @@ def shard_records(df: DataFrame, key: str = "doc_id", text: str = "text", weight
         F.lit("key").alias("law"),
         choose_shard(name, weights).alias("shard"),
         choose_shard(name, grown).alias("grown_shard"),
-        F.pmod(F.xxhash64(name, F.lit("slice")), F.lit(SLICES)).cast("int").alias("slice"),
+        slice_,
     )
-    keys = df.select(choose_shard(name, weights).alias("shard"), F.pmod(F.xxhash64(name, F.lit("slice")), F.lit(SLICES)).cast("int").alias("slice"))
+    keys = df.select(choose_shard(name, weights).alias("shard"), slice_)
     # at most shards x SLICES rows, whatever the input
     before = Window.partitionBy("shard").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = keys.groupBy("shard", "slice").agg(F.count(F.lit(1)).alias("n")).select("shard", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -68,13 +70,14 @@ def shard_records(df: DataFrame, key: str = "doc_id", text: str = "text", weight
     )
 
 
-def write_shards(df: DataFrame, path: str, key: str = "doc_id", weights: Sequence[float] = (1.0,) * 16, column: str = "shard") -> None:
+def write_shards(df: DataFrame, path: str, key: str = "doc_id", weights: Sequence[float] = (1.0,) * 16, column: str = "shard", rows_per_file: int = 100_000) -> None:
     """Write every row of ``df`` below ``path``, one folder a shard.
 
-    The rows are dealt by shard and key hash, so a shard is written by several
-    tasks and no task holds a whole one.
+    The rows are dealt by shard and by a hash of the whole row, over as many
+    tasks as their number asks for, so no task holds a whole shard.
     """
     name = F.coalesce(F.col(key).cast("string"), F.lit("\0null"))
-    spread = F.pmod(F.xxhash64(name, F.lit("file")), F.lit(8))
+    files = max(1, -(-df.count() // (len(weights) * rows_per_file)))
+    spread = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map"))), F.lit(files))
     placed = df.withColumn(column, choose_shard(name, weights))
-    placed.repartition(F.col(column), spread).write.partitionBy(column).parquet(path)
+    placed.repartition(files * len(weights), F.col(column), spread).write.partitionBy(column).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,9 +31,11 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where it is unset."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset, a folder of our own, for a master on this machine alone."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[[^,]*(,[^,]*)?\])?$", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found

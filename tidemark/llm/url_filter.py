@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.tables import cut
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Words of 64 bits in a block; each takes two bits of a key.
@@ -90,6 +92,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule], key:
     entries of the list change nothing. Other columns are left behind.
     """
     entries = listed.select(F.col(listed_url).alias("canonical")).where("canonical is not null and canonical <> ''").distinct()
+    entries = cut(entries, "listed-urls")  # read for its length, the filter and the exact join
     filter_rows, blocks = build_filter(entries, "canonical")
     parts = pages.select(F.col(key), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
     parts = parts.select(key, "host", "path", longest_rule(F.col("host"), F.col("path"), rules).alias("best"), canonical_url(F.col("host"), F.col("path")).alias("canonical"))
