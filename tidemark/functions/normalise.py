@@ -72,22 +72,15 @@ def floor_second(ms: Column) -> Column:
     return ms - F.pmod(ms, F.lit(1000))
 
 
-def json_string(value: Column) -> Column:
-    """A JSON string literal; quotes, backslashes and control characters are escaped."""
-    return F.regexp_replace(F.to_json(F.struct(value.alias("v"))), r'^\{"v":|\}$', "")
-
-
 def dedupe_key(family: str, parts: list[tuple[str, Column]], schema: str = "tidemark-dedupe") -> Column:
     """``family:v1:`` and the SHA-256 of canonical JSON (sorted keys) of the parts.
 
     ``schema`` names the layout inside the hashed text; keys of another system
     are met by its name.
     """
-    pieces: list[Column] = [F.lit('{"components":{')]
-    for i, (name, value) in enumerate(sorted(parts)):
-        pieces += [F.lit(f'{"," if i else ""}"{name}":'), F.coalesce(json_string(value), F.lit("null"))]
-    pieces.append(F.lit(f'}},"family":"{family}","schema":"{schema}","version":1}}'))
-    return F.concat(F.lit(f"{family}:v1:"), F.sha2(F.concat(*pieces), 256))
+    members = F.to_json(F.struct(*(value.alias(name) for name, value in sorted(parts, key=lambda p: p[0]))), {"ignoreNullFields": "false"})
+    text = F.concat(F.lit('{"components":'), members, F.lit(f',"family":"{family}","schema":"{schema}","version":1}}'))
+    return F.concat(F.lit(f"{family}:v1:"), F.sha2(text, 256))
 
 
 def redact(message: Column, most: int = 500) -> Column:

@@ -245,12 +245,11 @@ def version_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("price_normalisation", JOURNAL_SQL + """
 SELECT event_id, price_raw,
        CASE WHEN price_raw IS NOT NULL THEN
-         CASE WHEN k % 20 = 0 THEN ltrim(price_raw, '0') ELSE
-         substr(lpad(price_raw, w, '0'), 1, w - k % 20) || '.' || coalesce(nullif(rtrim(right(lpad(price_raw, w, '0'), k % 20), '0'), ''), '0') END END AS price
-FROM (SELECT *, CAST(greatest(length(price_raw), k % 20 + 1) AS INTEGER) AS w FROM (SELECT event_id, k, nullif(ltrim(price_raw, '0'), '') AS price_raw FROM j WHERE price_raw NOT LIKE '0%'))""")
+         CASE WHEN k % 20 = 0 THEN digits ELSE
+         substr(lpad(digits, w, '0'), 1, w - k % 20) || '.' || coalesce(nullif(rtrim(right(lpad(digits, w, '0'), k % 20), '0'), ''), '0') END END AS price
+FROM (SELECT *, CAST(greatest(length(digits), k % 20 + 1) AS INTEGER) AS w FROM (SELECT event_id, k, price_raw, coalesce(nullif(ltrim(price_raw, '0'), ''), '0') AS digits FROM j))""")
 def price_normalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = journal(spark, sf_dir).where(~F.col("price_raw").like("0%"))
-    return rows.select("event_id", "price_raw", N.decimal_text(F.col("price_raw"), F.col("k") % 20).alias("price"))
+    return journal(spark, sf_dir).select("event_id", "price_raw", N.decimal_text(F.col("price_raw"), F.col("k") % 20).alias("price"))
 
 
 @query("timestamp_normalisation", JOURNAL_SQL + """, texts AS (

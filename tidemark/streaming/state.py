@@ -21,15 +21,20 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Where checkpoints and sinks of a bounded run go: the cluster's folder, or a temporary one in tests."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='tidemark-stream-')}/{uuid.uuid4().hex}"
+    """Where checkpoints and sinks of a bounded run go: the cluster's folder, or a temporary one on a local master."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="tidemark-stream-")
+    return f"{found}/{uuid.uuid4().hex}"
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Journal rows as they arrive in the events folder."""
+def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 64) -> DataFrame:
+    """Journal rows as they arrive in the events folder; a batch takes a bounded number of files, the rest waits."""
     schema = read(spark, sf_dir, "events").schema
     # a pattern, as a plain path to one file would be taken for the folder of a partitioned table
-    return project(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]"))
+    return project(spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{sf_dir}/events.parque[t]"))
 
 
 def deduplicated(stream: DataFrame) -> DataFrame:
