@@ -313,7 +313,7 @@ def count_links(members: DataFrame, width: int, s: Settings) -> DataFrame:
     inner = marked.where("core").select("component", "id", "n").join(weights, "component").select("id", (F.col("w") - F.col("n")).alias("links"))
     # those outside the core against all members, a block of each at a time
     outer = marked.where("not core")
-    tiles = F.ceil(F.col("size") / s.block).cast("int")
+    tiles = F.ceil(F.col("size") / (4 * s.block)).cast("int")  # larger than a run, as every vector goes once to each tile
     place = F.pmod(F.xxhash64("id"), tiles).cast("int")
     queries = outer.select("component", "id", "n", "vec", place.alias("tile"), F.explode(F.sequence(F.lit(0), tiles - 1)).alias("against"), F.lit(True).alias("query"), F.lit(False).alias("core"))
     query_tiles = outer.select("component", place.alias("tile")).distinct()
