@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -97,21 +99,30 @@ def lifecycle_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return journal(spark, sf_dir).groupBy("processing_status", "attempt_count", migrated.alias("migrated")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_dedupe_key(rows: DataFrame) -> DataFrame:
-    """Structured identity of each event; an event without the parts of one falls back to its own content."""
+def _identities() -> tuple[tuple[str, Column, list[tuple[str, Column]]], ...]:
+    """Families of identities with the rows that have one, tried from the top, and their parts."""
     place = [("eventType", F.col("event_type")), ("chain", F.col("chain")), ("contractAddress", F.col("contract_address"))]
-    transfer = N.dedupe_key("transfer", [*place, ("nftId", F.col("nft_id")), ("transactionHash", F.col("transaction_hash"))])
     version, when = F.col("event_version").cast("string"), F.col("event_ms").cast("string")
-    order = N.dedupe_key("order", [*place, ("orderHash", F.col("order_hash")), ("eventTimestamp", when), ("eventVersion", version)])
     content = [("eventType", F.col("event_type")), ("payload", F.col("event_id").cast("string"))]
     is_transfer = F.col("event_type") == "item_transferred"
-    key = (
-        F.when(is_transfer & F.col("transaction_hash").isNotNull(), transfer).when(is_transfer, N.dedupe_key("transfer-fallback", content))
-        .when(F.col("order_hash").isNotNull() & F.col("event_version").isNotNull(), order).otherwise(N.dedupe_key("order-fallback", content))
+    return (
+        ("transfer", is_transfer & F.col("transaction_hash").isNotNull(), [*place, ("nftId", F.col("nft_id")), ("transactionHash", F.col("transaction_hash"))]), ("transfer-fallback", is_transfer, content),
+        ("order", F.col("order_hash").isNotNull() & F.col("event_version").isNotNull(), [*place, ("orderHash", F.col("order_hash")), ("eventTimestamp", when), ("eventVersion", version)]), ("order-fallback", F.lit(True), content),
     )
+
+
+def with_dedupe_key(rows: DataFrame) -> DataFrame:
+    """Structured identity of each event; an event without the parts of one falls back to its own content."""
+    key = F.coalesce(*(F.when(has, N.dedupe_key(family, parts)) for family, has, parts in _identities()))
     return rows.withColumn("dedupe_key", key)
 
 
+def with_identity(rows: DataFrame) -> DataFrame:
+    """The same identity as plain text, for comparisons that need no key to store."""
+    text = lambda family, parts: F.concat_ws("\0", F.lit(family), *(F.coalesce(value, F.lit("\1")) for _, value in parts))
+    return rows.withColumn("identity", F.coalesce(*(F.when(has, text(family, parts)) for family, has, parts in _identities())))
+
+
 KEYED_SQL = JOURNAL_SQL + """, keyed AS (
 SELECT *, CASE
   WHEN event_type = 'item_transferred' AND transaction_hash IS NOT NULL THEN 'transfer:v1:' || sha256('{"components":{"chain":"' || chain || '","contractAddress":"' || contract_address || '","eventType":"' || event_type || '","nftId":"' || nft_id || '","transactionHash":"' || transaction_hash || '"},"family":"transfer","schema":"tidemark-dedupe","version":1}')
@@ -205,15 +216,29 @@ def count_pack_before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("*", *((F.col(f"{n}_after") - F.col(f"{n}_before")).alias(f"{n}_delta") for n in measures))
 
 
-@query("journal_signature", JOURNAL_SQL + """
-SELECT token_id, count(*) AS n, md5(string_agg(event_id || ':' || processing_status || ':' || coalesce(event_version, -1), chr(10) ORDER BY event_id)) AS signature
-FROM j GROUP BY token_id""")
+#: Rows of a signature that are hashed together, by id; the signature hashes the hashes, so no key's rows meet in one list.
+SIGNED_BLOCK = 4096
+
+
+@query("journal_signature", JOURNAL_SQL + f""", blocks AS (SELECT token_id, event_id // {SIGNED_BLOCK} AS block, count(*) AS n, md5(string_agg(event_id || ':' || processing_status || ':' || coalesce(event_version, -1), chr(10) ORDER BY event_id)) AS h FROM j GROUP BY ALL)
+SELECT token_id, CAST(sum(n) AS BIGINT) AS n, md5(string_agg(h, chr(10) ORDER BY block)) AS signature FROM blocks GROUP BY token_id""")
 def journal_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signature of each asset's rows, to be compared before and after a guarded run."""
     line = F.concat_ws(":", F.col("event_id").cast("string"), "processing_status", F.coalesce("event_version", F.lit(-1)).cast("string"))
-    lines = journal(spark, sf_dir).select("token_id", F.struct("event_id", line.alias("line")).alias("x"))
-    parts = lines.groupBy("token_id").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("x")).alias("xs"))
-    return parts.select("token_id", "n", F.md5(F.array_join("xs.line", "\n")).alias("signature"))
+    return signed(journal(spark, sf_dir), "token_id", {"signature": line}, F.md5)
+
+
+def signed(rows: DataFrame, key: str, lines: dict[str, Column], digest: Callable[[Column], Column], between: str = "\n") -> DataFrame:
+    """(key, n, a digest for each kind of line) over the rows of a key in the order of event_id; a null line is left out."""
+    blocks = rows.select(key, F.expr(f"event_id div {SIGNED_BLOCK}").alias("block"), "event_id", *(x.alias(f"line_{n}") for n, x in lines.items())).groupBy(key, "block").agg(
+        F.count(F.lit(1)).alias("n"), *(_digest(F.when(F.col(f"line_{n}").isNotNull(), F.struct("event_id", F.col(f"line_{n}").alias("line"))), digest, between).alias(n) for n in lines)
+    )
+    return blocks.groupBy(key).agg(F.sum("n").alias("n"), *(_digest(F.when(F.col(n).isNotNull(), F.struct("block", F.col(n).alias("line"))), digest, between).alias(n) for n in lines))
+
+
+def _digest(entry: Column, digest: Callable[[Column], Column], between: str) -> Column:
+    found = F.array_sort(F.collect_list(entry))
+    return F.when(F.size(found) > 0, digest(F.array_join(found["line"], between)))
 
 
 @query("type_distribution_map", JOURNAL_SQL + """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.inbox import KEYED_SQL, with_dedupe_key
+from tidemark.operators.inbox import KEYED_SQL, SIGNED_BLOCK, signed, with_dedupe_key, with_identity
 from tidemark.plans.registry import query
 from tidemark.sources.journal import HOUR, JOURNAL_SQL, NOW, journal, read
 
@@ -190,9 +190,9 @@ def durable_peer_safety(spark: SparkSession, sf_dir: str) -> DataFrame:
     per identity and version, which Spark cuts before the shuffle, so a group
     of many equal rows costs no square.
     """
-    rows = with_dedupe_key(journal(spark, sf_dir)).select(*PEER_GROUP, "event_id", "event_version", "transaction_hash", "dedupe_key")
+    rows = with_identity(journal(spark, sf_dir)).select(*PEER_GROUP, "event_id", "event_version", "transaction_hash", "identity")
     two = least_of(rows, [*PEER_GROUP, "event_version"], 2)
-    peer = F.struct("event_id", "event_version", "transaction_hash", "dedupe_key").alias("peer")
+    peer = F.struct("event_id", "event_version", "transaction_hash", "identity").alias("peer")
     # at most two rows a version, then two an identity, so these lists are short
     own = two.groupBy(*PEER_GROUP, F.coalesce("event_version", F.lit(-1)).alias("version")).agg(F.collect_list(peer).alias("own"))
     unversioned = two.where("event_version IS NULL").groupBy(*PEER_GROUP).agg(F.collect_list(peer).alias("unversioned"))
@@ -205,7 +205,7 @@ def durable_peer_safety(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = (
         F.when(F.col("p").isNull(), "SAFE_UNIQUE:").when(v.isNull() | w.isNull(), "AMBIGUOUS:same_identity_uncomparable_version")
         .when(t.isNull() | u.isNull(), "AMBIGUOUS:same_identity_missing_transaction_hash").when(t != u, "CONFLICT:same_identity_different_transaction_hash")
-        .when(F.col("dedupe_key") == F.col("p.dedupe_key"), "EQUIVALENT_DUPLICATE:equivalent_durable_event_duplicate").otherwise("AMBIGUOUS:same_identity_inconsistent_durable_representation")
+        .when(F.col("identity") == F.col("p.identity"), "EQUIVALENT_DUPLICATE:equivalent_durable_event_duplicate").otherwise("AMBIGUOUS:same_identity_inconsistent_durable_representation")
     )
     return others.select("event_id", F.split_part(verdict, F.lit(":"), F.lit(1)).alias("classification"), F.split_part(verdict, F.lit(":"), F.lit(2)).alias("reason"))
 
@@ -223,14 +223,14 @@ def live_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return active_orders(journal(spark, sf_dir)).where("expiration_ms IS NOT NULL").select("order_hash", "token_id", "expiration_ms", live.alias("visible"), F.when(live, "active").otherwise("expired").alias("status"))
 
 
-@query("fence_compare", JOURNAL_SQL + f""", f AS (
-SELECT token_id, string_agg(event_id || '/' || processing_status, ',' ORDER BY event_id) FILTER (WHERE received_ms <= {NOW}) AS before_fence,
-       string_agg(event_id || '/' || processing_status, ',' ORDER BY event_id) FILTER (WHERE received_ms <= {NOW + 24 * HOUR}) AS after_fence FROM j GROUP BY token_id)
-SELECT token_id, sha256(coalesce(before_fence, '')) AS pre, sha256(coalesce(after_fence, '')) AS post, coalesce(before_fence, '') = coalesce(after_fence, '') AS unchanged FROM f""")
+@query("fence_compare", JOURNAL_SQL + f""", blocks AS (
+SELECT token_id, event_id // {SIGNED_BLOCK} AS block, sha256(string_agg(event_id || '/' || processing_status, ',' ORDER BY event_id) FILTER (WHERE received_ms <= {NOW})) AS before_fence,
+       sha256(string_agg(event_id || '/' || processing_status, ',' ORDER BY event_id) FILTER (WHERE received_ms <= {NOW + 24 * HOUR})) AS after_fence FROM j GROUP BY ALL),
+f AS (SELECT token_id, sha256(string_agg(before_fence, ',' ORDER BY block)) AS pre, sha256(string_agg(after_fence, ',' ORDER BY block)) AS post FROM blocks GROUP BY token_id)
+SELECT token_id, pre, post, pre IS NOT DISTINCT FROM post AS unchanged FROM f""")
 def fence_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of each asset's events at two fences, a day apart."""
-    entry = F.struct("event_id", F.concat(F.col("event_id").cast("string"), F.lit("/"), F.col("processing_status")).alias("text"))
-    until = lambda fence: F.array_sort(F.collect_list(F.when(F.col("received_ms") <= fence, entry)))
-    rows = journal(spark, sf_dir).groupBy("token_id").agg(until(NOW).alias("a"), until(NOW + 24 * HOUR).alias("b"))
-    pre, post = (F.sha2(F.array_join(f"{x}.text", ","), 256) for x in "ab")
-    return rows.select("token_id", pre.alias("pre"), post.alias("post"), (pre == post).alias("unchanged"))
+    """Fingerprints of each asset's events at two fences, a day apart; null where there are none yet."""
+    text = F.concat(F.col("event_id").cast("string"), F.lit("/"), F.col("processing_status"))
+    until = lambda fence: F.when(F.col("received_ms") <= fence, text)
+    prints = signed(journal(spark, sf_dir), "token_id", {"pre": until(NOW), "post": until(NOW + 24 * HOUR)}, lambda x: F.sha2(x, 256), ",")
+    return prints.select("token_id", "pre", "post", F.col("pre").eqNullSafe(F.col("post")).alias("unchanged"))
