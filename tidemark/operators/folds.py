@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import rules as R
 from tidemark.plans.registry import query
 from tidemark.sources.journal import HOUR, JOURNAL_SQL, NOW, journal
 
@@ -190,22 +191,43 @@ def apply_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states.groupBy(final.alias("final_status"), "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
-#: The fence, in arrival time.
+#: The fence, in arrival time, and the end of the snapshot that was taken behind it.
 FENCE = NOW - 10 * 24 * HOUR
+SNAPSHOT_END = FENCE + 2 * HOUR
+#: Events behind the fence, some of which lack a business time or were not settled.
+LATER_EVENT = {"event_ms": "CASE WHEN event_id % 53 = 3 THEN NULL ELSE event_ms END", "processing_status": "CASE WHEN event_id % 7 IN (0, 1, 4) AND event_id % 29 <> 0 THEN 'applied' ELSE processing_status END"}
+#: What forbids to replay an order's events, tried from the top.
+REPLAY_PROBLEMS: R.Rules = (("POST_STABLE_EVENT_UNSAFE_STATUS", "unsafe"), ("POST_STABLE_EVENT_TIME_MISSING", "timeless"))
+_SETTLED = "processing_status IN ('applied', 'reconciliation_required')"
+_PASSED_OVER = "processing_status IN ('ignored_duplicate', 'ignored_older')"
 
 
-@query("replay_after_fence", JOURNAL_SQL + f""", later AS (SELECT * FROM j WHERE order_hash IS NOT NULL AND received_ms > {FENCE} AND event_ms > (SELECT max(event_ms) FROM j WHERE received_ms <= {FENCE}) - 86400000),
+@query("replay_after_fence", JOURNAL_SQL + f""", later AS (SELECT * FROM (SELECT * REPLACE ({', '.join(f'{e} AS {n}' for n, e in LATER_EVENT.items())}) FROM j WHERE order_hash IS NOT NULL AND received_ms > {FENCE}) WHERE NOT {_PASSED_OVER}),
 baseline AS (SELECT DISTINCT order_hash FROM j WHERE event_type = 'item_listed' AND received_ms <= {FENCE}),
-folded AS (SELECT order_hash, """ + duck_fold(ORDER_MACHINE, ORDER_ACTION, "", ORDER_EVENT) + """.s AS s, count(*) AS replayed FROM later JOIN baseline USING (order_hash) GROUP BY order_hash)
-SELECT b.order_hash, coalesce(s.status, 'none') AS status, coalesce(s.is_active, false) AS is_active, coalesce(replayed, 0) AS replayed FROM baseline b LEFT JOIN folded f USING (order_hash)""")
+flagged AS (SELECT order_hash, bool_or(NOT {_SETTLED}) AS unsafe, bool_or(event_ms IS NULL) AS timeless FROM later GROUP BY order_hash),
+folded AS (SELECT order_hash, """ + duck_fold(ORDER_MACHINE, ORDER_ACTION, "", ORDER_EVENT) + f""".s AS s, count(*) AS replayed FROM later JOIN baseline USING (order_hash) WHERE event_ms > {SNAPSHOT_END} GROUP BY order_hash),
+joined AS (SELECT b.order_hash, coalesce(unsafe, false) AS unsafe, coalesce(timeless, false) AS timeless, s, replayed FROM baseline b LEFT JOIN flagged USING (order_hash) LEFT JOIN folded USING (order_hash)),
+told AS (SELECT *, {R.first_text(REPLAY_PROBLEMS, None)} AS problem FROM joined)
+SELECT order_hash, problem, CASE WHEN problem IS NULL THEN coalesce(s.status, 'none') END AS status, CASE WHEN problem IS NULL THEN coalesce(s.is_active, false) END AS is_active, CASE WHEN problem IS NULL THEN coalesce(replayed, 0) ELSE 0 END AS replayed FROM told""")
 def replay_after_fence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of a baseline, replayed with events behind the fence whose business time is after the snapshot."""
-    rows = journal(spark, sf_dir)
-    orders = rows.where("order_hash IS NOT NULL")
-    end = rows.where(F.col("received_ms") <= FENCE).agg((F.max("event_ms") - 86_400_000).alias("end"))
-    later = orders.where(F.col("received_ms") > FENCE).crossJoin(F.broadcast(end)).where("event_ms > end").drop("end")  # one row
-    base = orders.where((F.col("event_type") == "item_listed") & (F.col("received_ms") <= FENCE)).select("order_hash").distinct()
-    grouped = ordered_events(later.join(base, "order_hash", "left_semi"), "order_hash", ORDER_EVENT)
-    folded = grouped.select("order_hash", F.expr(spark_fold(ORDER_MACHINE, ORDER_ACTION, "events")).alias("s"), F.size("events").cast("long").alias("replayed"))
-    joined = base.join(folded, "order_hash", "left")
-    return joined.select("order_hash", F.coalesce("s.status", F.lit("none")).alias("status"), F.coalesce("s.is_active", F.lit(False)).alias("is_active"), F.coalesce("replayed", F.lit(0)).alias("replayed"))
+    rows = journal(spark, sf_dir).where("order_hash IS NOT NULL")
+    base = rows.where((F.col("event_type") == "item_listed") & (F.col("received_ms") <= FENCE)).select("order_hash").distinct()
+    return replay(base, rows.where(F.col("received_ms") > FENCE).withColumns({n: R.expression(e) for n, e in LATER_EVENT.items()}), SNAPSHOT_END)
+
+
+def replay(baseline: DataFrame, events: DataFrame, snapshot_end: int) -> DataFrame:
+    """(order_hash, problem, status, is_active, replayed): orders of a baseline after the events behind its fence.
+
+    Ignored events are passed over. An order with an event that is not settled,
+    or has no business time, is not replayed; else those whose business time
+    is after the snapshot are folded.
+    """
+    later = events.where(f"NOT {_PASSED_OVER}").join(baseline, "order_hash", "left_semi")
+    flags = later.groupBy("order_hash").agg(F.bool_or(R.expression(f"NOT {_SETTLED}")).alias("unsafe"), F.bool_or(F.col("event_ms").isNull()).alias("timeless"))
+    grouped = ordered_events(later.where(F.col("event_ms") > snapshot_end), "order_hash", ORDER_EVENT)
+    folded = grouped.select("order_hash", F.expr(spark_fold(ORDER_MACHINE, ORDER_ACTION, "events")).alias("s"), F.size("events").cast("long").alias("count"))
+    told = baseline.join(flags, "order_hash", "left").join(folded, "order_hash", "left").withColumn("problem", R.first(REPLAY_PROBLEMS, None))
+    good = F.col("problem").isNull()
+    return told.select(
+        "order_hash", "problem", F.when(good, F.coalesce("s.status", F.lit("none"))).alias("status"), F.when(good, F.coalesce("s.is_active", F.lit(False))).alias("is_active"), F.when(good, F.coalesce("count", F.lit(0))).otherwise(0).cast("long").alias("replayed")
+    )

@@ -176,6 +176,21 @@ def sweeps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.derived(read(spark, sf_dir, "orders"), SWEEP)
 
 
+#: What keeps a snapshot's manifest from candidates.
+MANIFEST: R.Rules = (
+    ("SNAPSHOT_NOT_COMPLETE", f"transport <> 'COMPLETE' OR generation <> 'TRANSPORT_COMPLETE' OR NOT exhausted OR truncated OR malformed <> 0 OR conflicts <> 0 OR cycle OR {_SPAN}"),
+    ("SNAPSHOT_SEMANTICALLY_UNSAFE", "malformed <> 0 OR conflicts <> 0 OR cycle OR malformed IS NULL OR conflicts IS NULL"),
+)
+GENERATION = "CASE WHEN o_orderkey % 97 = 3 THEN 'OPEN' ELSE 'TRANSPORT_COMPLETE' END"
+
+
+@query("manifest_validation", f"WITH s AS ({R.derived_text('orders', {**SWEEP, 'generation': GENERATION})}), told AS (SELECT sweep_id, {R.reasons_text(MANIFEST)} AS reasons FROM s) SELECT *, reasons = '' AS eligible FROM told")
+def manifest_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a snapshot is complete, safe, in time order and of known origin."""
+    told = R.derived(read(spark, sf_dir, "orders"), {**SWEEP, "generation": GENERATION}).select("sweep_id", R.reasons(MANIFEST).alias("reasons"))
+    return told.select("*", (F.col("reasons") == "").alias("eligible"))
+
+
 @query("transport_accounting", f"WITH s AS ({R.derived_text('orders', SWEEP)}) SELECT sweep_id, {R.reasons_text(TRANSPORT)} AS reasons FROM s")
 def transport_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is wrong with a sweep's account of pages, requests and listings."""

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import normalise as N
 from tidemark.operators.inbox import KEYED_SQL, with_dedupe_key
-from tidemark.operators.joins import LATEST_SQL, NFT, PUBLICATIONS_SQL, latest_orders, publications
+from tidemark.operators.joins import LATEST_SQL, NFT, latest_orders
 from tidemark.plans.registry import query
-from tidemark.sources.journal import HOUR, JOURNAL_SQL, NOW, journal, read
+from tidemark.sources.journal import HOUR, JOURNAL_SQL, NOW, journal
 
 WINDOW_START, WINDOW_END = NOW - 10 * 24 * HOUR, NOW
 
@@ -58,23 +57,6 @@ def window_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BASELINE = NOW - 15 * 24 * HOUR
-MANIFEST_SQL = "WITH m AS (SELECT o_orderkey AS sweep_id, o_orderstatus = 'F' AS truncated, o_orderkey % 5 AS malformed, o_custkey % 7 AS conflicts, o_orderpriority LIKE '5%' AS cycle, o_totalprice > 20000 AS exhausted FROM orders)"
-
-
-@query("manifest_validation", MANIFEST_SQL + """
-SELECT sweep_id, array_to_string(list_sort(list_filter([CASE WHEN truncated OR NOT exhausted OR malformed > 0 OR conflicts > 0 OR cycle THEN 'SNAPSHOT_NOT_COMPLETE' END,
-       CASE WHEN malformed > 0 OR conflicts > 0 OR cycle THEN 'SNAPSHOT_SEMANTICALLY_UNSAFE' END], lambda x: x IS NOT NULL)), ',') AS reasons,
-       NOT (truncated OR NOT exhausted OR malformed > 0 OR conflicts > 0 OR cycle) AS eligible FROM m""")
-def manifest_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifests = read(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("sweep_id"), (F.col("o_orderstatus") == "F").alias("truncated"), (F.col("o_orderkey") % 5).alias("malformed"), (F.col("o_custkey") % 7).alias("conflicts"),
-        F.col("o_orderpriority").like("5%").alias("cycle"), (F.col("o_totalprice") > 20000).alias("exhausted"),
-    )
-    unsafe = (F.col("malformed") > 0) | (F.col("conflicts") > 0) | F.col("cycle")
-    incomplete = F.col("truncated") | ~F.col("exhausted") | unsafe
-    return manifests.select("sweep_id", N.reasons(("SNAPSHOT_NOT_COMPLETE", incomplete), ("SNAPSHOT_SEMANTICALLY_UNSAFE", unsafe)).alias("reasons"), (~incomplete).alias("eligible"))
-
-
 @query("peer_attempt_idempotence", KEYED_SQL + """
 SELECT dedupe_key, count(*) AS attempts, CASE WHEN bool_or(transaction_hash IS NULL) AND count(*) > 1 THEN 'INCOMPLETE' WHEN count(DISTINCT md5(coalesce(seller, '') || price_raw)) > 1 THEN 'CONFLICT' ELSE 'IDEMPOTENT' END AS verdict
 FROM keyed GROUP BY dedupe_key""")
