@@ -70,3 +70,11 @@ def test_lock_bucket_is_signed(spark):
 
 def test_reasons_are_sorted_and_distinct(spark):
     assert one(spark, N.reasons(("B", F.lit(True)), ("A", F.lit(True)), ("C", F.lit(None).cast("boolean")), ("B", F.lit(True)))) == "A,B"
+
+
+def test_attempt_ids_and_jitter(spark):
+    ids = ["123e4567-e89b-12d3-a456-426614174000", "123E4567-e89b-12d3-a456-426614174000", "123e4567e89b12d3a456426614174000", None]
+    rows = spark.createDataFrame([(i,) for i in ids], "x string")
+    assert [r["v"] for r in rows.select(N.is_attempt_id(F.col("x")).alias("v")).collect()] == [True, False, False, False]
+    delays = spark.range(1).select(*(N.backoff_ms(F.lit(n), jitter=F.lit(j)).alias(f"d{n}_{j}") for n, j in ((1, 0), (1, 50), (2, 100), (9, 100)))).first()
+    assert tuple(delays) == (5_000, 5_500, 12_000, 300_000)

@@ -34,6 +34,8 @@ def test_sequences_and_links(spark):
     there = spark.createDataFrame([("s", 4)], "scope string, sequence int")
     new = spark.createDataFrame([("s", "x"), ("s", "y"), ("t", "z")], "scope string, id string")
     assert rows(K.allocate_sequence(there, new, "scope", "sequence", ["id"]).select("id", "sequence")) == [("x", 5), ("y", 6), ("z", 1)]
+    again = spark.createDataFrame([("a", "x", 5), ("b", "y", 1)], "scope string, id string, sequence int")
+    assert rows(K.allocate_sequence(again, new.unionAll(new), "scope", "sequence", ["id"], ["id"]).select("id", "sequence")) == [("z", 1)]
     chain = spark.createDataFrame([("a", "d1", 1, None), ("a", "d2", 2, "d1"), ("a", "d3", 3, "d1")], "attempt string, id string, n int, previous_id string")
     assert [r["sound"] for r in K.linked(chain, ["attempt"], "id", "n").orderBy("n").collect()] == [True, True, False]
 

@@ -99,9 +99,19 @@ def lock_bucket(name: Column) -> Column:
     return F.conv(F.substring(F.sha2(name, 256), 1, 16), 16, -10).cast("long")
 
 
-def backoff_ms(attempt: Column, base: int = 5_000, most: int = 300_000) -> Column:
-    """Delay before the next attempt: doubles with each, up to a limit (jitter aside)."""
-    return F.least(F.lit(base) * F.pow(F.lit(2), F.least(attempt - 1, F.lit(30))), F.lit(most)).cast("long")
+def backoff_ms(attempt: Column, base: int = 5_000, most: int = 300_000, jitter: Column | None = None, percent: int = 20) -> Column:
+    """Delay before the next attempt: doubles with each, up to a limit.
+
+    ``jitter`` (0 to 100) adds that part of ``percent`` of the delay, within the limit; as a column it may be a hash of
+    the row, so that a repeated run gives the same times.
+    """
+    delay = F.least(F.lit(base) * F.pow(F.lit(2), F.least(attempt - 1, F.lit(30))), F.lit(most)).cast("long")
+    return delay if jitter is None else F.least(delay + F.floor(delay * jitter * percent / 10_000), F.lit(most)).cast("long")
+
+
+def is_attempt_id(value: Column) -> Column:
+    """Whether text is a UUID in its canonical form; false for null."""
+    return F.coalesce(value.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-[1-8][0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"), F.lit(False))
 
 
 def fits_uint256(value: Column) -> Column:

@@ -186,20 +186,20 @@ SELECT event_id,
             WHEN processing_status <> 'pending' THEN 'not_eligible' WHEN k % 12 = 0 THEN 'non_retryable_failed'
             WHEN attempt_count + 1 >= {MAX_ATTEMPTS} THEN 'retry_exhausted' ELSE 'retry_scheduled' END AS outcome,
        CASE WHEN processing_status = 'pending' AND k % 12 <> 0 AND attempt_count + 1 < {MAX_ATTEMPTS}
-            THEN {NOW} + CAST(least(5000 * pow(2, least(attempt_count, 30)), 300000) AS BIGINT) END AS next_retry_ms
-FROM j""")
+            THEN {NOW} + least(delay + delay * (event_id % 101) // 500, 300000) END AS next_retry_ms
+FROM (SELECT *, CAST(least(5000 * pow(2, least(attempt_count, 30)), 300000) AS BIGINT) AS delay FROM j)""")
 def retry_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return schedule_retry(journal(spark, sf_dir), F.col("k") % 12 == 0, NOW)
+    return schedule_retry(journal(spark, sf_dir), F.col("k") % 12 == 0, NOW, jitter=F.col("event_id") % 101)
 
 
-def schedule_retry(rows: DataFrame, non_retryable: Column, now: int, most: int = MAX_ATTEMPTS) -> DataFrame:
+def schedule_retry(rows: DataFrame, non_retryable: Column, now: int, most: int = MAX_ATTEMPTS, jitter: Column | None = None) -> DataFrame:
     """What a failed attempt on each row comes to; unknown errors count as retryable."""
     status, attempt = F.col("processing_status"), F.col("attempt_count") + 1
     outcome = (
         F.when(status.isin(*TERMINAL), "already_finalized").when(status != "pending", "not_eligible")
         .when(non_retryable, "non_retryable_failed").when(attempt >= most, "retry_exhausted").otherwise("retry_scheduled")
     )
-    return rows.select("event_id", outcome.alias("outcome"), F.when(outcome == "retry_scheduled", F.lit(now) + N.backoff_ms(attempt)).alias("next_retry_ms"))
+    return rows.select("event_id", outcome.alias("outcome"), F.when(outcome == "retry_scheduled", F.lit(now) + N.backoff_ms(attempt, jitter=jitter)).alias("next_retry_ms"))
 
 
 @query("count_pack_before_after", JOURNAL_SQL + f""", packs AS (

@@ -234,3 +234,28 @@ def fence_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     until = lambda fence: F.when(F.col("received_ms") <= fence, text)
     prints = signed(journal(spark, sf_dir), "token_id", {"pre": until(NOW), "post": until(NOW + 24 * HOUR)}, lambda x: F.sha2(x, 256), ",")
     return prints.select("token_id", "pre", "post", F.col("pre").eqNullSafe(F.col("post")).alias("unchanged"))
+
+
+_ORDER_BLOCKS = "sha256(string_agg(event_id || '/' || processing_status, ',' ORDER BY event_id) FILTER (WHERE received_ms <= {}))"
+
+
+@query("order_fence_compare", JOURNAL_SQL + f""", o AS (SELECT order_hash, token_id, event_id // {SIGNED_BLOCK} AS block, {_ORDER_BLOCKS.format(NOW)} AS a, {_ORDER_BLOCKS.format(NOW + 24 * HOUR)} AS b FROM j WHERE order_hash IS NOT NULL GROUP BY ALL),
+own AS (SELECT order_hash, token_id, sha256(string_agg(a, ',' ORDER BY block)) AS pre, sha256(string_agg(b, ',' ORDER BY block)) AS post FROM o GROUP BY ALL),
+t AS (SELECT token_id, event_id // {SIGNED_BLOCK} AS block, {_ORDER_BLOCKS.format(NOW)} AS a, {_ORDER_BLOCKS.format(NOW + 24 * HOUR)} AS b FROM j WHERE event_type = 'item_transferred' GROUP BY ALL),
+moved AS (SELECT token_id, sha256(string_agg(a, ',' ORDER BY block)) AS pre, sha256(string_agg(b, ',' ORDER BY block)) AS post FROM t GROUP BY token_id)
+SELECT order_hash, md5(coalesce(o.pre, '') || '|' || coalesce(m.pre, '')) AS pre, md5(coalesce(o.post, '') || '|' || coalesce(m.post, '')) AS post,
+       o.pre IS NOT DISTINCT FROM o.post AND m.pre IS NOT DISTINCT FROM m.post AS unchanged FROM own o LEFT JOIN moved m USING (token_id)""")
+def order_fence_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of what concerns each order at two fences: its own events, and the transfers of its asset.
+
+    The two are signed apart and their signatures joined, so that no order meets the transfers one by one.
+    """
+    rows = journal(spark, sf_dir)
+    text = F.concat(F.col("event_id").cast("string"), F.lit("/"), F.col("processing_status"))
+    lines = {n: F.when(F.col("received_ms") <= fence, text) for n, fence in (("pre", NOW), ("post", NOW + 24 * HOUR))}
+    digest = lambda x: F.sha2(x, 256)
+    own = signed(rows.where("order_hash IS NOT NULL"), "order_hash", lines, digest, ",").join(rows.where("order_hash IS NOT NULL").groupBy("order_hash").agg(F.min("token_id").alias("token_id")), "order_hash")
+    moved = signed(rows.where("event_type = 'item_transferred'"), "token_id", lines, digest, ",").select("token_id", F.col("pre").alias("moved_pre"), F.col("post").alias("moved_post"))
+    both = own.join(moved, "token_id", "left")
+    joint = lambda n: F.md5(F.concat_ws("|", F.coalesce(n, F.lit("")), F.coalesce(f"moved_{n}", F.lit("")))).alias(n)
+    return both.select("order_hash", joint("pre"), joint("post"), (F.col("pre").eqNullSafe(F.col("post")) & F.col("moved_pre").eqNullSafe(F.col("moved_post"))).alias("unchanged"))

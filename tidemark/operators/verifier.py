@@ -202,6 +202,19 @@ def target_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("sweep_id", "order_hash", R.first(TARGETING, "TARGETED").alias("outcome"))
 
 
+#: A worker that reports on an attempt, with the lease it believes to hold.
+LEASE = {"attempt_id": "o_orderkey", "lifecycle": "CASE o_orderkey % 5 WHEN 3 THEN 'COMPLETE' ELSE 'REQUEST_PENDING' END", "token": "md5(CAST(o_custkey AS STRING))", "given": "CASE WHEN o_orderkey % 7 = 3 THEN 'other' ELSE md5(CAST(o_custkey AS STRING)) END", "lease_ms": f"{NOW} + (o_custkey % 41 - 20) * 60000"}
+SETTLEMENT: R.Rules = (("ALREADY_SETTLED", "lifecycle IN ('COMPLETE', 'FAILED')"), ("LEASE_LOST", "token IS NULL OR given IS NULL OR token <> given"), ("LEASE_EXPIRED", f"lease_ms <= {NOW}"))
+
+
+@query("lease_settlement", f"WITH l AS ({R.derived_text('orders', LEASE)}), told AS (SELECT *, {R.first_text(SETTLEMENT, 'SETTLED')} AS outcome FROM l) SELECT attempt_id, outcome, CASE WHEN outcome = 'SETTLED' THEN 'COMPLETE' ELSE lifecycle END AS lifecycle, CASE WHEN outcome <> 'SETTLED' THEN token END AS token FROM told")
+def lease_settlement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results are taken from the holder of an unexpired lease alone; the lease ends with them."""
+    told = R.derived(read(spark, sf_dir, "orders"), LEASE).withColumn("outcome", R.first(SETTLEMENT, "SETTLED"))
+    taken = F.col("outcome") == "SETTLED"
+    return told.select("attempt_id", "outcome", F.when(taken, "COMPLETE").otherwise(F.col("lifecycle")).alias("lifecycle"), F.when(~taken, F.col("token")).alias("token"))
+
+
 @query("permit_throttle", ATTEMPTS_SQL + """, asked AS (SELECT attempt_id, subject, row_number() OVER (PARTITION BY subject ORDER BY lease_ms, attempt_id) - 1 AS place FROM attempts WHERE lifecycle = 'CREATED')
 SELECT attempt_id, subject, place // 2 AS second, CAST(place % 2 AS INTEGER) AS permit FROM asked""")
 def permit_throttle(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,8 +52,14 @@ def compare_and_set(rows: DataFrame, column: str, expected: str, value: str, sel
     return marked.withColumn("changed", hit).withColumn(column, F.when(hit, F.lit(value)).otherwise(F.col(column))).drop("_selected")
 
 
-def allocate_sequence(existing: DataFrame, incoming: DataFrame, scope: str, sequence: str, order: Sequence[str]) -> DataFrame:
-    """``incoming`` with the next sequence numbers of its scope, without gaps, in the given order."""
+def allocate_sequence(existing: DataFrame, incoming: DataFrame, scope: str, sequence: str, order: Sequence[str], identity: Sequence[str] = ()) -> DataFrame:
+    """``incoming`` with the next sequence numbers of its scope, without gaps, in the given order.
+
+    With ``identity``, rows that are there already, and repetitions among the new ones, are left out: writing the same
+    rows again allocates nothing.
+    """
+    if identity:
+        incoming = incoming.dropDuplicates(list(identity)).join(existing.select(*identity), list(identity), "left_anti")
     top = existing.groupBy(scope).agg(F.max(sequence).alias("_top"))
     place = F.row_number().over(Window.partitionBy(scope).orderBy(*order))
     return incoming.withColumn("_place", place).join(top, scope, "left").withColumn(sequence, F.coalesce("_top", F.lit(0)) + F.col("_place")).drop("_top", "_place")
