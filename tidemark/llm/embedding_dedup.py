@@ -338,9 +338,15 @@ def count_links(members: DataFrame, width: int, s: Settings) -> DataFrame:
     return direct.unionAll(inner).unionAll(ordered.mapInArrow(compare, "id long, links long")).groupBy("id").agg(F.sum("links").alias("links"))
 
 
-def _joined(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, component) of all nodes by the links (a, b)."""
-    return cut(nodes.select("id").join(components(links), "id", "left").select("id", F.coalesce("component", "id").alias("component")), "named")
+def _joined(named: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, component) with the components that links (a, b) join made one, by the graph of components alone."""
+    a, b = (named.select(F.col("id").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
+    bridges = links.join(a, "a").join(b, "b").where("of_a <> of_b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).distinct()
+    bridges = cut(bridges, "bridges")
+    if bridges.isEmpty():
+        return named
+    roots = components(bridges).select(F.col("id").alias("component"), F.col("component").alias("root"))
+    return cut(named.join(roots, "component", "left").select("id", F.coalesce("root", "component").alias("component")), "named")
 
 
 def linked_components(nodes: DataFrame, width: int, s: Settings) -> tuple[DataFrame, float]:
@@ -357,14 +363,12 @@ def linked_components(nodes: DataFrame, width: int, s: Settings) -> tuple[DataFr
             graph = graph.unionAll(cut(in_runs(own, width, s, orders, turn, s.threshold).select("a", "b", "cosine"), "fresh"))
         better = cut(descend(graph, own, width, s, turn), "graph")
         links = graph.unionAll(better).where(F.col("cosine") >= s.threshold).select("a", "b")
-        # a component's links may leave the lists, so it is kept as links to its least node
-        links = links.unionAll(named.select("id", "component"))
-        named = _joined(nodes, links if missed is None else links.unionAll(missed))
+        named = _joined(named, links if missed is None else links.unionAll(missed))
         left = named.where("id = component").count()
         recall, missed = audit(nodes.join(named, "id"), width, s, turn)
         idle = idle + 1 if left == count else 0
         if idle and recall >= s.recall:
-            return _joined(nodes, missed.unionAll(named.select("id", "component"))), recall
+            return _joined(named, missed), recall
         if idle >= s.stalled:
             raise RuntimeError(f"near-duplicate vectors: rounds find no more links, with a recall of {recall:.4f} below {s.recall}")
         orders *= 1 if recall >= s.recall else 2
