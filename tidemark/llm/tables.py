@@ -47,8 +47,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     The files outlive lost executors, and later readers prune columns. They
     hold hashes and texts, where dictionaries of values gain nothing. What
     the write shuffled is removed once it is done, as nothing reads it again.
-    The folder stays behind; the cluster's policy for ``spark.checkpoint.dir``
-    removes it.
+    The folder stays behind until ``drop``, or the cluster's policy for
+    ``spark.checkpoint.dir``, removes it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -58,4 +58,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(path)
     finally:
         spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.cut_path = path
+    return found
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote, once nothing reads them any more."""
+    for table_ in tables:
+        spark = table_.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_.cut_path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
