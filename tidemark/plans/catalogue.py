@@ -1,6 +1,6 @@
 """All queries; importing the operators registers them."""
 
-from tidemark.operators import decisions, evidence_graph, evidence_store, folds, generations, inbox, joins, listings, observer, probe, reconcile, stream_events, verifier, windows  # noqa: F401
+from tidemark.operators import decisions, evidence_graph, evidence_store, folds, generations, inbox, joins, listings, long_folds, observer, probe, reconcile, stream_events, verifier, windows  # noqa: F401
 from tidemark.sources import pages  # noqa: F401
 from tidemark.streaming import state  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,20 +14,11 @@ from tidemark.operators.folds import ORDER_EVENT, _STATE_SQL, STATE_COLUMNS, ORD
 from tidemark.operators.inbox import KEYED_SQL, with_dedupe_key
 from tidemark.plans.registry import query
 from tidemark.sources.journal import JOURNAL_SQL, project, read
+from tidemark.sources.staging import shared_folder
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Where checkpoints and sinks of a bounded run go: the cluster's folder, or a temporary one on a local master."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        found = tempfile.mkdtemp(prefix="tidemark-stream-")
-    return f"{found}/{uuid.uuid4().hex}"
-
-
 def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 64) -> DataFrame:
     """Journal rows as they arrive in the events folder; a batch takes a bounded number of files, the rest waits."""
     schema = read(spark, sf_dir, "events").schema
@@ -50,6 +39,10 @@ def drain(stream: DataFrame, spark: SparkSession, mode: str = "append") -> DataF
     return spark.read.schema(stream.schema).parquet(f"{place}/table")
 
 
+#: Whole numbers of an event. They travel as text, as pandas would make a column with nulls one of floats, which lose digits and are no whole numbers to the state.
+WHOLE = ("at", "id", "ms", "ver", "exp")
+
+
 class OrderFold(StatefulProcessor):
     """Keeps one order's state and gives it out after each batch of its events."""
 
@@ -58,8 +51,11 @@ class OrderFold(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
         held = dict(zip(FIELDS, self.state.get(), strict=True)) if self.state.exists() else empty()
-        events = pd.concat(rows).sort_values(["at", "id"]).astype(object)
-        for event in events.where(events.notna(), None).to_dict("records"):
+        events = pd.concat(rows).astype(object)
+        found = events.where(events.notna(), None).to_dict("records")
+        for event in found:
+            event.update((n, None if event[n] is None else int(event[n])) for n in WHOLE)
+        for event in sorted(found, key=lambda e: (e["at"], e["id"])):
             held = reduce_order(held, event)
         self.state.update(tuple(held.values()))
         if held["here"]:
@@ -70,8 +66,14 @@ class OrderFold(StatefulProcessor):
 
 
 def order_state_stream(stream: DataFrame) -> DataFrame:
-    """State of every order that a batch touched; the last row of an order is its current state."""
-    events = stream.where("order_hash IS NOT NULL").select("order_hash", *(F.expr(e).alias(n) for n, e in ORDER_EVENT.items()))
+    """State of every order that a batch touched; the last row of an order is its current state.
+
+    A batch's events are folded in arrival order onto the state that all earlier
+    batches left. So the state equals the batch fold if no event comes in a later
+    batch than one that arrived after it; one that does is folded when it comes.
+    """
+    values = {n: F.expr(e) for n, e in ORDER_EVENT.items()}
+    events = stream.where("order_hash IS NOT NULL").select("order_hash", *((c.cast("string") if n in WHOLE else c).alias(n) for n, c in values.items()))
     schema = "order_hash string, " + ", ".join(f"{n} {FIELDS[n]}" for n in STATE_COLUMNS)
     return events.groupBy("order_hash").transformWithStateInPandas(OrderFold(), schema, outputMode="Update", timeMode="None")
 
