@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,18 @@ from tidemark.sources.staging import shared_folder
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def rocks_state(spark: SparkSession) -> Iterator[None]:
+    """The state store that ``transformWithState`` needs, while a stream runs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 64) -> DataFrame:
     """Journal rows as they arrive in the events folder; a batch takes a bounded number of files, the rest waits."""
     schema = read(spark, sf_dir, "events").schema
@@ -88,10 +101,7 @@ FROM j WHERE order_hash IS NOT NULL GROUP BY order_hash)
 SELECT order_hash, {_STATE_SQL} FROM folded WHERE s.here""")
 def streaming_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events there are, through the stateful operator; equal to the batch fold."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, ROCKS)
-    try:
+    with rocks_state(spark):
         place = shared_folder(spark)
 
         def keep(batch: DataFrame, number: int) -> None:
@@ -100,8 +110,6 @@ def streaming_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = order_state_stream(event_stream(spark, sf_dir))
         started = stream.writeStream.outputMode("update").option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).foreachBatch(keep).start()
         started.awaitTermination()
-    finally:
-        spark.conf.set(name, before)
     touched = spark.read.parquet(f"{place}/table/*")
     newest = touched.groupBy("order_hash").agg(F.max_by(F.struct(*STATE_COLUMNS), "batch").alias("s"))
     return newest.select("order_hash", "s.*")
