@@ -1,7 +1,7 @@
 """All queries; importing the operators registers them."""
 
 from tidemark.operators import decisions, evidence_graph, evidence_store, folds, generations, inbox, joins, listings, long_folds, observer, probe, reconcile, stream_events, verifier, windows  # noqa: F401
-from tidemark.sources import pages, provider  # noqa: F401
+from tidemark.sources import ingress, pages, provider  # noqa: F401
 from tidemark.streaming import admission, barrier, state  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
