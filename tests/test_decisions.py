@@ -15,7 +15,7 @@ ATTEMPT = dict(
     active_sequence=5, active_hash="o", presence="ABSENT", pre_fingerprint="f", post_fingerprint="f", ambiguous=False, journal_fingerprint="f", pre_ms=10, pre_id=1, post_ms=20, post_id=2, journal_ms=20, journal_id=2, active_ms=20, active_id=2,
     lifecycle="COMPLETE", provider_status="INACTIVE_CONFIRMED", final_status="INACTIVE_CONFIRMED", failure=None, retryable=False,
 )
-LATER = dict(attempt_id=1, entry=1, identity_ok=True, own_commitment=-1, published_ok=True, later_sequence=5, later_state="ACTIVE_CONFIRMED", later_final="ACTIVE_CONFIRMED", later_lifecycle="COMPLETE", later_failure=None, later_retryable=False, later_fence="ACTIVE_CONFIRMED", start_ms=30, start_id=1)
+LATER = dict(attempt_id=1, entry=1, identity_ok=True, own_commitment=-1, published_ok=True, later_sequence=5, later_state="ACTIVE_CONFIRMED", later_final="ACTIVE_CONFIRMED", later_lifecycle="COMPLETE", later_failure=None, later_retryable=False, later_fence="ACTIVE_CONFIRMED", start_ms=30, start_id=3)
 
 
 def frame(spark, rows):
@@ -43,7 +43,9 @@ CASES = [
     (dict(active_id=3, presence="PRESENT"), None, "RECONCILIATION_REQUIRED", "CURRENT_JOURNAL_BEHIND_ACTIVE_EVIDENCE"),
     (dict(pre_fingerprint="e", presence="PRESENT"), None, "RECONCILIATION_REQUIRED", "FENCE_A_UNPROVEN"),
     (dict(ambiguous=True), None, "RECONCILIATION_REQUIRED", "FENCE_A_UNPROVEN"),
-    (dict(pre_ms=21), None, "RECONCILIATION_REQUIRED", "FENCE_A_UNPROVEN"),
+    (dict(pre_id=9), None, "RECONCILIATION_REQUIRED", "FENCE_A_UNPROVEN"),
+    (dict(pre_id=9, pre_ms=1), None, "RECONCILIATION_REQUIRED", "FENCE_A_UNPROVEN"),  # ids come before times
+    (dict(pre_id=1, pre_ms=99), None, "SHADOW_ELIGIBLE", ""),
     (dict(presence="PRESENT", lifecycle="FAILED"), None, "BLOCKED_BY_LATER_EVIDENCE", "CURRENT_ACTIVE_EVIDENCE_PRESENT"),
     (dict(lifecycle="FAILED", failure="STALE"), None, "SHADOW_INELIGIBLE", "CANDIDATE_NOT_COMPLETE"),
     (dict(final_status="STALE"), {}, "SHADOW_INELIGIBLE", "ATTEMPT_NOT_INACTIVE_CONFIRMED"),
@@ -51,7 +53,8 @@ CASES = [
     (dict(retryable=True), None, "SHADOW_INELIGIBLE", "ATTEMPT_NOT_INACTIVE_CONFIRMED"),
     ({}, {}, "BLOCKED_BY_LATER_EVIDENCE", "LATER_ACTIVE_CONFIRMED"),
     ({}, dict(start_ms=20, start_id=2), "RECONCILIATION_REQUIRED", "ACTIVE_ORDERING_UNPROVEN"),
-    ({}, dict(start_ms=5), "SHADOW_ELIGIBLE", ""),
+    ({}, dict(start_id=1, start_ms=99), "SHADOW_ELIGIBLE", ""),
+    ({}, dict(start_id=3, start_ms=5), "BLOCKED_BY_LATER_EVIDENCE", "LATER_ACTIVE_CONFIRMED"),
     ({}, dict(own_commitment=9, later_sequence=6), "BLOCKED_BY_LATER_EVIDENCE", "LATER_ACTIVE_CONFIRMED"),
     ({}, dict(own_commitment=9, later_sequence=5), "RECONCILIATION_REQUIRED", "ACTIVE_ORDERING_UNPROVEN"),
     ({}, dict(own_commitment=9, later_sequence=4), "SHADOW_ELIGIBLE", ""),
@@ -84,7 +87,7 @@ def test_two_passes_must_agree(spark):
     assert {r["attempt_id"]: r["outcome"] for r in D.stable(one, two).collect()} == {1: "EVALUATED", 2: "SOURCE_CHANGED_DURING_EVALUATION", 3: "UNPROVEN"}
 
 
-LOCAL = dict(order_hash="o", identity_hash="o", status="active", is_active=True, needs_reconciliation=False, created_ms=1, updated_ms=1, last_ms=100, last_version=2, identity_status="VALID")
+LOCAL = dict(order_hash="o", identity_hash="o", status="active", is_active=True, needs_reconciliation=False, created_ms=1, updated_ms=1, last_ms=100, last_version=2, identity_status="VALID", sweep_id=1)
 EVENT = dict(order_hash="o", event_type="item_listed", processing_status="applied", event_ms=90, event_version=1, received_ms=1, unresolved=False, ambiguous=False)
 BLOCKS = [
     (dict(status="sold"), {}, "ORDER_NOT_ACTIVE"), (dict(is_active=False), {}, "ORDER_NOT_ACTIVE"), (dict(needs_reconciliation=True), {}, "NEEDS_RECONCILIATION"), (dict(updated_ms=G.BASELINE + 1), {}, "ORDER_CREATED_OR_UPDATED_AFTER_BASELINE"), (dict(identity_hash="p"), {}, "INVALID_LOCAL_IDENTITY"),
@@ -99,14 +102,14 @@ def test_candidates_are_blocked_by_each_reason(spark):
     local = frame(spark, [{**LOCAL, "order_hash": str(i), "identity_hash": str(i), **{k: (v if k != "identity_hash" else "other") for k, v in change.items()}} for i, (change, _, _) in enumerate(BLOCKS)])
     events = frame(spark, [{**EVENT, "order_hash": str(i), **change} for i, (_, change, _) in enumerate(BLOCKS)])
     seen = frame(spark, [{"order_hash": str(i)} for i in range(len(BLOCKS))])
-    found = {int(r["order_hash"]): (r["reasons"], r["class"]) for r in G.classify_candidates(local, seen, events).collect()}
+    found = {int(r["order_hash"]): (r["reasons"], r["class"]) for r in G.classify_candidates(local, seen, events, frame(spark, [dict(sweep_id=1, manifest="")])).collect()}
     assert found == {i: (why, "BLOCKED" if why else "PRESENT") for i, (_, _, why) in enumerate(BLOCKS)}
 
 
 def test_repeated_identities_are_ambiguous_and_the_rest_is_present_or_absent(spark):
     local = frame(spark, [LOCAL, {**LOCAL, "order_hash": "p", "identity_hash": "p"}, {**LOCAL, "order_hash": "q", "identity_hash": "q"}, {**LOCAL, "order_hash": "q", "identity_hash": "q"}, {**LOCAL, "order_hash": "r", "identity_hash": "r"}])
     seen = frame(spark, [{"order_hash": h} for h in ("o", "r", "r")])
-    found = sorted((r["order_hash"], r["class"], r["reasons"]) for r in G.classify_candidates(local, seen, frame(spark, [{**EVENT, "order_hash": "z"}])).collect())
+    found = sorted((r["order_hash"], r["class"], r["reasons"]) for r in G.classify_candidates(local, seen, frame(spark, [{**EVENT, "order_hash": "z"}]), frame(spark, [dict(sweep_id=1, manifest="")])).collect())
     again = ("BLOCKED", "IDENTITY_AMBIGUOUS")
     assert found == [("o", "PRESENT", ""), ("p", "ABSENT_CANDIDATE", ""), ("q", *again), ("q", *again), ("r", *again)]
 
@@ -118,6 +121,27 @@ SWEEP = dict(
 ROUND = dict(sweep_id=1, round=1, order_by=0, seen_ms=10, seen_id=2, pending=0, processing=0, failed=0, unresolved=0, unknown=0)
 
 
+def test_a_snapshot_that_is_not_whole_blocks_all_its_orders(spark):
+    """An order that such a snapshot doesn't show is no candidate."""
+    local = frame(spark, [{**LOCAL, "order_hash": h, "identity_hash": h, "sweep_id": i} for i, h in enumerate("abcd")])
+    manifests = frame(spark, [dict(sweep_id=i, manifest=m) for i, m in enumerate(("", "SNAPSHOT_NOT_COMPLETE", "SNAPSHOT_NOT_COMPLETE,SNAPSHOT_SEMANTICALLY_UNSAFE"))])
+    found = {r["order_hash"]: (r["class"], r["reasons"]) for r in G.classify_candidates(local, frame(spark, [{"order_hash": "z"}]), frame(spark, [{**EVENT, "order_hash": "z"}]), manifests).collect()}
+    assert found == {"a": ("ABSENT_CANDIDATE", ""), "b": ("BLOCKED", "SNAPSHOT_NOT_COMPLETE"), "c": ("BLOCKED", "SNAPSHOT_NOT_COMPLETE,SNAPSHOT_SEMANTICALLY_UNSAFE"), "d": ("BLOCKED", "SNAPSHOT_NOT_COMPLETE")}
+
+
+CANDIDATE = dict(sweep_id=1, order_hash="o", **{"class": "ABSENT_CANDIDATE"}, identity_ok=True, row_authority=False)
+BUNDLE = dict(sweep_id=1, model_ok=True, manifest_ok=True, bundle_authority=False, own_sweep=True)
+
+
+def test_a_bad_bundle_keeps_sound_candidates_back(spark):
+    changes = [({}, {}, ""), ({}, dict(model_ok=False), "INVALID_CANDIDATE_BUNDLE"), ({}, dict(manifest_ok=False), "INVALID_CANDIDATE_BUNDLE"), ({}, dict(bundle_authority=True), "INVALID_CANDIDATE_AUTHORITY"), ({}, dict(own_sweep=False), "CANDIDATE_SWEEP_MISMATCH"), (dict(row_authority=True), {}, "INVALID_CANDIDATE_AUTHORITY"), (dict(identity_ok=False), {}, "INVALID_CANDIDATE_IDENTITY"), ({"class": "GONE"}, {}, "UNKNOWN_CANDIDATE_CLASSIFICATION")]
+    candidates = frame(spark, [{**CANDIDATE, "sweep_id": i, **c} for i, (c, _, _) in enumerate(changes)] + [{**CANDIDATE, "sweep_id": 50}])
+    bundles = frame(spark, [{**BUNDLE, "sweep_id": i, **b} for i, (_, b, _) in enumerate(changes)])
+    generations = frame(spark, [dict(sweep_id=i, state="VERIFIED") for i in (*range(len(changes)), 50)])
+    found = {r["sweep_id"]: (r["reasons"], r["eligible"]) for r in G.advance_candidates(candidates, bundles, generations).collect()}
+    assert found == {**{i: (why, why == "") for i, (_, _, why) in enumerate(changes)}, 50: ("INVALID_CANDIDATE_BUNDLE", False)}
+
+
 def sweep_of(spark, change, rounds):
     given = frame(spark, [{**ROUND, "sweep_id": -1}, *({**ROUND, "round": i, **r} for i, r in enumerate(rounds))])
     (row,) = G.evaluate_generations(frame(spark, [{**SWEEP, **change}]), given).collect()
@@ -156,7 +180,7 @@ SEEN = dict(attempt_id=1, bound=True, transport="HTTP", http=200, body="LISTING"
         ({}, "ACTIVE_CONFIRMED", ""), (dict(bound=False), "PROVENANCE_MISMATCH", "HTTP_STATUS_OR_BODY_UNPROVEN"), (dict(transport="TIMEOUT"), "TRANSPORT_FAILED", "REQUEST_TIMEOUT"), (dict(http=429), "RATE_LIMITED", "HTTP_429"), (dict(http=503), "TRANSPORT_FAILED", "HTTP_503"),
         (dict(http=520), "TRANSPORT_FAILED", "HTTP_5XX_PROVIDER_FAILURE"), (dict(http=409), "AMBIGUOUS", "HTTP_409_PROVIDER_CONFLICT"), (dict(http=404), "UNKNOWN", "HTTP_404_NOT_STATE_PROOF"), (dict(http=204), "UNKNOWN", "HTTP_STATUS_OR_BODY_UNPROVEN"), (dict(body="BROKEN"), "MALFORMED_RESPONSE", "MALFORMED_JSON"),
         (dict(quantity=0), "UNKNOWN", "ACTIVE_QUANTITY_UNPROVEN"), (dict(date_ms=None), "UNKNOWN", "ACTIVE_TIME_UNPROVEN"), (dict(start_ms=10**6), "UNKNOWN", "ACTIVE_TIME_UNPROVEN"), (dict(end_ms=10**6 + 1000), "UNKNOWN", "ACTIVE_TIME_UNPROVEN"), (dict(provider="INACTIVE"), "INACTIVE_CONFIRMED", ""),
-        (dict(provider="INACTIVE", date_ms=10**7), "UNKNOWN", "OBSERVATION_TIME_INVALID"), (dict(provider="CANCELLED"), "TERMINAL_CONFIRMED", ""), (dict(provider="EXPIRED", end_ms=5), "EXPIRED_CONFIRMED", ""), (dict(provider="EXPIRED"), "UNKNOWN", "OBSERVATION_TIME_INVALID"), (dict(provider="LOST"), "UNKNOWN", "UNKNOWN_PROVIDER_STATUS"),
+        (dict(provider="INACTIVE", date_ms=10**7), "UNKNOWN", "OBSERVATION_TIME_INVALID"), (dict(provider="CANCELLED"), "TERMINAL_CONFIRMED", ""), (dict(provider="INACTIVE", end_ms=None), "UNKNOWN", "OBSERVATION_TIME_INVALID"), (dict(provider="FULFILLED", start_ms=None), "UNKNOWN", "OBSERVATION_TIME_INVALID"), (dict(provider="EXPIRED", start_ms=None, end_ms=5), "UNKNOWN", "OBSERVATION_TIME_INVALID"), (dict(provider="EXPIRED", end_ms=5), "EXPIRED_CONFIRMED", ""), (dict(provider="EXPIRED"), "UNKNOWN", "OBSERVATION_TIME_INVALID"), (dict(provider="LOST"), "UNKNOWN", "UNKNOWN_PROVIDER_STATUS"),
     ],
 )
 def test_provider_answers(spark, change, status, reason):

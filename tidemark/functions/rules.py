@@ -46,8 +46,8 @@ def first_text(rules: Rules, otherwise: str | None) -> str:
 
 
 def later(a: str, b: str) -> str:
-    """Condition that the watermark (``a_ms``, ``a_id``) lies after that of ``b``."""
-    return f"({a}_ms > {b}_ms OR ({a}_ms = {b}_ms AND {a}_id > {b}_id))"
+    """Condition that the watermark (``a_id``, ``a_ms``) lies after that of ``b``: by id, and by time where ids are equal."""
+    return f"({a}_id > {b}_id OR ({a}_id = {b}_id AND {a}_ms > {b}_ms))"
 
 
 def derived(table: DataFrame, columns: dict[str, str]) -> DataFrame:

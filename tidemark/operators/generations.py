@@ -18,8 +18,9 @@ BASELINE = NOW - 15 * 24 * HOUR
 _TYPES = ", ".join(f"'{t}'" for t in (*FAMILIES.values(), "order_revalidate"))
 _KNOWN = ", ".join(f"'{s}'" for s in STATUSES)
 
-#: What a local order's own columns say against it.
+#: What a local order's own columns, and the manifest of the snapshot that should show it, say against it.
 ORDER_REASONS: R.Rules = (
+    ("SNAPSHOT_NOT_COMPLETE", "manifest IS NULL OR manifest LIKE '%SNAPSHOT_NOT_COMPLETE%'"), ("SNAPSHOT_SEMANTICALLY_UNSAFE", "manifest LIKE '%SNAPSHOT_SEMANTICALLY_UNSAFE%'"),
     ("IDENTITY_AMBIGUOUS", "copies > 1 OR seen_copies > 1 OR identities > 1 OR order_hash = ''"),
     ("INVALID_LOCAL_IDENTITY", "identity_status = 'INVALID_LOCAL_IDENTITY' OR (identity_status = 'VALID' AND identity_hash <> order_hash)"), ("UNSUPPORTED_LOCAL_SCOPE", "identity_status = 'UNSUPPORTED_LOCAL_SCOPE'"),
     ("ORDER_NOT_ACTIVE", "status <> 'active' OR NOT is_active"), ("NEEDS_RECONCILIATION", "needs_reconciliation"),
@@ -36,33 +37,58 @@ EVENT_REASONS: R.Rules = (
 )
 CLASSES: R.Rules = (("BLOCKED", "reasons <> ''"), ("PRESENT", "is_seen"))
 
+#: A sweep's account of its transport, its provenance and its barriers.
+SWEEP = {
+    "sweep_id": "o_orderkey", "started_ms": f"{NOW} + o_custkey % 50", "completed_ms": f"{NOW} + o_custkey % 50 + CASE WHEN o_orderkey % 41 = 1 THEN -1 ELSE 60 END", "sources": "CASE WHEN o_orderkey % 43 = 1 THEN 0 ELSE 2 END",
+    "initial_state": "CASE WHEN o_orderkey % 47 = 1 THEN 'VERIFIED' WHEN o_orderkey % 53 = 2 THEN 'PAUSED' ELSE 'OPEN' END", "transport": "CASE o_custkey % 23 WHEN 1 THEN 'PARTIAL' WHEN 2 THEN 'FAILED' WHEN 3 THEN 'LOST' ELSE 'COMPLETE' END",
+    "exhausted": "o_orderkey % 59 <> 3", "truncated": "o_orderkey % 61 = 4", "malformed": "CASE WHEN o_custkey % 37 = 4 THEN 2 ELSE 0 END", "conflicts": "CASE WHEN o_custkey % 43 = 5 THEN 1 ELSE 0 END", "cycle": "o_orderkey % 67 = 5", "warnings": "CASE WHEN o_custkey % 47 = 6 THEN 1 ELSE 0 END",
+    "page_attempts": "8", "pages": "7", "http_attempts": "9", "retries": "CASE WHEN o_orderkey % 71 = 6 THEN 2 ELSE 1 END", "raw_pages": "CASE WHEN o_custkey % 53 = 7 THEN 6 ELSE 7 END", "hashes": "7", "observed": "o_custkey % 900", "normalised": "CASE WHEN o_custkey % 59 = 8 THEN 0 ELSE o_custkey % 900 END",
+    "details": "8", "successful": "7", "before_ms": f"CAST({NOW} AS BIGINT)", "before_id": "o_orderkey % 10", "after_ms": f"CAST({NOW} AS BIGINT)", "after_id": "o_orderkey % 10 + CASE WHEN o_custkey % 61 = 9 THEN -20 ELSE 0 END", "budget": "CASE WHEN o_orderkey % 73 = 7 THEN 1 ELSE 5 END",
+}
+_SPAN = "(completed_ms IS NULL OR started_ms IS NULL OR completed_ms < started_ms OR sources = 0)"
+#: What keeps a snapshot's manifest from candidates.
+MANIFEST: R.Rules = (
+    ("SNAPSHOT_NOT_COMPLETE", f"transport <> 'COMPLETE' OR generation <> 'TRANSPORT_COMPLETE' OR NOT exhausted OR truncated OR malformed <> 0 OR conflicts <> 0 OR cycle OR {_SPAN}"),
+    ("SNAPSHOT_SEMANTICALLY_UNSAFE", "malformed <> 0 OR conflicts <> 0 OR cycle OR malformed IS NULL OR conflicts IS NULL"),
+)
+GENERATION = "CASE WHEN o_orderkey % 97 = 3 THEN 'OPEN' ELSE 'TRANSPORT_COMPLETE' END"
+
 #: Local orders and their identities, derived from the latest state of the journal.
 LOCAL = {
     "order_hash": "order_hash", "identity_hash": "CASE WHEN n_events % 61 = 60 THEN 'other' ELSE order_hash END", "status": "CASE WHEN last_type = 'item_listed' OR n_events % 3 <> 0 THEN 'active' ELSE 'sold' END",
     "is_active": "n_events % 7 <> 6", "needs_reconciliation": "n_events % 11 = 10", "created_ms": f"CAST({BASELINE} AS BIGINT) - 1", "updated_ms": f"CASE WHEN n_events % 13 = 12 THEN CAST({BASELINE} AS BIGINT) + 1 ELSE CAST({BASELINE} AS BIGINT) END",
     "last_ms": f"CASE WHEN n_events % 5 = 0 THEN {BASELINE} - {10 * 24 * HOUR} ELSE {BASELINE} + {40 * 24 * HOUR} END", "last_version": "CAST(n_events AS BIGINT)",
     "identity_status": "CASE WHEN n_events % 17 = 16 THEN 'UNSUPPORTED_LOCAL_SCOPE' WHEN n_events % 19 = 18 THEN 'INVALID_LOCAL_IDENTITY' ELSE 'VALID' END", "copy": "n_events % 23",
+    "sweep_id": "CAST(split_part(order_hash, '-', 1) AS BIGINT)",
 }
 EVENT = {
-    "order_hash": "order_hash", "event_type": "CASE WHEN event_id % 97 = 5 THEN 'order_revalidate' WHEN event_id % 101 = 7 THEN 'item_minted' ELSE event_type END", "processing_status": "CASE WHEN event_id % 89 = 3 THEN 'paused' WHEN event_id % 7 < 5 THEN 'applied' ELSE processing_status END",
-    "event_ms": "event_ms", "event_version": "event_version", "received_ms": f"received_ms - {25 * 24 * HOUR}", "unresolved": "event_id % 83 = 2", "ambiguous": "event_id % 79 = 1",
+    "order_hash": "order_hash", "event_type": "CASE WHEN event_id % 431 = 5 THEN 'order_revalidate' WHEN event_id % 433 = 7 THEN 'item_minted' ELSE event_type END",
+    "processing_status": "CASE WHEN event_id % 397 = 3 THEN 'paused' WHEN event_id % 401 = 4 THEN 'pending' WHEN event_id % 409 = 5 THEN 'processing' WHEN event_id % 419 = 6 THEN 'failed' WHEN event_id % 421 = 7 THEN 'reconciliation_required' WHEN event_id % 7 < 5 THEN 'applied' ELSE processing_status END",
+    "event_ms": "event_ms", "event_version": "event_version", "received_ms": f"received_ms - {25 * 24 * HOUR}", "unresolved": "event_id % 439 = 2", "ambiguous": "event_id % 443 = 1",
 }
+#: Entries of the snapshot for an order with ``n`` listings: none, one, or by mistake two.
+ENTRIES = "CASE WHEN n % 4 = 0 THEN 0 WHEN n % 11 = 5 THEN 2 ELSE 1 END"
 CLASSIFIED_SQL = LATEST_SQL + f""", once AS (SELECT {', '.join(f'{R.text_of(e)} AS {n}' for n, e in LOCAL.items())} FROM latest),
 local AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE copy = 22),
-seen AS (SELECT order_hash, count(*) AS seen_copies FROM (SELECT order_hash FROM j WHERE event_type = 'item_listed' AND seller IS NOT NULL AND event_id % 9 = 0 AND received_ms <= {BASELINE + 10 * 24 * HOUR}) GROUP BY order_hash),
-e AS (SELECT {', '.join(f'{R.text_of(x)} AS {n}' for n, x in EVENT.items())} FROM j WHERE order_hash IS NOT NULL AND event_id % 6 = 0),
+listed AS (SELECT order_hash, count(*) AS n FROM j WHERE event_type = 'item_listed' AND seller IS NOT NULL AND received_ms <= {BASELINE + 10 * 24 * HOUR} GROUP BY order_hash),
+seen AS (SELECT order_hash, {ENTRIES} AS seen_copies FROM listed WHERE {ENTRIES} > 0),
+e AS (SELECT {', '.join(f'{R.text_of(x)} AS {n}' for n, x in EVENT.items())} FROM j WHERE order_hash IS NOT NULL),
+manifests AS (SELECT sweep_id, {R.reasons_text(MANIFEST)} AS manifest FROM ({R.derived_text('orders', {**SWEEP, 'generation': GENERATION})})),
 keys AS (SELECT order_hash, count(*) AS copies, count(DISTINCT CASE WHEN identity_status = 'VALID' THEN identity_hash END) AS identities, min(last_ms) AS last_ms, min(last_version) AS last_version FROM local GROUP BY order_hash),
 per_event AS (SELECT order_hash, {', '.join(f'coalesce(bool_or({R.text_of(c)}), false) AS {n.lower()}' for n, c in EVENT_REASONS)} FROM e JOIN keys USING (order_hash) GROUP BY order_hash),
 whole AS (SELECT l.*, k.copies, k.identities, coalesce(s.seen_copies, 0) AS seen_copies, s.seen_copies IS NOT NULL AS is_seen, p.* EXCLUDE (order_hash) FROM local l JOIN keys k USING (order_hash) LEFT JOIN seen s USING (order_hash) LEFT JOIN per_event p USING (order_hash)),
-reasoned AS (SELECT order_hash, is_seen, {R.reasons_text((*ORDER_REASONS, *((n, n.lower()) for n, _ in EVENT_REASONS)))} AS reasons FROM whole),
+attached AS (SELECT w.*, m.manifest FROM whole w LEFT JOIN manifests m USING (sweep_id)),
+reasoned AS (SELECT order_hash, is_seen, {R.reasons_text((*ORDER_REASONS, *((n, n.lower()) for n, _ in EVENT_REASONS)))} AS reasons FROM attached),
 classified AS (SELECT order_hash, is_seen AS seen, reasons, {R.first_text(CLASSES, 'ABSENT_CANDIDATE')} AS class FROM reasoned)"""
 
 
-def classify_candidates(local: DataFrame, seen: DataFrame, events: DataFrame) -> DataFrame:
-    """(order_hash, seen, reasons, class) of every local order against a complete snapshot.
+def classify_candidates(local: DataFrame, seen: DataFrame, events: DataFrame, manifests: DataFrame) -> DataFrame:
+    """(order_hash, seen, reasons, class) of every local order against the snapshot of its sweep.
 
-    Any reason blocks: of the order, of its identity (repeated orders and
-    entries of the snapshot are ambiguous), or of any event of its journal.
+    Any reason blocks: of the snapshot's manifest (sweep_id, manifest: reasons;
+    a sweep without one is not complete), of the order, of its identity
+    (repeated orders and entries of the snapshot are ambiguous), or of any
+    event of its journal.
     Events are reduced to flags of each order before they meet it again.
     """
     identity = F.when(F.col("identity_status") == "VALID", F.col("identity_hash"))
@@ -70,7 +96,7 @@ def classify_candidates(local: DataFrame, seen: DataFrame, events: DataFrame) ->
     flags = events.join(keys.select("order_hash", "last_ms", "last_version"), "order_hash").groupBy("order_hash").agg(*(F.bool_or(R.expression(c)).alias(n.lower()) for n, c in EVENT_REASONS))
     entries = seen.groupBy("order_hash").agg(F.count(F.lit(1)).alias("seen_copies"))
     whole = local.join(keys.select("order_hash", "copies", "identities"), "order_hash").join(entries, "order_hash", "left").join(flags, "order_hash", "left")
-    whole = whole.withColumn("is_seen", F.col("seen_copies").isNotNull()).withColumn("seen_copies", F.coalesce("seen_copies", F.lit(0)))
+    whole = whole.join(manifests, "sweep_id", "left").withColumn("is_seen", F.col("seen_copies").isNotNull()).withColumn("seen_copies", F.coalesce("seen_copies", F.lit(0)))
     reasoned = whole.select("order_hash", "is_seen", R.reasons((*ORDER_REASONS, *((n, n.lower()) for n, _ in EVENT_REASONS))).alias("reasons"))
     return reasoned.select("order_hash", F.col("is_seen").alias("seen"), "reasons", R.first(CLASSES, "ABSENT_CANDIDATE").alias("class"))
 
@@ -81,8 +107,10 @@ def snapshot_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = journal(spark, sf_dir)
     once = R.derived(latest_orders(rows), LOCAL)
     local = once.unionAll(once.where("copy = 22"))
-    seen = rows.where((F.col("event_type") == "item_listed") & F.col("seller").isNotNull() & (F.col("event_id") % 9 == 0) & (F.col("received_ms") <= BASELINE + 10 * 24 * HOUR)).select("order_hash")
-    return classify_candidates(local, seen, R.derived(rows.where("order_hash IS NOT NULL AND event_id % 6 = 0"), EVENT))
+    listed = rows.where((F.col("event_type") == "item_listed") & F.col("seller").isNotNull() & (F.col("received_ms") <= BASELINE + 10 * 24 * HOUR)).groupBy("order_hash").agg(F.count(F.lit(1)).alias("n"))
+    seen = listed.select("order_hash", F.explode(F.array_repeat(F.lit(True), F.expr(ENTRIES)))).select("order_hash")
+    manifests = R.derived(read(spark, sf_dir, "orders"), {**SWEEP, "generation": GENERATION}).select("sweep_id", R.reasons(MANIFEST).alias("manifest"))
+    return classify_candidates(local, seen, R.derived(rows.where("order_hash IS NOT NULL"), EVENT), manifests)
 
 
 #: What is wrong with one classified order.
@@ -108,20 +136,11 @@ def bundle_problems(bundle: DataFrame) -> DataFrame:
     return bundle.join(copies, "order_hash").withColumn("problems", R.reasons(BUNDLE_PROBLEMS)).drop("copies")
 
 
-#: A sweep's account of its transport, its provenance and its barriers.
-SWEEP = {
-    "sweep_id": "o_orderkey", "started_ms": f"{NOW} + o_custkey % 50", "completed_ms": f"{NOW} + o_custkey % 50 + CASE WHEN o_orderkey % 41 = 1 THEN -1 ELSE 60 END", "sources": "CASE WHEN o_orderkey % 43 = 1 THEN 0 ELSE 2 END",
-    "initial_state": "CASE WHEN o_orderkey % 47 = 1 THEN 'VERIFIED' WHEN o_orderkey % 53 = 2 THEN 'PAUSED' ELSE 'OPEN' END", "transport": "CASE o_custkey % 23 WHEN 1 THEN 'PARTIAL' WHEN 2 THEN 'FAILED' WHEN 3 THEN 'LOST' ELSE 'COMPLETE' END",
-    "exhausted": "o_orderkey % 59 <> 3", "truncated": "o_orderkey % 61 = 4", "malformed": "CASE WHEN o_custkey % 37 = 4 THEN 2 ELSE 0 END", "conflicts": "CASE WHEN o_custkey % 43 = 5 THEN 1 ELSE 0 END", "cycle": "o_orderkey % 67 = 5", "warnings": "CASE WHEN o_custkey % 47 = 6 THEN 1 ELSE 0 END",
-    "page_attempts": "8", "pages": "7", "http_attempts": "9", "retries": "CASE WHEN o_orderkey % 71 = 6 THEN 2 ELSE 1 END", "raw_pages": "CASE WHEN o_custkey % 53 = 7 THEN 6 ELSE 7 END", "hashes": "7", "observed": "o_custkey % 900", "normalised": "CASE WHEN o_custkey % 59 = 8 THEN 0 ELSE o_custkey % 900 END",
-    "details": "8", "successful": "7", "before_ms": f"CAST({NOW} AS BIGINT)", "before_id": "o_orderkey % 10", "after_ms": f"CAST({NOW} AS BIGINT)", "after_id": "o_orderkey % 10 + CASE WHEN o_custkey % 61 = 9 THEN -20 ELSE 0 END", "budget": "CASE WHEN o_orderkey % 73 = 7 THEN 1 ELSE 5 END",
-}
 #: Rounds that watch the journal until it stands still.
 ROUND = {
     "sweep_id": "l_orderkey", "round": "l_linenumber", "order_by": "l_partkey", "seen_ms": f"CAST({NOW} AS BIGINT)", "seen_id": "l_orderkey % 10 + CASE WHEN l_partkey % 89 = 1 THEN -30 ELSE 0 END", "pending": "CASE WHEN l_suppkey % 31 = 1 AND l_partkey % 3 = 0 THEN 1 ELSE 0 END", "processing": "CASE WHEN l_partkey % 71 = 2 THEN 1 ELSE 0 END",
     "failed": "CASE WHEN l_partkey % 73 = 3 THEN 1 ELSE 0 END", "unresolved": "CASE WHEN l_partkey % 79 = 4 THEN 1 ELSE 0 END", "unknown": "CASE WHEN l_partkey % 83 = 5 THEN 1 ELSE 0 END",
 }
-_SPAN = "(completed_ms IS NULL OR started_ms IS NULL OR completed_ms < started_ms OR sources = 0)"
 TRANSPORT: R.Rules = (
     ("SNAPSHOT_NOT_COMPLETE", f"transport <> 'COMPLETE' OR NOT exhausted OR truncated OR {_SPAN}"), ("SNAPSHOT_SEMANTICALLY_UNSAFE", "malformed <> 0 OR conflicts <> 0 OR cycle OR warnings > 0"),
     ("COUNTER_INCONSISTENT", "least(page_attempts, pages, http_attempts, retries, raw_pages, hashes, observed, normalised, details, successful) < 0 OR pages <> raw_pages OR pages <> hashes OR normalised <> observed OR retries <> http_attempts - page_attempts OR details <> page_attempts OR successful <> pages OR http_attempts < page_attempts OR pages > page_attempts"),
@@ -176,12 +195,6 @@ def sweeps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.derived(read(spark, sf_dir, "orders"), SWEEP)
 
 
-#: What keeps a snapshot's manifest from candidates.
-MANIFEST: R.Rules = (
-    ("SNAPSHOT_NOT_COMPLETE", f"transport <> 'COMPLETE' OR generation <> 'TRANSPORT_COMPLETE' OR NOT exhausted OR truncated OR malformed <> 0 OR conflicts <> 0 OR cycle OR {_SPAN}"),
-    ("SNAPSHOT_SEMANTICALLY_UNSAFE", "malformed <> 0 OR conflicts <> 0 OR cycle OR malformed IS NULL OR conflicts IS NULL"),
-)
-GENERATION = "CASE WHEN o_orderkey % 97 = 3 THEN 'OPEN' ELSE 'TRANSPORT_COMPLETE' END"
 
 
 @query("manifest_validation", f"WITH s AS ({R.derived_text('orders', {**SWEEP, 'generation': GENERATION})}), told AS (SELECT sweep_id, {R.reasons_text(MANIFEST)} AS reasons FROM s) SELECT *, reasons = '' AS eligible FROM told")
@@ -202,23 +215,40 @@ def generation_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate_generations(sweeps(spark, sf_dir), R.derived(read(spark, sf_dir, "lineitem"), ROUND))
 
 
-#: Candidates of a sweep, and what keeps them from a targeted look.
-ADVANCING = {"sweep_id": "l_orderkey", "order_hash": "CAST(l_partkey % 3 AS STRING)", "class": "CASE l_suppkey % 3 WHEN 0 THEN 'PRESENT' WHEN 1 THEN 'ABSENT_CANDIDATE' ELSE 'BLOCKED' END", "identity_ok": "l_suppkey % 29 <> 1"}
-ADVANCE_REASONS: R.Rules = (("INVALID_CANDIDATE_IDENTITY", "NOT all_ok"), ("DUPLICATE_CANDIDATE_IDENTITY", "copies > 1"), ("FENCE_BLOCKED", "state IS NULL OR state <> 'VERIFIED'"))
+#: Candidates of a sweep, the bundles that hold them, and what keeps them from a targeted look.
+ADVANCING = {
+    "sweep_id": "l_orderkey", "order_hash": "CAST(l_partkey % 3 AS STRING)", "class": "CASE WHEN l_partkey % 41 = 7 THEN 'MISSING' WHEN l_suppkey % 3 = 0 THEN 'PRESENT' WHEN l_suppkey % 3 = 1 THEN 'ABSENT_CANDIDATE' ELSE 'BLOCKED' END", "identity_ok": "l_suppkey % 29 <> 1",
+    "row_authority": "l_partkey % 43 = 8",
+}
+BUNDLE = {"sweep_id": "o_orderkey", "model_ok": "o_custkey % 31 <> 2", "manifest_ok": "o_orderkey % 41 <> 5", "bundle_authority": "o_custkey % 37 = 3", "own_sweep": "o_orderkey % 89 <> 4"}
+_KNOWN_CLASS = "class IN ('PRESENT', 'ABSENT_CANDIDATE', 'BLOCKED')"
+ADVANCE_REASONS: R.Rules = (
+    # of the bundle: each of its candidates bears them
+    ("INVALID_CANDIDATE_BUNDLE", "NOT coalesce(model_ok AND manifest_ok, false)"), ("CANDIDATE_SWEEP_MISMATCH", "NOT own_sweep"), ("FENCE_BLOCKED", "state IS NULL OR state <> 'VERIFIED'"),
+    # of the candidate, or the bundle
+    ("INVALID_CANDIDATE_AUTHORITY", "bundle_authority OR row_authority"),
+    # of the candidate
+    ("INVALID_CANDIDATE_IDENTITY", "NOT all_ok"), ("DUPLICATE_CANDIDATE_IDENTITY", "copies > 1"), ("UNKNOWN_CANDIDATE_CLASSIFICATION", f"NOT coalesce({_KNOWN_CLASS}, false)"),
+)
 
 
-@query("candidate_advancement", GENERATION_SQL + f""", c AS ({R.derived_text('lineitem', ADVANCING)}),
+@query("candidate_advancement", GENERATION_SQL + f""", c AS ({R.derived_text('lineitem', ADVANCING)}), b AS ({R.derived_text('orders', BUNDLE)}),
 keyed AS (SELECT c.*, count(*) OVER (PARTITION BY sweep_id, order_hash) AS copies, bool_and(identity_ok) OVER (PARTITION BY sweep_id, order_hash) AS all_ok FROM c),
-told AS (SELECT k.sweep_id, order_hash, class, {R.reasons_text(ADVANCE_REASONS)} AS reasons FROM keyed k LEFT JOIN generations g USING (sweep_id))
+told AS (SELECT k.sweep_id, order_hash, CASE WHEN {_KNOWN_CLASS} THEN class ELSE 'BLOCKED' END AS class, {R.reasons_text(ADVANCE_REASONS)} AS reasons FROM keyed k LEFT JOIN generations g USING (sweep_id) LEFT JOIN b USING (sweep_id))
 SELECT *, reasons = '' AND class = 'ABSENT_CANDIDATE' AS eligible FROM told""")
 def candidate_advancement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return advance_candidates(R.derived(read(spark, sf_dir, "lineitem"), ADVANCING), generation_evaluation(spark, sf_dir))
+    bundles = R.derived(read(spark, sf_dir, "orders"), BUNDLE)
+    return advance_candidates(R.derived(read(spark, sf_dir, "lineitem"), ADVANCING), bundles, generation_evaluation(spark, sf_dir))
 
 
-def advance_candidates(candidates: DataFrame, generations: DataFrame) -> DataFrame:
-    """(sweep_id, order_hash, class, reasons, eligible): absent candidates of a verified generation, each alone of its identity."""
+def advance_candidates(candidates: DataFrame, bundles: DataFrame, generations: DataFrame) -> DataFrame:
+    """(sweep_id, order_hash, class, reasons, eligible): absent candidates of a sound bundle and a verified generation, each alone of its identity.
+
+    What is wrong with a bundle keeps all of its candidates back, sound ones too; a class that is unknown counts as blocked.
+    """
     per_key = candidates.groupBy("sweep_id", "order_hash").agg(F.count(F.lit(1)).alias("copies"), F.bool_and("identity_ok").alias("all_ok"))
-    told = candidates.join(per_key, ["sweep_id", "order_hash"]).join(generations.select("sweep_id", "state"), "sweep_id", "left").withColumn("reasons", R.reasons(ADVANCE_REASONS))
+    whole = candidates.join(per_key, ["sweep_id", "order_hash"]).join(bundles, "sweep_id", "left").join(generations.select("sweep_id", "state"), "sweep_id", "left")
+    told = whole.withColumn("reasons", R.reasons(ADVANCE_REASONS)).withColumn("class", F.when(R.expression(_KNOWN_CLASS), F.col("class")).otherwise("BLOCKED"))
     return told.select("sweep_id", "order_hash", "class", "reasons", ((F.col("reasons") == "") & (F.col("class") == "ABSENT_CANDIDATE")).alias("eligible"))
 
 

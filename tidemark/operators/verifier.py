@@ -57,9 +57,11 @@ OBSERVATION = {
 TRUST_MS, UNSURE_MS = 300_000, 1_000
 _TRUSTED = f"(date_ms IS NOT NULL AND date_ms >= sent_ms - {TRUST_MS} AND date_ms <= received_ms + {TRUST_MS})"
 TEMPORAL_PROOF: R.Rules = (
-    ("TIME_UNPROVEN", f"NOT {_TRUSTED}"), ("ACTIVE_WINDOW_CONFIRMED", f"start_ms IS NOT NULL AND end_ms IS NOT NULL AND start_ms <= date_ms - {UNSURE_MS} AND date_ms + {UNSURE_MS} < end_ms"),
-    ("EXPIRED_WINDOW_CONFIRMED", f"end_ms IS NOT NULL AND end_ms <= date_ms - {UNSURE_MS}"),
-)
+    ("UNTRUSTED", f"NOT {_TRUSTED} OR start_ms IS NULL OR end_ms IS NULL"),
+    ("ACTIVE_WINDOW_CONFIRMED", f"provider = 'ACTIVE' AND start_ms <= date_ms - {UNSURE_MS} AND date_ms + {UNSURE_MS} < end_ms"),
+    ("EXPIRED_WINDOW_CONFIRMED", f"provider = 'EXPIRED' AND end_ms <= date_ms - {UNSURE_MS}"),
+    ("UNTRUSTED", "provider IN ('ACTIVE', 'EXPIRED')"),
+)
 _SETTLED = "(proof = 'TRUSTED_OBSERVATION' OR proof = 'ACTIVE_WINDOW_CONFIRMED' OR proof = 'EXPIRED_WINDOW_CONFIRMED')"
 #: Status and reason of an answer, tried from the top.
 INTERPRETATION: R.Rules = (
@@ -86,7 +88,8 @@ def interpret(observations: DataFrame) -> DataFrame:
 
     A confirmed status needs an answer bound to its request, a body that was
     understood, and a time that proves it: an active order has quantity left
-    and its window spans the moment, an expired one's window is over.
+    and its window spans the moment, an expired one's window is over, and any
+    other needs a window with both ends.
     """
     read_ = observations.withColumn("proof", R.first(TEMPORAL_PROOF, "TRUSTED_OBSERVATION")).withColumn("told", R.first(INTERPRETATION, "TERMINAL_CONFIRMED:"))
     status = F.split_part("told", F.lit(":"), F.lit(1))
