@@ -91,11 +91,12 @@ ORDER_EVENT = {
 ASSET_EVENT = {"at": "received_ms", "id": "event_id", "nft": "nft_id", "ms": "event_ms", "ver": "event_version", "src": "from_address", "dst": "to_address", "tx": "transaction_hash"}
 
 
-def spark_fold(machine: Machine, action: str, events: str) -> str:
-    """Spark SQL for the state after all events of the array ``events`` (sorted by its first fields)."""
-    first = ", ".join(f"'{n}', CAST({'array()' if v == '[]' else v} AS {t})" for n, (t, v, _) in machine.items())
+def spark_fold(machine: Machine, action: str, events: str, first: str | None = None) -> str:
+    """Spark SQL for the state after all events of the array ``events`` (sorted by its first fields), from the state ``first`` or the empty one."""
+    begin = {n: f"{first}.{n}" if first else "array()" if v == "[]" else v for n, (_, v, _) in machine.items()}
+    held = ", ".join(f"'{n}', CAST({begin[n]} AS {t})" for n, (t, _, _) in machine.items())
     step = ", ".join(f"'{n}', CAST({e.replace('{append}', 'array_append')} AS {t})" for n, (t, _, e) in machine.items())
-    return f"aggregate({events}, named_struct({first}), (a, x) -> element_at(transform(array({action}), c -> named_struct({step})), 1))"
+    return f"aggregate({events}, named_struct({held}), (a, x) -> element_at(transform(array({action}), c -> named_struct({step})), 1))"
 
 
 _DUCK_TYPES = {"string": "VARCHAR", "int": "INTEGER", "array<bigint>": "BIGINT[]"}
