@@ -216,7 +216,7 @@ def count_pack_before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("*", *((F.col(f"{n}_after") - F.col(f"{n}_before")).alias(f"{n}_delta") for n in measures))
 
 
-#: Rows of a signature that are hashed together, by id; the signature hashes the hashes, so no key's rows meet in one list.
+#: Ids of a range that is hashed as one; ranges are hashed in turn, so many of them at a time, so no key's rows or ranges meet in one list.
 SIGNED_BLOCK = 4096
 
 
@@ -230,10 +230,15 @@ def journal_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def signed(rows: DataFrame, key: str, lines: dict[str, Column], digest: Callable[[Column], Column], between: str = "\n") -> DataFrame:
     """(key, n, a digest for each kind of line) over the rows of a key in the order of event_id; a null line is left out."""
-    blocks = rows.select(key, F.expr(f"event_id div {SIGNED_BLOCK}").alias("block"), "event_id", *(x.alias(f"line_{n}") for n, x in lines.items())).groupBy(key, "block").agg(
+    largest = rows.agg(F.max("event_id")).first()[0] or 0
+    level = rows.select(key, F.expr(f"event_id div {SIGNED_BLOCK}").alias("block"), "event_id", *(x.alias(f"line_{n}") for n, x in lines.items())).groupBy(key, "block").agg(
         F.count(F.lit(1)).alias("n"), *(_digest(F.when(F.col(f"line_{n}").isNotNull(), F.struct("event_id", F.col(f"line_{n}").alias("line"))), digest, between).alias(n) for n in lines)
     )
-    return blocks.groupBy(key).agg(F.sum("n").alias("n"), *(_digest(F.when(F.col(n).isNotNull(), F.struct("block", F.col(n).alias("line"))), digest, between).alias(n) for n in lines))
+    parts = [_digest(F.when(F.col(n).isNotNull(), F.struct("block", F.col(n).alias("line"))), digest, between).alias(n) for n in lines]
+    blocks = largest // SIGNED_BLOCK
+    while blocks >= SIGNED_BLOCK:
+        level, blocks = level.groupBy(key, F.expr(f"block div {SIGNED_BLOCK}").alias("above")).agg(F.sum("n").alias("n"), *parts).withColumnRenamed("above", "block"), blocks // SIGNED_BLOCK
+    return level.groupBy(key).agg(F.sum("n").alias("n"), *parts)
 
 
 def _digest(entry: Column, digest: Callable[[Column], Column], between: str) -> Column:
