@@ -2,9 +2,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import same_second_conflict
 from tidemark.operators.reconcile import window_classification
 from tidemark.sources.journal import journal
-from tidemark.streaming import admission, barrier
+from tidemark.streaming import admission, barrier, conflicts
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -65,3 +66,13 @@ def test_admission_is_bounded_and_repeats_nothing(spark, tmp_path):
         (tmp_path / "checkpoint" / "commits" / f".{n}.crc").unlink(missing_ok=True)
     admission.admit(spark, arrivals, f"{tmp_path}/journal", f"{tmp_path}/checkpoint", "1 second", files_per_batch=1).awaitTermination()
     assert rows_of(spark.read.parquet(f"{tmp_path}/journal").select(found.columns)) == before
+
+
+def test_conflicts_are_those_of_the_batch_and_late_ones_are_unknown(spark):
+    rows = journal(spark, FOLDER)
+    expected = {r["event_id"]: r["conflict"] for r in same_second_conflict(spark, FOLDER).collect()}
+    whole = {r["event_id"]: r["conflict"] for r in conflicts.run_conflicts(spark, conflicts.land_moves(rows, 4), "60 days", files_per_batch=1).collect()}
+    assert whole == expected and any(expected.values())
+    hasty = {r["event_id"]: r["conflict"] for r in conflicts.run_conflicts(spark, conflicts.land_moves(rows, 4), "1 day", files_per_batch=1).collect()}
+    assert set(hasty) == set(expected) and None in hasty.values()
+    assert not any(hasty[i] and not c for i, c in expected.items())

@@ -2,7 +2,7 @@
 
 from tidemark.operators import adoption, decisions, evidence_graph, evidence_store, folds, generations, inbox, joins, listings, long_folds, observer, probe, reconcile, signatures, stream_events, verifier, windows  # noqa: F401
 from tidemark.sources import ingress, pages, provider  # noqa: F401
-from tidemark.streaming import admission, barrier, state  # noqa: F401
+from tidemark.streaming import admission, barrier, conflicts, state  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
