@@ -34,5 +34,5 @@ def test_run_packs_what_is_left(spark):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert len(P.STAGES) == 5 and P.ORACLE_SQL is None
