@@ -145,12 +145,17 @@ SELECT event_id, dedupe_key, split_part(dedupe_key, ':', 1) AS strategy, contain
        CASE WHEN row_number() OVER (PARTITION BY dedupe_key ORDER BY received_ms, event_id) = 1 THEN 'inserted' ELSE 'existing' END AS admission
 FROM keyed""")
 def dedupe_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event (ids are unique) with its key, and whether it was the first of it.
+
+    The first of each key comes out of the aggregate, so only keys that repeat, usually few, meet their rows again.
+    """
     rows = with_dedupe_key(journal(spark, sf_dir)).select("event_id", "received_ms", "dedupe_key")
-    firsts = rows.groupBy("dedupe_key").agg(F.min(F.struct("received_ms", "event_id")).alias("first"))
-    admission = F.when(F.col("event_id") == F.col("first.event_id"), "inserted").otherwise("existing")
-    return rows.join(firsts, "dedupe_key").select(
-        "event_id", "dedupe_key", F.split_part("dedupe_key", F.lit(":"), F.lit(1)).alias("strategy"), F.col("dedupe_key").contains("fallback").alias("fallback"), admission.alias("admission")
-    )
+    firsts = rows.groupBy("dedupe_key").agg(F.min(F.struct("received_ms", "event_id")).alias("first"), F.count(F.lit(1)).alias("n"))
+    repeated = firsts.where("n > 1").select(F.col("dedupe_key").alias("repeated_key"), F.col("first.event_id").alias("first_id"))
+    inserted = firsts.select(F.col("first.event_id").alias("event_id"), "dedupe_key", F.lit("inserted").alias("admission"))
+    # keys are not null; a plain equality would have Spark filter by that first, and work every key out once more
+    existing = rows.join(repeated, F.col("dedupe_key").eqNullSafe(F.col("repeated_key"))).where("event_id <> first_id").select("event_id", "dedupe_key", F.lit("existing").alias("admission"))
+    return inserted.unionAll(existing).select("event_id", "dedupe_key", F.split_part("dedupe_key", F.lit(":"), F.lit(1)).alias("strategy"), F.col("dedupe_key").contains("fallback").alias("fallback"), "admission")
 
 
 def admit(existing: DataFrame, incoming: DataFrame, key: str = "dedupe_key") -> DataFrame:
