@@ -315,19 +315,25 @@ ANCHOR: R.Rules = (
 )
 
 
-@query("recovery_anchor", LATEST_SQL + f""", c AS (SELECT token_id, count(*) FILTER (WHERE processing_status = 'pending' AND attempt_count > 4) AS pending, count(*) FILTER (WHERE processing_status = 'processing' AND attempt_count > 4) AS processing,
-  count(*) FILTER (WHERE processing_status = 'failed' AND attempt_count > 3) AS failed, count(*) FILTER (WHERE processing_status = 'processing' AND started_ms < {NOW} - {30 * 24 * HOUR}) AS stale, count(*) FILTER (WHERE next_retry_ms > {NOW} + {8 * 24 * HOUR}) AS leases,
-  count(*) FILTER (WHERE processing_status = 'applied' AND k > 98) AS adoptions, max(event_id) AS high_id FROM j GROUP BY token_id),
-whole AS (SELECT c.*, coalesce(n, 0) AS active_listings FROM c LEFT JOIN (SELECT token_id, count(*) AS n FROM latest WHERE last_type = 'item_listed' AND n_events > 3 GROUP BY token_id) USING (token_id))
-SELECT token_id, high_id, {R.first_text(ANCHOR, 'READY')} AS anchor FROM whole""")
+#: A journal at rest but for a few rows: what is open, how long, and what an earlier adoption wrote.
+_ANCHOR_STATUS = "CASE WHEN processing_status IN ('pending', 'processing', 'failed') AND event_id % 61 <> 3 THEN 'applied' ELSE processing_status END"
+#: How long a row may be processed before it counts as stale.
+STALE_MS = 15 * 60_000
+
+
+@query("recovery_anchor", LATEST_SQL + f""", w AS (SELECT *, {_ANCHOR_STATUS} AS status FROM j),
+c AS (SELECT token_id, count(*) FILTER (WHERE status = 'pending') AS pending, count(*) FILTER (WHERE status = 'processing') AS processing, count(*) FILTER (WHERE status = 'failed') AS failed,
+  count(*) FILTER (WHERE status = 'processing' AND started_ms < {NOW} - {STALE_MS}) AS stale, count(*) FILTER (WHERE event_id % 577 = 5) AS leases, count(*) FILTER (WHERE event_id % 587 = 7) AS adoptions, max(event_id) AS high_id FROM w GROUP BY token_id),
+whole AS (SELECT c.*, coalesce(n, 0) AS active_listings FROM c LEFT JOIN (SELECT token_id, count(*) AS n FROM latest WHERE last_type = 'item_listed' GROUP BY token_id) USING (token_id))
+SELECT token_id, high_id, {R.first_text(ANCHOR, 'READY')} AS anchor, pending, processing, failed, stale FROM whole""")
 def recovery_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether each asset's journal and state are at rest, so that a recovery may start from its high water."""
+    """Whether each asset's journal and state are at rest, so that a recovery may start from its high water; every open row counts."""
     rows = journal(spark, sf_dir)
-    status, tries = F.col("processing_status"), F.col("attempt_count")
-    counts = rows.groupBy("token_id").agg(
-        F.count_if((status == "pending") & (tries > 4)).alias("pending"), F.count_if((status == "processing") & (tries > 4)).alias("processing"), F.count_if((status == "failed") & (tries > 3)).alias("failed"),
-        F.count_if((status == "processing") & (F.col("started_ms") < NOW - 30 * 24 * HOUR)).alias("stale"), F.count_if(F.col("next_retry_ms") > NOW + 8 * 24 * HOUR).alias("leases"), F.count_if((status == "applied") & (F.col("k") > 98)).alias("adoptions"), F.max("event_id").alias("high_id"),
+    status = R.expression(_ANCHOR_STATUS)
+    counts = rows.withColumn("status", status).groupBy("token_id").agg(
+        *(F.count_if(F.col("status") == s).alias(s) for s in ("pending", "processing", "failed")), F.count_if((F.col("status") == "processing") & (F.col("started_ms") < NOW - STALE_MS)).alias("stale"),
+        F.count_if(F.col("event_id") % 577 == 5).alias("leases"), F.count_if(F.col("event_id") % 587 == 7).alias("adoptions"), F.max("event_id").alias("high_id"),
     )
-    active = latest_orders(rows).where("last_type = 'item_listed' AND n_events > 3").groupBy("token_id").agg(F.count(F.lit(1)).alias("active_listings"))
+    active = latest_orders(rows).where("last_type = 'item_listed'").groupBy("token_id").agg(F.count(F.lit(1)).alias("active_listings"))
     whole = counts.join(active, "token_id", "left").withColumn("active_listings", F.coalesce("active_listings", F.lit(0)))
-    return whole.select("token_id", "high_id", R.first(ANCHOR, "READY").alias("anchor"))
+    return whole.select("token_id", "high_id", R.first(ANCHOR, "READY").alias("anchor"), "pending", "processing", "failed", "stale")

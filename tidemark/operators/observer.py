@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -96,20 +97,23 @@ def probe_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_class(message: Column, collection: str) -> Column:
     """joined, socket_activity, fatal_auth or other, of a line of a stream client's log (patterns are fixed values)."""
-    literal = "".join(f"\\{c}" if c in r".*+?^${}()|[]\\" else c for c in collection)
+    literal = re.escape(collection)
     return (
         F.when(message.rlike(rf"(?i)Successfully joined channel [\"']?collection:{literal}"), "joined").when(message.rlike("(?i)connected to socket|connected to wss?:|Successfully joined channel|re-established"), "socket_activity")
         .when(message.rlike(r"(?i)\b(401|403)\b|unauthori[sz]ed|forbidden|invalid.+(api|token)|authentication.+(failed|rejected)"), "fatal_auth").otherwise("other")
     )
 
 
-LINES = ("Successfully joined channel \"collection:cards\"", "connected to wss://host", "HTTP 403", "invalid API token", "heartbeat", "Connection RE-ESTABLISHED", "successfully joined channel collection:other", "took 4031 ms")
+#: A client's log lines from journal columns, so that numbers, names and hosts are the data's.
+_LINE = """CASE k % 5 WHEN 0 THEN concat('HTTP ', CAST(390 + CAST(token_id AS INT) % 30 AS STRING), ' for ', token_id) WHEN 1 THEN concat('Successfully joined channel "collection:c', CAST(CAST(token_id AS INT) % 9 AS STRING), '"')
+  WHEN 2 THEN concat('connected to ', CASE from_address WHEN '0x1' THEN 'wss:' WHEN '0x2' THEN 'socket ' ELSE 'host ' END, nft_id) WHEN 3 THEN concat('Authentication of ', coalesce(seller, 'nobody'), CASE WHEN price_raw IS NULL THEN ' failed' ELSE ' done' END) ELSE concat('took ', CAST(event_id AS STRING), ' ms') END"""
 
 
-@query("log_line_classes", f"WITH l AS (SELECT event_id, [{', '.join(chr(39) + x + chr(39) for x in LINES)}][event_id % {len(LINES)} + 1] AS line FROM events) SELECT event_id, CASE event_id % {len(LINES)} WHEN 0 THEN 'joined' WHEN 1 THEN 'socket_activity' WHEN 2 THEN 'fatal_auth' WHEN 3 THEN 'fatal_auth' WHEN 5 THEN 'socket_activity' WHEN 6 THEN 'socket_activity' ELSE 'other' END AS class FROM l")
+@query("log_line_classes", JOURNAL_SQL + f""", l AS (SELECT event_id, {_LINE} AS line FROM j)
+SELECT event_id, CASE WHEN regexp_matches(line, '(?i)Successfully joined channel ["'']?collection:c4') THEN 'joined' WHEN regexp_matches(line, '(?i)connected to socket|connected to wss?:|Successfully joined channel|re-established') THEN 'socket_activity'
+  WHEN regexp_matches(line, '(?i)\\b(401|403)\\b|unauthori[sz]ed|forbidden|invalid.+(api|token)|authentication.+(failed|rejected)') THEN 'fatal_auth' ELSE 'other' END AS class FROM l""")
 def log_line_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.element_at(F.array(*map(F.lit, LINES)), (F.col("event_id") % len(LINES) + 1).cast("int"))
-    return read(spark, sf_dir, "events").select("event_id", line_class(line, "cards").alias("class"))
+    return journal(spark, sf_dir).select("event_id", line_class(F.expr(_LINE), "c4").alias("class"))
 
 
 def iso_ms(text: Column) -> Column:
@@ -118,13 +122,15 @@ def iso_ms(text: Column) -> Column:
     return F.unix_millis(moment)
 
 
-@query("strict_times", JOURNAL_SQL + """, t AS (SELECT event_id, k, event_ms, strftime(make_timestamp_ms(event_ms + k), '%Y-%m-%dT%H:%M:%S.%g') AS base FROM j)
-SELECT event_id, CASE k % 4 WHEN 0 THEN event_ms + k END AS ms FROM t""")
+#: Times as people write them, from journal columns: days and hours that don't exist, and other forms.
+_TIME = """concat('2024-', lpad(CAST(k % 13 AS STRING), 2, '0'), '-', lpad(CAST(event_id % 32 AS STRING), 2, '0'), 'T', lpad(CAST(CAST(token_id AS INT) % 25 AS STRING), 2, '0'), ':', lpad(CAST(event_id % 60 AS STRING), 2, '0'), ':07.', CASE WHEN seller IS NULL THEN '12' ELSE '125' END, CASE WHEN price_raw IS NULL THEN '+00:00' ELSE 'Z' END)"""
+
+
+@query("strict_times", JOURNAL_SQL + f""", t AS (SELECT event_id, {_TIME} AS text FROM j)
+SELECT event_id, CASE WHEN regexp_full_match(text, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9][.][0-9]{{3}}Z') THEN epoch_ms(try_strptime(text, '%Y-%m-%dT%H:%M:%S.%gZ')) END AS ms FROM t""")
 def strict_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the first of four ways to write a time is the strict one."""
-    base = F.expr("date_format(timestampadd(MILLISECOND, event_ms + k, TIMESTAMP_NTZ '1970-01-01 00:00:00'), \"yyyy-MM-dd'T'HH:mm:ss.SSS\")")
-    text = F.element_at(F.array(F.concat(base, F.lit("Z")), base, F.concat(F.substring(base, 1, 19), F.lit("Z")), F.concat(F.lit("2024-02-30"), F.substring(base, 11, 13), F.lit("Z"))), (F.col("k") % 4 + 1).cast("int"))
-    return journal(spark, sf_dir).select("event_id", iso_ms(text).alias("ms"))
+    """Times that are written in the strict form and exist."""
+    return journal(spark, sf_dir).select("event_id", iso_ms(F.expr(_TIME)).alias("ms"))
 
 
 @query("attempt_patch", f"""SELECT o_orderkey AS attempt_id, '{{"attempt":' || o_orderkey || ',"lifecycle":"REQUEST_PENDING","lease":"t' || o_custkey || '","claimed_ms":{NOW}}}' AS payload FROM orders""")
@@ -165,26 +171,28 @@ def integer_text(tokens: pd.Series) -> pd.Series:
     return tokens.map(lambda t: None if t is None or (v := json_text.bounded_integer(json_text.Token(t), 64)) is None else str(v))
 
 
-TOKENS = ("{}", "-{}", "{}.0", "{}e2", "{}.5", "{}E-1", "1e400", "0.0e5", "{}000000000000000000", "12{}00e-2", "{}x")
+#: A number's token from journal columns: its digits, two of them behind the point, and an exponent from -3 to 20.
+_TOKEN = "concat(CASE WHEN k % 2 = 0 THEN '-' ELSE '' END, CAST(event_id AS STRING), CASE WHEN seller IS NULL THEN '' ELSE concat('.', lpad(CAST(k % 100 AS STRING), 2, '0')) END, CASE WHEN price_raw IS NULL THEN '' ELSE concat('e', CAST(CAST(token_id AS INT) % 24 - 3 AS STRING)) END)"
 
 
-@query("json_integers", f"""WITH t AS (SELECT event_id, event_id % 1000 + 1 AS v, event_id % {len(TOKENS)} AS way FROM events)
-SELECT event_id, CAST(CASE way WHEN 0 THEN v WHEN 1 THEN -v WHEN 2 THEN v WHEN 3 THEN v * 100 WHEN 5 THEN CASE WHEN v % 10 = 0 THEN v // 10 END WHEN 7 THEN 0 WHEN 8 THEN CASE WHEN v < 10 THEN CAST(v AS BIGINT) * 1000000000000000000 END WHEN 9 THEN CAST('12' || v AS BIGINT) END AS VARCHAR) AS value FROM t""")
+@query("json_integers", JOURNAL_SQL + """, t AS (SELECT event_id, CASE WHEN k % 2 = 0 THEN -1 ELSE 1 END AS sign, CASE WHEN seller IS NULL THEN CAST(event_id AS HUGEINT) ELSE CAST(event_id AS HUGEINT) * 100 + k % 100 END AS digits,
+  CASE WHEN price_raw IS NULL THEN 0 ELSE CAST(token_id AS INTEGER) % 24 - 3 END - CASE WHEN seller IS NULL THEN 0 ELSE 2 END AS power FROM j),
+v AS (SELECT event_id, sign * CASE WHEN power >= 0 THEN digits * CAST(power(10::DOUBLE, power) AS HUGEINT) WHEN digits % CAST(power(10::DOUBLE, -power) AS HUGEINT) = 0 THEN digits // CAST(power(10::DOUBLE, -power) AS HUGEINT) END AS v FROM t)
+SELECT event_id, CASE WHEN v BETWEEN -9223372036854775808 AND 9223372036854775807 THEN CAST(v AS VARCHAR) END AS value FROM v""")
 def json_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = (F.col("event_id") % 1000 + 1).cast("string")
-    way = (F.col("event_id") % len(TOKENS) + 1).cast("int")
-    token = F.element_at(F.array(*(F.concat(F.lit(t.partition("{}")[0]), v, F.lit(t.partition("{}")[2])) if "{}" in t else F.lit(t) for t in TOKENS)), way)
-    return read(spark, sf_dir, "events").select("event_id", integer_text(token).alias("value"))
+    return journal(spark, sf_dir).select("event_id", integer_text(F.expr(_TOKEN)).alias("value"))
 
 
-_PART = '{"itemType":2,"token":"t","identifierOrCriteria":"1","startAmount":"1","endAmount":"1"'
-_LISTING = '{"order_hash":"h","chain":"c","type":"basic","status":"ACTIVE","remaining_quantity":%s,"protocol_address":"p","asset":{"contract":"a"},"price":{"current":{"currency":"E","decimals":18,"value":"5"}},"protocol_data":{"parameters":{"offerer":"o","offer":[' + _PART + '}],"consideration":[' + _PART + ',"recipient":"r"}],"startTime":"1","endTime":"2","orderType":0,"zone":"z","zoneHash":"h","salt":"1","conduitKey":"k","totalOriginalConsiderationItems":1,"counter":%s}}%s}'
+_PART = '"itemType":2,"token":"t","identifierOrCriteria":"1","startAmount":"1","endAmount":"1"'
+#: A listing's text from journal columns: quantities with a fraction, counters that are no numbers, unknown statuses, missing and repeated members.
+_LISTING = f"""concat('{{"order_hash":"', coalesce(order_hash, ''), '","chain":"c","type":"basic","status":"', CASE event_type WHEN 'item_listed' THEN 'ACTIVE' WHEN 'item_sold' THEN 'FULFILLED' WHEN 'item_cancelled' THEN 'CANCELLED' WHEN 'order_invalidate' THEN 'INACTIVE' ELSE 'MOVED' END,
+  '","remaining_quantity":', CAST(k AS STRING), CASE WHEN price_raw IS NULL THEN '.5' ELSE '' END, ',"protocol_address":"p","asset":{{"contract":"a"}},"price":{{"current":{{"currency":"E","decimals":18,"value":"', coalesce(price_raw, '0'), '"}}}},"protocol_data":{{"parameters":{{',
+  CASE WHEN seller IS NULL THEN '' ELSE concat('"offerer":"', seller, '",') END, '"offer":[{{{_PART}}}],"consideration":[{{{_PART},"recipient":"r"}}],"startTime":"1","endTime":"2","orderType":0,"zone":"z","zoneHash":"h","salt":"1","conduitKey":"k","totalOriginalConsiderationItems":1,"counter":',
+  CASE WHEN transaction_hash IS NOT NULL THEN concat('"0x', transaction_hash, '"') WHEN k % 2 = 0 THEN concat('"', order_hash, '"') ELSE token_id END, '}}}}', CASE WHEN event_version IS NULL THEN ',"chain":"d"' ELSE '' END, '}}')"""
 
 
-@query("listing_admission", "SELECT event_id, event_id % 8 IN (0, 3) OR (event_id % 8 = 5) AS admitted FROM events")
+@query("listing_admission", JOURNAL_SQL + """
+SELECT event_id, event_type <> 'item_transferred' AND price_raw IS NOT NULL AND (transaction_hash IS NOT NULL OR k % 2 = 1) AND seller IS NOT NULL AND event_version IS NOT NULL AS admitted FROM j""")
 def listing_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts of listings, most of them broken in one way: by number, counter, status, or a repeated member."""
-    big = str(2**256)
-    texts = [_LISTING % x for x in (("1", "0", ""), ("1.5", "0", ""), ("1", '"x"', ""), ("1e0", '"0x0f"', ""), ("1", f'"{big}"', ""), ("1", f'"{2**256 - 1}"', ""), ("1", "0", ',"chain":"d"'), ('"1"', "0", ""))]
-    text = F.element_at(F.array(*map(F.lit, texts)), (F.col("event_id") % 8 + 1).cast("int"))
-    return read(spark, sf_dir, "events").select("event_id", admitted(text).alias("admitted"))
+    """Texts of listings, broken by what their events lack: a whole quantity, a counter, a status, the offerer, or one member too many."""
+    return journal(spark, sf_dir).select("event_id", F.coalesce(admitted(F.expr(_LISTING)), F.lit(False)).alias("admitted"))
