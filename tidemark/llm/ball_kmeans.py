@@ -43,8 +43,8 @@ class Settings:
 
     @property
     def largest(self) -> int:
-        """Components up to this keep four times a squared distance within 64 bits."""
-        return isqrt((1 << 60) // self.dimensions) // 2
+        """Components below this have squared distances within 64 bits."""
+        return isqrt(((1 << 63) - 1) // self.dimensions) // 2
 
 
 def is_usable(vector: Column, settings: Settings) -> Column:
@@ -69,10 +69,10 @@ def assign(points: np.ndarray, before: np.ndarray, centres: np.ndarray) -> tuple
     best, gap, compared = before.copy(), own.copy(), len(points)
     for i in np.unique(before):
         members = np.flatnonzero(before == i)
-        reach = 4 * own[members]
-        others = np.flatnonzero((between[i] <= reach.max()) & (np.arange(len(centres)) != i))
-        others = others[np.argsort(between[i, others], kind="stable")]
-        ring = np.searchsorted(between[i, others], reach, side="right")
+        limits = between[i] // 4 + (between[i] % 4 > 0)  # a member reaches j if four times its distance is that of j, or more
+        others = np.flatnonzero((limits <= own[members].max()) & (np.arange(len(centres)) != i))
+        others = others[np.argsort(limits[others], kind="stable")]
+        ring = np.searchsorted(limits[others], own[members], side="right")
         for t, j in enumerate(others):
             rows = members[ring > t]
             compared += len(rows)
