@@ -126,7 +126,7 @@ def prefix_length(size: np.ndarray, least: float) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
-    """(word, id, bitmap, wide, shape) for the front words of every set, rare words first.
+    """(word, doc, line, bitmap, wide, shape) for the front words of every set, rare words first.
 
     A word whose counter is 1 is in one set alone and can't be shared. ``shape``
     packs the set's size, the word's place in it, and whether the set is done,
@@ -150,11 +150,12 @@ def prefixes(sets: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
             front = np.flatnonzero(place < prefix_length(sizes, least)[owner])
             front = front[repeated[counter[order[front]]]]
             of = owner[front]
-            given = [batch.column(c).take(pa.array(of)) for c in ("same", "bitmap", "wide")]
+            given = [batch.column(c).take(pa.array(of)) for c in ("doc", "line", "bitmap", "wide")]
             shape = sizes[of] << 32 | place[front] << 1 | batch.column("done").to_numpy(zero_copy_only=False)[of]
-            yield pa.RecordBatch.from_arrays([pa.array(words[order[front]]), *given, pa.array(shape)], names=["word", "id", "bitmap", "wide", "shape"])
+            yield pa.RecordBatch.from_arrays([pa.array(words[order[front]]), *given, pa.array(shape)], names=["word", "doc", "line", "bitmap", "wide", "shape"])
 
-    return sets.select("same", "words", "bitmap", "wide", "done").mapInArrow(task, "word int, id long, bitmap long, wide long, shape long")
+    kind = sets.schema["doc"].dataType.simpleString()
+    return sets.select("doc", "line", "words", "bitmap", "wide", "done").mapInArrow(task, f"word int, doc {kind}, line int, bitmap long, wide long, shape long")
 
 
 def _in_order(keys: np.ndarray) -> np.ndarray:
@@ -167,75 +168,84 @@ def _in_order(keys: np.ndarray) -> np.ndarray:
     return packed & ((1 << bits) - 1)
 
 
-def _may_be_near(x: str, y: str, size_x: Column, size_y: Column, least: float) -> tuple[Column, Column]:
-    """Whether sizes and bitmaps allow two sets to be similar, and the words that they must share."""
+def _may_be_near(x: str, y: str, size_x: Column, size_y: Column, least: float) -> tuple[Column, Column, Column]:
+    """Whether sizes and bitmaps allow two sets to be similar, the words that they must share, and how many they differ in at least."""
     overlap = F.ceil(F.lit(least / (1 + least)) * (size_x + size_y) - 1e-9)
     narrow, wide = (F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}")) for c in ("bitmap", "wide"))
     # a word's place among 128 bits and among 64 differ in the half alone, so a large set's halves fold to a small one's
     mixed = (size_x > WIDE) != (size_y > WIDE)
     differing = F.when(mixed, F.bit_count(narrow.bitwiseXOR(wide))).otherwise(F.bit_count(narrow) + F.bit_count(wide))
     near_size = F.least(size_x, size_y) >= F.lit(least) * F.greatest(size_x, size_y) - 1e-9
-    return near_size & (differing <= size_x + size_y - 2 * overlap), overlap
+    return near_size & (differing <= size_x + size_y - 2 * overlap), overlap, differing
 
 
 def candidates(front: DataFrame, least: float) -> DataFrame:
-    """(a, b): pairs of sets that pass all filters, once each; not of two that are settled already."""
+    """(a, b, apart): pairs of sets that pass all filters, once each, the earlier as a; none whose later set is settled already.
+
+    ``apart`` is the least share of words that the two differ in, so pairs of few are the likely ones.
+    """
     one, two = front.alias("x"), front.alias("y")
     size = {s: F.shiftright(f"{s}.shape", 32) for s in "xy"}
     place = {s: F.shiftright(f"{s}.shape", 1).bitwiseAND(F.lit((1 << 31) - 1)) for s in "xy"}
-    may, overlap = _may_be_near("x", "y", size["x"], size["y"], least)
+    may, overlap, differing = _may_be_near("x", "y", size["x"], size["y"], least)
     fits = (
         (F.col("x.word") == F.col("y.word"))
-        & (F.col("x.id") < F.col("y.id"))
-        & (F.col("x.shape").bitwiseAND(F.col("y.shape")).bitwiseAND(F.lit(1)) == 0)  # not both done
+        & ((F.col("x.doc") < F.col("y.doc")) | ((F.col("x.doc") == F.col("y.doc")) & (F.col("x.line") < F.col("y.line"))))
+        # the later one is open; told with the other's bits, as a condition on one side would be pushed below the shuffle that both share
+        & (F.col("y.shape").bitwiseAND(F.col("x.shape").bitwiseOR(F.lit(1))).bitwiseAND(F.lit(1)) == 0)
         # the front words that this pair of sizes must share one of
         & (place["x"] <= size["x"] - overlap)
         & (place["y"] <= size["y"] - overlap)
         & may
         & (F.least(size["x"] - place["x"], size["y"] - place["y"]) + F.least(place["x"], place["y"]) >= overlap)
     )
-    return one.join(two, fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    apart = (differing / (size["x"] + size["y"])).cast("float")
+    return one.join(two, fits).select(F.struct("x.doc", "x.line").alias("a"), F.struct("y.doc", "y.line").alias("b"), apart.alias("apart")).distinct()
 
 
 def star_candidates(sets: DataFrame, least: float) -> DataFrame:
-    """(a, b): each set with the earliest one that shares a key, where they may be similar."""
-    rows = sets.select("same", F.size("words").alias("size"), "bitmap", "wide", F.struct("doc", "line").alias("place"), F.explode("keys").alias("key"))
-    heads = rows.groupBy("key").agg(F.min(F.struct("place", "same", "size", "bitmap", "wide")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    """(a, b): the earliest set of each key with each other that has the key, where they may be similar."""
+    rows = sets.select(F.size("words").alias("size"), "bitmap", "wide", F.struct("doc", "line").alias("place"), F.explode("keys").alias("key"))
+    heads = rows.groupBy("key").agg(F.min(F.struct("place", "size", "bitmap", "wide")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # written first, so that Spark deals out both sides of the join and can split a key that many share
-    heads = cut(heads.select("key", "h.same", "h.size", "h.bitmap", "h.wide"), "line-heads")
-    may, _ = _may_be_near("x", "y", F.col("x.size"), F.col("y.size"), least)
-    met = rows.alias("x").join(heads.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.same") != F.col("y.same")) & may)
-    return met.select(F.col("x.same").alias("a"), F.col("y.same").alias("b")).distinct()
+    heads = cut(heads.select("key", "h.place", "h.size", "h.bitmap", "h.wide"), "line-heads")
+    may, _, _ = _may_be_near("x", "y", F.col("x.size"), F.col("y.size"), least)
+    met = rows.alias("x").join(heads.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.place") > F.col("y.place")) & may)
+    return met.select(F.col("y.place").alias("a"), F.col("x.place").alias("b")).distinct()
 
 
 def later_of(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """(same): the later set of every pair that is similar indeed."""
-    ids = cut(pairs.select("a").unionAll(pairs.select("b")).distinct().toDF("same"), "line-ids")
+    """(place, same): the later set (b) of every pair that is similar indeed."""
+    ids = cut(pairs.select("a").unionAll(pairs.select("b")).distinct().toDF("place"), "line-ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    known = sets.join(ids, "same", "left_semi").select("same", F.struct("doc", "line").alias("place"), "words")
-    first = known.select(F.col("same").alias("a"), F.col("place").alias("place_a"), F.col("words").alias("words_a"))
-    second = known.select(F.col("same").alias("b"), F.col("place").alias("place_b"), F.col("words").alias("words_b"))
+    known = sets.select(F.struct("doc", "line").alias("place"), "same", "words").join(ids, "place", "left_semi")
+    first = known.select(F.col("place").alias("a"), F.col("words").alias("words_a"))
+    second = known.select(F.col("place").alias("b"), "same", F.col("words").alias("words_b"))
     both = F.size(F.array_intersect("words_a", "words_b"))
     total = F.size("words_a") + F.size("words_b") - both
     verified = pairs.join(first, "a").join(second, "b").where(both >= F.lit(least) * total - 1e-9)
-    return verified.select(F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b")).alias("same")).distinct()
+    return verified.select(F.col("b").alias("place"), "same").distinct()
 
 
 def repeated_sets(sets: DataFrame, least: float) -> DataFrame:
     """(same): sets that have an earlier one (by doc, then line) of Jaccard similarity ``least`` or more.
 
-    Sets that are near the earliest of their key are settled first; pairs of
-    two settled ones need no look, so a group of near sets costs pairs with its
-    few others and not with its square. All other pairs go through the join.
+    Sets that are near the earliest of their key are settled first, then those
+    near the likeliest of the earlier sets that the join brings them. One such
+    set is enough, so only sets that are still open are compared with all that
+    the join brings: in a group of near sets, the few that are like none.
     """
     settled = cut(later_of(cut(star_candidates(sets, least), "line-stars"), sets, least), "settled-sets")
-    side = settled.withColumn("done", F.lit(True))
+    side = settled.select("same", F.lit(True).alias("done"))
     if settled.count() <= BROADCAST_IDS:
         side = F.broadcast(side)
-    marked = sets.select("same", "words", "bitmap", "wide").join(side, "same", "left").withColumn("done", F.coalesce("done", F.lit(False)))
+    marked = sets.select("same", "doc", "line", "words", "bitmap", "wide").join(side, "same", "left").withColumn("done", F.coalesce("done", F.lit(False)))
     pairs = cut(candidates(prefixes(marked, word_counts(sets), least), least), "line-pairs")
-    return later_of(pairs, sets, least).unionAll(settled).distinct()
+    best = pairs.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a"))
+    found = cut(later_of(cut(best.select("a", "b"), "line-best"), sets, least), "found-sets")
+    rest = cut(pairs.select("a", "b").join(found.select(F.col("place").alias("b")), "b", "left_anti"), "line-rest")
+    return later_of(rest, sets, least).unionAll(found).unionAll(settled).select("same").distinct()
 
 
 def kept_lines(docs: DataFrame, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
