@@ -44,3 +44,14 @@ def test_a_bundle_without_orders_is_sound_if_it_counts_none(spark):
         frame([], "bundle_id long, place int, nth int, listed_id string, told_id string, event_type string, processing_status string, received_ms long, event_version string"),
     )
     assert [tuple(r) for r in found.collect()] == [(1, 0, "")]
+
+
+def test_lines_are_dealt_out_once(spark):
+    """All branches of the query have one shuffle of the lines in common."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = B.bundle_audit(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    reused = plan.count("ReusedExchange")
+    assert reused >= 4 and plan.count("REPARTITION_BY_COL") - reused == 2  # the counts need no places, so they have their own

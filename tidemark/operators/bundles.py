@@ -66,6 +66,7 @@ _BUNDLE = {
 }
 _HASH = "concat('0x', md5(CAST(l_partkey AS STRING)), md5(CAST(l_suppkey AS STRING)))"
 _LINE = {"bundle_id": "l_orderkey", "line": "l_linenumber", "part": "l_partkey", "supplier": "l_suppkey", "hash": _HASH}
+_BARE = {n: c for n, c in _LINE.items() if n != "hash"}
 _ORDER = {
     "bundle_id": "bundle_id", "place": "CASE WHEN bundle_id % 79 = 7 THEN n + 1 - rank_ ELSE rank_ END", "order_hash": "CASE WHEN part % 211 = 1 THEN upper(hash) ELSE hash END", "class": "CASE WHEN part % 223 = 2 THEN 'LOST' WHEN supplier % 3 = 0 THEN 'PRESENT' WHEN supplier % 3 = 1 THEN 'ABSENT_CANDIDATE' ELSE 'BLOCKED' END",
     "reasons": "CASE WHEN part % 227 = 3 THEN 'SOME_REASON' WHEN supplier % 3 <> 2 THEN '' WHEN part % 229 = 4 THEN 'PENDING_EVENT,FAILED_EVENT' WHEN part % 2 = 0 THEN 'FAILED_EVENT,PENDING_EVENT' ELSE 'ORDER_NOT_ACTIVE' END", "seen": "CASE WHEN part % 233 = 5 THEN NULL ELSE supplier % 3 = 0 END", "order_authority": "part % 239 = 6",
@@ -93,7 +94,9 @@ events_ AS (SELECT bundle_id, {', '.join(f'bool_or({R.text_of(c)}) AS {n}' for n
 told AS (SELECT b.*, coalesce(orders, 0) AS orders, coalesce(present, 0) AS present, coalesce(absent, 0) AS absent, coalesce(blocked, 0) AS blocked, g.* EXCLUDE (bundle_id, orders, present, absent, blocked), h.* EXCLUDE (bundle_id) FROM bundles b LEFT JOIN flags g USING (bundle_id) LEFT JOIN events_ h USING (bundle_id))
 SELECT bundle_id, orders, {R.reasons_text(AUDIT_REASONS)} AS reasons FROM told""")
 def bundle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = R.derived(read(spark, sf_dir, "lineitem"), _LINE)
+    # dealt out once, by whole numbers: every branch below has this shuffle in common, and makes its hashes behind it
+    bare = R.derived(read(spark, sf_dir, "lineitem"), _BARE).repartition("bundle_id")
+    lines = bare.withColumn("hash", F.expr(_HASH.replace("l_partkey", "part").replace("l_suppkey", "supplier")))
     own = Window.partitionBy("bundle_id")
     ranked = lines.withColumn("rank_", F.row_number().over(own.orderBy("hash", "line", "part", "supplier"))).withColumn("n", F.count(F.lit(1)).over(own))
     orders = R.derived(ranked, _ORDER)
