@@ -54,3 +54,39 @@ def test_stream_keeps_state_between_batches(spark, tmp_path):
     assert touched.select("batch").distinct().count() == 3
     newest = touched.groupBy("order_hash").agg(F.max_by(F.struct(*STATE_COLUMNS), "batch").alias("s")).select("order_hash", "s.*")
     assert rows_of(newest) == rows_of(order_states(journal(spark, SMALL).where("order_hash IS NOT NULL")).select("order_hash", *STATE_COLUMNS))
+
+
+def test_streamed_events_are_folded_without_frames(monkeypatch):
+    """An order's few events are read as lists; missing values of any kind are None to the rules."""
+    import pandas as pd
+
+    from tidemark.functions.order_rules import empty, reduce_order
+    from tidemark.operators.folds import ORDER_EVENT, STATE_COLUMNS
+
+    class Held:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    def refused(*args, **kwargs):
+        raise AssertionError("an operation on whole frames for one key")
+
+    listed = {**dict.fromkeys(ORDER_EVENT), "at": "2", "id": "7", "type": "item_listed", "ms": "10", "ver": float("nan"), "ord": "o", "nft": "n", "seller": "s", "price": "5", "exp": "99", "suspicious": False}
+    sold = {**listed, "at": "3", "id": "8", "type": "item_sold", "ms": "11", "ver": "9007199254740993"}
+    frame = pd.DataFrame([sold, listed])
+    fold = state.OrderFold()
+    fold.state = Held()
+    monkeypatch.setattr(state.pd, "concat", refused)
+    found = list(fold.handleInputRows(("o",), iter([frame]), None))
+    want = empty()
+    for event in ({**listed, "at": 2, "id": 7, "ms": 10, "ver": None, "exp": 99}, {**sold, "at": 3, "id": 8, "ms": 11, "ver": 9007199254740993, "exp": 99}):
+        want = reduce_order(want, event)
+    assert want["status"] == "sold" and fold.state.value == tuple(want.values())
+    assert [tuple(f.iloc[0]) for f in found] == [("o", *(want[n] for n in STATE_COLUMNS))]

@@ -64,15 +64,18 @@ class OrderFold(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
         held = dict(zip(FIELDS, self.state.get(), strict=True)) if self.state.exists() else empty()
-        events = pd.concat(rows).astype(object)
-        found = events.where(events.notna(), None).to_dict("records")
+        # by lists: a batch has few events of an order, and each operation on a frame costs more than to fold them
+        found: list[dict] = []
+        for frame in rows:
+            columns = [[None if x is None or x != x else x for x in frame[n].tolist()] for n in ORDER_EVENT]
+            found += (dict(zip(ORDER_EVENT, values, strict=True)) for values in zip(*columns, strict=True))
         for event in found:
             event.update((n, None if event[n] is None else int(event[n])) for n in WHOLE)
         for event in sorted(found, key=lambda e: (e["at"], e["id"])):
             held = reduce_order(held, event)
         self.state.update(tuple(held.values()))
         if held["here"]:
-            yield pd.DataFrame({"order_hash": [key[0]], **{n: pd.Series([held[n]], dtype=object) for n in STATE_COLUMNS}})
+            yield pd.DataFrame([(key[0], *(held[n] for n in STATE_COLUMNS))], columns=["order_hash", *STATE_COLUMNS], dtype=object)
 
     def close(self) -> None:
         pass
