@@ -41,16 +41,18 @@ class SecondBarrier(StatefulProcessor):
         known = self.group.exists()
         transaction, several, incomplete = self.group.get() if known else (None, False, False)
         for frame in rows:
-            for value in frame["transaction_hash"]:
+            for value in frame["transaction_hash"].tolist():
                 if value is None or value != value:
                     incomplete = True
                 elif transaction is None:
                     transaction = value
                 else:
                     several = several or value != transaction
-            chosen = frame[frame["is_target"]]
-            if len(chosen):
-                self.targets.appendList([(int(i), c if isinstance(c, str) else None) for i, c in zip(chosen["event_id"], chosen["own_class"], strict=True)])
+            # by lists: most seconds have a row or two, and each operation on a frame costs more than to read them
+            columns = (frame[n].tolist() for n in ("is_target", "event_id", "own_class"))
+            chosen = [(int(i), c if isinstance(c, str) else None) for t, i, c in zip(*columns, strict=True) if t]
+            if chosen:
+                self.targets.appendList(chosen)
         self.group.update((transaction, bool(several), bool(incomplete)))
         if not known:
             self.handle.registerTimer((int(key[1]) + 1) * 1000)
