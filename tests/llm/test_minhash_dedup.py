@@ -108,6 +108,32 @@ def test_pairs_below_many_unlike_members_meet(documents):
         assert {r["doc_id"]: r["class_id"] for r in rows} == {i: i - i % 2 for i in range(2 * kinds)}
 
 
+def test_links_beside_the_least_of_a_large_bucket_are_found(documents):
+    """Of each pair one text is like the least member and the other is not; all similar texts of one bucket are one class."""
+    base = [f"s{i}" for i in range(200)]
+    texts = [" ".join(base)]
+    for k in range(20):
+        own = [f"k{k}x{i}" for i in range(60)]
+        texts += [" ".join(base + own[:45]), " ".join(base + own)]  # 200 of 245 and of 260 words are the least one's
+    texts += [" ".join(base + [f"far{k}x{i}" for i in range(200)]) for k in range(20)]
+    some = M.Settings(sketches=2)
+    sketches = M.sketch_values(*M._shingles(textgrams.texts_of(pa.array(texts)), some.words), some)
+    least = list(range(len(texts)))
+    links = [(i, j) for i, j in all_links(texts) if (sketches[i] == sketches[j]).any()]
+    for i, j in links * 4:
+        least[i] = least[j] = min(least[i], least[j])
+    assert max((sketches[:, j] == sketches[0, j]).sum() for j in range(2)) > some.block
+    rows = M.near_duplicates(documents(texts), some).collect()
+    assert {r["doc_id"]: r["class_id"] for r in rows} == dict(enumerate(least))
+
+
+def test_unlike_pairs_of_words_rule_out_an_alignment(monkeypatch):
+    """The same words in another order, where the table of the alignment is not needed."""
+    monkeypatch.setattr(M, "band_distance", lambda *_: pytest.fail("aligned"))
+    a = np.arange(2000, dtype=np.uint64)
+    assert M.similarity(a, np.random.default_rng(1).permutation(a), 0.8) == 0
+
+
 def all_links(texts):
     """Pairs of unequal texts with an edit similarity of 0.8 or more, all compared with all."""
     words = [textgrams.texts_of(pa.array([t])).word_hashes for t in texts]

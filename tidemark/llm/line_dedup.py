@@ -89,7 +89,7 @@ def _least_two(words: np.ndarray, begins: np.ndarray, sizes: np.ndarray, salt: i
     return textgrams.mix(first * np.uint64(31) + np.minimum.reduceat(rest, begins) + np.uint64(salt))
 
 
-def _counter(words: np.ndarray) -> np.ndarray:
+def counter(words: np.ndarray) -> np.ndarray:
     return textgrams.mix(words.view(np.uint32).astype(np.uint64)).astype(np.int64) & (COUNTERS - 1)
 
 
@@ -99,7 +99,7 @@ def word_counts(sets: DataFrame) -> np.ndarray:
     def partly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            total += np.bincount(_counter(batch.column("words").flatten().to_numpy()), minlength=COUNTERS)
+            total += np.bincount(counter(batch.column("words").flatten().to_numpy()), minlength=COUNTERS)
         yield _blocks({i: x for i, x in enumerate(total.reshape(-1, BLOCK)) if x.any()})
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,11 +144,11 @@ def prefixes(sets: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
             words = lists.flatten().to_numpy()
             sizes = lists.value_lengths().to_numpy().astype(np.int64)
             owner = np.repeat(np.arange(len(sizes)), sizes)
-            counter = _counter(words)
-            order = _in_order(owner * COUNTERS + rank[counter])
+            spot = counter(words)
+            order = _in_order(owner * COUNTERS + rank[spot])
             place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             front = np.flatnonzero(place < prefix_length(sizes, least)[owner])
-            front = front[repeated[counter[order[front]]]]
+            front = front[repeated[spot[order[front]]]]
             of = owner[front]
             given = [batch.column(c).take(pa.array(of)) for c in ("doc", "line", "bitmap", "wide")]
             shape = sizes[of] << 32 | place[front] << 1 | batch.column("done").to_numpy(zero_copy_only=False)[of]

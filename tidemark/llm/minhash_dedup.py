@@ -4,10 +4,10 @@ A sketch takes the few least occurrence-labelled k-mers of a text under one
 hash function and keeps them in text order, so it is sensitive to edits and
 not only to the set of k-mers. Texts that share a sketch are candidates; they
 are aligned word by word inside a band, and linked if they differ little. A
-bucket's members meet its least one. What the alignment keeps apart from it
-shares a passage with it and no more, so such texts are sketched again without
-the k-mers that they share, until none are kept apart: a passage that many
-texts have fills one bucket, and costs one alignment each.
+bucket's members meet its least one. A bucket that this leaves in more than one
+component has pairs left to compare: all of them in a small bucket, and in a
+large one those that an exact join on rare words brings together, so a passage
+that many texts have costs few alignments and hides no link.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import textgrams
+from tidemark.llm import line_dedup, textgrams
 from tidemark.llm.components import components
 from tidemark.llm.tables import bound_batches, cut, drop
 
@@ -39,7 +39,7 @@ class Settings:
     sketches: int = 40
     taken: int = 2
     similarity: float = 0.8
-    #: In a bucket of up to so many, members kept apart from the least are compared with all others too.
+    #: In a bucket of up to so many, members of other components than the least one's are aligned with all others.
     block: int = 32
 
 
@@ -163,6 +163,10 @@ def _shared_words(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.minimum(n[i], m[j]).sum())
 
 
+def _pairs_of_words(words: np.ndarray) -> np.ndarray:
+    return textgrams.mix(words[:-1]) ^ words[1:]
+
+
 def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
     """1 - edit distance / words of the longer, or 0 if that is below ``least``. Two empty ones are equal."""
     longer = max(len(a), len(b))
@@ -181,6 +185,8 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
     x, y = x[: len(x) - tail], y[: len(y) - tail]
     if max(len(x), len(y)) - _shared_words(x, y) > most:  # each edit makes one word more common at most
         return 0.0
+    if max(len(x), len(y)) - 1 - _shared_words(_pairs_of_words(x), _pairs_of_words(y)) > 2 * most:  # and two pairs of neighbours
+        return 0.0
     x, y = x.tolist(), y.tolist()
     band = min(8, most)
     while True:
@@ -214,95 +220,154 @@ def sketch(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id"
     return rows.withColumn("same", same).mapInArrow(task, f"id {rows.schema['id'].dataType.simpleString()}, same string, sketches array<long>")
 
 
-def align(pairs: DataFrame, docs: DataFrame, s: Settings, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(a, b, similarity, left) of candidate pairs (a, b, left); similarity is 0 where it is below the least.
+def _distinct_words(column: pa.Array) -> list[np.ndarray]:
+    """Word hashes of every text; those of a text that comes again are worked out once."""
+    coded = column.dictionary_encode()
+    texts = textgrams.texts_of(coded.dictionary)
+    words, bounds = texts.word_hashes, texts.word_offsets
+    return [words[bounds[i] : bounds[i + 1]] for i in coded.indices.to_numpy()]
 
-    There, left has the k-mers of a that b has not, in text order: of all, or
-    of those in left where it is given.
-    """
+
+def align(pairs: DataFrame, docs: DataFrame, s: Settings, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(a, b, similarity) of candidate pairs (a, b); similarity is 0 where it is below the least."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, first in textgrams.slices(batch, "text_a"):
-                second = textgrams.texts_of(part.column("text_b"))
-                x, y = first.word_hashes, second.word_hashes
-                p, q = first.word_offsets, second.word_offsets
-                found = [similarity(x[p[i] : p[i + 1]], y[q[i] : q[i + 1]], s.similarity) for i in range(len(first))]
-                left: list[np.ndarray | None] = [None] * len(first)
-                apart = [i for i, f in enumerate(found) if not f]
-                sides = [_k_mers(part.column(c).take(pa.array(apart, pa.int64())), s.words) for c in ("text_a", "text_b")]
-                for i, own, other in zip(apart, *sides, strict=True):
-                    given = part.column("left")[i]
-                    own = given.values.to_numpy() if given.is_valid else own
-                    left[i] = own[~np.isin(own, other)]
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(found, pa.float64()), pa.array(left, pa.list_(pa.int64()))], names=["a", "b", "similarity", "left"])
+            for part, _ in textgrams.slices(batch, "text_a"):
+                first, second = (_distinct_words(part.column(c)) for c in ("text_a", "text_b"))
+                found = [similarity(x, y, s.similarity) for x, y in zip(first, second, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
 
-    bodies = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     pairs = cut(pairs, "pairs")
-    if pairs.count() <= BROADCAST_PAIRS:  # texts of other rows need no shuffle then
-        bodies = bodies.join(F.broadcast(pairs.select("a").unionAll(pairs.select("b")).distinct().toDF("id")), "id", "left_semi")
+    bodies = _bodies(docs, pairs.select("a").unionAll(pairs.select("b")).distinct().toDF("id"), pairs.count(), key, text)
     joined = pairs.join(bodies.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(bodies.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     kind = pairs.schema["a"].dataType.simpleString()
-    return joined.select("a", "b", "left", "text_a", "text_b").mapInArrow(task, f"a {kind}, b {kind}, similarity double, left array<long>")
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(task, f"a {kind}, b {kind}, similarity double")
 
 
-def _k_mers(column: pa.Array, k: int) -> list[np.ndarray]:
-    hashes, number = _shingles(textgrams.texts_of(column), k)
-    return np.split(hashes.view(np.int64), np.cumsum(number)[:-1]) if len(number) else []
+def _bodies(docs: DataFrame, ids: DataFrame, number: int, key: str, text: str) -> DataFrame:
+    """(id, text), without texts of other rows where the ids are few enough to be sent to all executors."""
+    bodies = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    return bodies.join(F.broadcast(ids), "id", "left_semi") if number <= BROADCAST_PAIRS else bodies
 
 
-def _resketched(lists: DataFrame, s: Settings) -> DataFrame:
-    """(id, left, sketches) of texts that have these k-mers left."""
+def _stars(sketched: DataFrame) -> DataFrame:
+    """(bucket, a, b, n): every member of a bucket with the bucket's least member, and how many the bucket has."""
+    rows = sketched.select("id", F.posexplode("sketches").alias("j", "value")).select(F.xxhash64("j", "value").alias("bucket"), "id")
+    least = rows.groupBy("bucket").agg(F.min("id").alias("b"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("b < last").select("bucket", "b", "n")
+    return rows.join(least, "bucket").where("id <> b").select("bucket", F.col("id").alias("a"), "b", "n")
+
+
+def _word_sets(members: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, component, large, words): 32-bit hashes of the members' words, sorted; the n-th occurrence of a word has its own."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = batch.column("left")
-            sketches = _sketch_lists(left.flatten().to_numpy().view(np.uint64), left.value_lengths().to_numpy().astype(np.int64), s)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), left, sketches], names=["id", "left", "sketches"])
+            for part, texts in textgrams.slices(batch):
+                hashes, number = _shingles(texts, 1)
+                owner = np.repeat(np.arange(len(number)), number)
+                packed = owner << 32 | (textgrams.mix(hashes) >> np.uint64(32)).astype(np.int64)
+                packed.sort()
+                words = pa.array((packed & 0xFFFFFFFF).astype(np.uint32).view(np.int32))
+                bounds = pa.array(np.append(0, np.cumsum(number)).astype(np.int32))
+                given = [part.column(c) for c in ("id", "component", "large")]
+                yield pa.RecordBatch.from_arrays([*given, pa.ListArray.from_arrays(bounds, words)], names=["id", "component", "large", "words"])
 
-    return lists.select("id", "left").mapInArrow(task, f"id {lists.schema['id'].dataType.simpleString()}, left array<long>, sketches array<long>")
+    bodies = _bodies(docs, members.select("id"), members.count(), key, text)
+    kind = members.schema["id"].dataType.simpleString()
+    return members.join(bodies, "id").select("id", "component", "large", "text").mapInArrow(task, f"id {kind}, component {kind}, large boolean, words array<int>")
 
 
-def _stars(sketched: DataFrame) -> DataFrame:
-    """(bucket, a, b, n): every member of a bucket with the bucket's least member, and how many the bucket has."""
-    rows = sketched.select("id", F.posexplode("sketches").alias("j", "value")).select(F.xxhash64("j", "value").alias("bucket"), "id")
-    least = rows.groupBy("bucket").agg(F.min("id").alias("b"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("b < last").select("bucket", "b", "n")
-    return rows.join(least, "bucket").where("id <> b").select("bucket", F.col("id").alias("a"), "b", "n")
+def _rare_words(sets: DataFrame, least: float) -> DataFrame:
+    """(word, id, component, size, place) for the rarest words of every set: similar texts share one of those of both.
+
+    An edit makes one word more common at most, so texts of n words or fewer have all but (1 - least) * n in common.
+    """
+    counts = line_dedup.word_counts(sets)
+    rank = np.empty(line_dedup.COUNTERS, np.int32)
+    rank[np.argsort(counts, kind="stable")] = np.arange(line_dedup.COUNTERS, dtype=np.int32)
+    shared = sets.sparkSession.sparkContext.broadcast((rank, counts > 1))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank, repeated = shared.value
+        for batch in batches:
+            lists = batch.column("words")
+            words, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            counter = line_dedup.counter(words)
+            order = np.lexsort((words, rank[counter], owner))
+            place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            front = np.flatnonzero(place < line_dedup.prefix_length(sizes, least)[owner])
+            front = front[repeated[counter[order[front]]]]
+            of = owner[front]
+            given = [batch.column(c).take(pa.array(of)) for c in ("id", "component")]
+            yield pa.RecordBatch.from_arrays([pa.array(words[order[front]]), *given, pa.array(sizes[of].astype(np.int32)), pa.array(place[front].astype(np.int32))], names=["word", "id", "component", "size", "place"])
+
+    kind = sets.schema["id"].dataType.simpleString()
+    return sets.mapInArrow(task, f"word int, id {kind}, component {kind}, size int, place int")
+
+
+def _rare_pairs(sets: DataFrame, least: float) -> DataFrame:
+    """(a, b): pairs of different components that may be alike, by their sizes and rare words."""
+    rare = _rare_words(sets, least)
+    x, y = rare.alias("x"), rare.alias("y")
+    common = F.ceil(F.lit(least) * F.greatest("x.size", "y.size") - 1e-9)
+    fits = (
+        (F.col("x.word") == F.col("y.word"))
+        & (F.col("x.id") > F.col("y.id"))
+        & (F.col("x.component") != F.col("y.component"))
+        & (F.col("x.size") - F.col("x.place") >= common)
+        & (F.col("y.size") - F.col("y.place") >= common)
+        & (F.least(F.expr("x.size - x.place"), F.expr("y.size - y.place")) + F.least("x.place", "y.place") >= common)
+    )
+    return x.join(y, fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
+def _with_enough_words(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) that have as many words in common as similar texts must have."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, second = ([x.values.to_numpy() for x in batch.column(c)] for c in ("words_a", "words_b"))
+            stay = [max(len(x), len(y)) - _shared_words(x, y) <= int((1 - least) * max(len(x), len(y)) + 1e-9) for x, y in zip(first, second, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(stay, pa.bool_())) for c in "ab"], names=["a", "b"])
+
+    kind = pairs.schema["a"].dataType.simpleString()
+    for end in "ab":
+        pairs = pairs.join(sets.select(F.col("id").alias(end), F.col("words").alias(f"words_{end}")), end)
+    return pairs.select("a", "b", "words_a", "words_b").mapInArrow(task, f"a {kind}, b {kind}")
 
 
 def bucket_links(chosen: DataFrame, docs: DataFrame, s: Settings, key: str, text: str, spent: list[DataFrame]) -> DataFrame:
-    """(a, b) of aligned pairs. ``chosen`` has id and sketches; ``spent`` gets the tables to drop when the links are written.
+    """(a, b): links whose components are the classes. ``chosen`` has id and sketches; ``spent`` gets the tables to drop when the links are written.
 
-    Members kept apart from the least of a small bucket are aligned with all
-    of it, and that bucket is done. Those kept apart in a large one are
-    sketched again from the k-mers that none of the least members they met has,
-    and so on until none are left; each turn takes away the k-mers that brought
-    them together, so it ends.
+    They lose no class: of every two texts that share a bucket and are similar,
+    the ends are in one component. Members are aligned with the least one of
+    their bucket first; then pairs of one bucket and different components are
+    aligned, but for those whose words in common are too few. In buckets of more
+    than ``block`` a join on rare words finds those that are not.
     """
-    lists, checked, waiting = chosen, None, None
-    while True:
-        stars = cut(_stars(lists), "stars")
-        pairs = (stars.select("a", "b") if waiting is None else stars.select("a", "b").unionAll(waiting)).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        given = pairs.withColumn("left", F.lit(None).cast("array<long>")) if lists is chosen else pairs.join(lists.select(F.col("id").alias("a"), "left"), "a", "left")
-        found = cut(align(given, docs, s, key, text), "aligned")
-        checked = found if checked is None else checked.unionAll(found)
-        spent += [stars, found, *([] if lists is chosen else [lists])]
-        if stars.isEmpty():
-            return checked.where("similarity > 0").select("a", "b")
-        unlike = checked.where("similarity = 0")
-        small = stars.where(F.col("n") <= s.block)
-        apart = small.join(unlike.select("a", "b"), ["a", "b"]).select("bucket", F.col("a").alias("x"))
-        met = apart.join(small.select("bucket", F.col("a").alias("y")), "bucket").where("x <> y")
-        waiting = met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))  # aligned with the next turn's
-        # of a small bucket all pairs are aligned, so it need bring nothing together again
-        large = stars.where(F.col("n") > s.block).select("a", "b").distinct()
-        left = large.join(unlike, ["a", "b"]).groupBy(F.col("a").alias("id")).agg(F.collect_list("left").alias("all"))
-        left = left.select("id", F.aggregate("all", F.get("all", F.lit(0)), F.array_intersect).alias("left"))
-        if lists is not chosen:  # pairs that were aligned before have more left than there is by now
-            left = left.join(lists.select("id", F.col("left").alias("now")), "id").select("id", F.array_intersect("now", "left").alias("left"))
-        lists = cut(_resketched(left.where(F.size("left") > 0), s), "left-sketches")
+    stars = cut(_stars(chosen), "stars")
+    first = cut(align(stars.select("a", "b").distinct(), docs, s, key, text), "aligned")
+    spent += [stars, first]
+    if first.where("similarity = 0").isEmpty():
+        return first.where("similarity > 0").select("a", "b")
+    named = cut(components(first.where("similarity > 0")), "named")
+    for end in "ab":
+        stars = stars.join(named.toDF(end, f"in_{end}"), end, "left").withColumn(f"in_{end}", F.coalesce(f"in_{end}", end))
+    stars = cut(stars.withColumn("large", F.col("n") > s.block).drop("n"), "named-stars")
+    apart = stars.where("in_a <> in_b")
+    left = stars.join(apart.select("bucket").distinct(), "bucket", "left_semi")
+    members = left.select("a", "in_a", "large").unionAll(left.select("b", "in_b", "large")).toDF("id", "component", "large")
+    members = cut(members.groupBy("id", "component").agg(F.max("large").alias("large")), "members")
+    sets = cut(_word_sets(members, docs, key, text), "word-sets")
+    small = left.where("NOT large").select("bucket", F.col("a").alias("y"), F.col("in_a").alias("in_y"))
+    met = apart.where("NOT large").select("bucket", F.col("a").alias("x"), F.col("in_a").alias("in_x")).join(small, "bucket").where("in_x <> in_y")
+    pairs = met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).unionAll(_rare_pairs(sets.where("large"), s.similarity))
+    pairs = cut(pairs.distinct().join(first.select("a", "b"), ["a", "b"], "left_anti"), "left-pairs")
+    second = cut(align(_with_enough_words(pairs, sets, s.similarity), docs, s, key, text), "aligned")
+    spent += [named, stars, members, sets, pairs, second]
+    return named.where("id <> component").toDF("a", "b").unionAll(second.where("similarity > 0").select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -310,8 +375,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
 
     Rows with equal texts are one class without alignment; one of them stands
     for all. Representatives that share a sketch are aligned with the least one
-    of that bucket, and with all of a small bucket if they are unlike it. Those
-    unlike it are sketched again without what they share with it (see
+    of that bucket, and then with those of other components (see
     ``bucket_links``), so that an unlike least member hides no link. Classes
     are the connected components of all links found. Null texts and blank texts are
     linked to nothing but (blank ones) equal texts. A null key gives a row that
