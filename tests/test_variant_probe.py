@@ -34,3 +34,9 @@ def test_bounds_are_kept_and_no_python_runs(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert V.discovered(rows, "id", "payload", V.Bounds(depth=1, items=0)).count() == 200
+
+
+def test_a_payload_is_parsed_and_opened_once(spark):
+    rows = spark.createDataFrame([("a", '{"x": {"y": [{"hash": "0x1"}]}}')], "id string, payload string")
+    plan = V.discovered(rows, "id", "payload")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan

@@ -1,6 +1,6 @@
 """Fields that an event's identity may be read from, found in JSON as VARIANT values, without a Python worker.
 
-Each round explodes what is nested one level deeper. Patterns and bounds are
+Each round explodes what is nested one level deeper, and passes on what it told. Patterns and bounds are
 data: a table of concepts that paths are matched with, and ``Bounds``.
 """
 
@@ -49,17 +49,24 @@ def discovered(rows: DataFrame, key: str, payload: str, bounds: Bounds = Bounds(
     than the bound the first stay, depth first in that order. Keys are unique.
     """
     spark = rows.sparkSession
-    level = rows.select(F.col(key).alias("key"), F.try_parse_json(payload).alias("v"), F.lit("").alias("path"), F.array().cast("array<int>").alias("place"))
-    found: DataFrame | None = None
+    level = rows.select(
+        F.col(key).alias("key"), F.try_parse_json(payload).alias("v"), F.lit("").alias("path"), F.array().cast("array<int>").alias("place"), F.lit(False).alias("told"), F.lit("").alias("kind")
+    ).where("v IS NOT NULL")
     for depth in range(1, bounds.depth + 1):
-        child = spark.tvf.variant_explode(F.col("v").outer()).toDF("at", "name", "value")
-        inner = level.lateralJoin(child).where(F.col("name").isNotNull() | (F.col("at") < bounds.items))
-        member = F.col("name").isNotNull()
-        path = F.when(~member, F.concat("path", F.lit("["), F.col("at").cast("string"), F.lit("]"))).when(F.col("path") == "", F.col("name")).otherwise(F.concat_ws(".", "path", "name"))
-        level = inner.select("key", F.col("value").alias("v"), path.alias("path"), F.concat("place", F.array("at")).alias("place"), member.alias("told"), kind(F.col("value")).alias("kind"))
-        named = level.where(F.col("told") | ~F.col("kind").isin("object", "array")).select("key", "path", "place", "kind", F.posexplode(concepts(F.col("path"), F.col("told"), F.col("kind"))).alias("nth", "concept"))
-        found = named if found is None else found.unionAll(named)
-        level = level.where(F.col("kind").isin("object", "array")).select("key", "v", "path", "place")
+        # fields that were told have no value left and pass through, so a payload is parsed and opened once
+        child = spark.tvf.variant_explode_outer(F.col("v").outer()).toDF("at", "name", "value")
+        new, member = F.col("v").isNotNull(), F.col("name").isNotNull()
+        inner = level.lateralJoin(child).where(~new | member | (F.col("at") < bounds.items))
+        path = F.when(~new, F.col("path")).when(~member, F.concat("path", F.lit("["), F.col("at").cast("string"), F.lit("]"))).when(F.col("path") == "", F.col("name")).otherwise(F.concat_ws(".", "path", "name"))
+        fields = inner.select(
+            "key", "value", path.alias("path"), F.when(new, F.concat("place", F.array("at"))).otherwise(F.col("place")).alias("place"),
+            F.when(new, member).otherwise(F.col("told")).alias("told"), F.when(new, kind(F.col("value"))).otherwise(F.col("kind")).alias("kind"),
+        )
+        opened = F.col("value").isNotNull() & F.col("kind").isin("object", "array") & F.lit(depth < bounds.depth)
+        both = fields.withColumn("open", F.explode(F.when(opened, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+        level = both.select("key", F.when(F.col("open"), F.col("value")).alias("v"), "path", "place", "told", "kind")
+    told = level.where(F.col("told") | ~F.col("kind").isin("object", "array"))
+    found = told.select("key", "path", "place", "kind", F.posexplode(concepts(F.col("path"), F.col("told"), F.col("kind"))).alias("nth", "concept"))
     order = F.row_number().over(Window.partitionBy("key").orderBy("place", "nth"))
     return found.withColumn("rank", order).where(F.col("rank") <= bounds.fields).select(F.col("key").alias(key), "concept", "path", "kind")
 
