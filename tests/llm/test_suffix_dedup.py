@@ -1,3 +1,4 @@
+import os
 import random
 import re
 
@@ -98,3 +99,13 @@ def test_null_keys_and_repeated_rows(documents):
     passage = " ".join(f"q{i}" for i in range(60))
     docs = documents([passage, passage, passage], ids=[None, 1, 1])
     assert all(r["text"] == passage for r in S.remove_repeated_passages(docs).collect())
+
+
+def test_only_spans_stay_written(spark, documents):
+    """Tables on the way are deleted before the texts are joined to what is found."""
+    written = set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    texts = sharing(random.Random(5))
+    rows = S.remove_repeated_passages(documents(texts), 10, 5)
+    left = set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) - written
+    assert {name.rsplit("-", 1)[0] for name in left} == {"whole-blocks", "sorted-repeats", "later-passages"}
+    assert [places(r) for r in rows.orderBy("doc_id").collect()] == brute(texts, 10)

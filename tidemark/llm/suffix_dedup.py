@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textgrams
-from tidemark.llm.tables import bound_batches, cut
+from tidemark.llm.tables import bound_batches, cut, drop
 
 #: Words from which on a repeated passage counts, and words that a suffix is first sorted by.
 LEAST, ANCHOR = 50, 25
@@ -223,7 +223,8 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, ke
     """(doc, start, end): stretches of words of each text that repeat earlier words (by key, then place).
 
     Their union is exactly the words of all passages of ``least`` words that
-    have an equal one earlier. Stretches may overlap.
+    have an equal one earlier. Stretches may overlap. They are written, and
+    every table on the way is deleted once the last step that reads it is over.
     """
     if not 0 < anchor <= least or least - anchor > 0xFF or 2 * least > textgrams.LONGEST_WINDOW:
         raise ValueError("anchor must be positive, and at most least and not far below it")
@@ -232,22 +233,27 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, ke
     # written first, so that Spark deals out both sides of the join and can split a passage that many texts share
     runs = cut(runs.where("n > 1").select("first", (F.col("lo") != F.col("hi")).alias("mixed")), "suffix-heads")
     members = cut(all_suffixes.join(runs, "first"), "suffix-runs")
+    drop(all_suffixes, runs)
     earliest = members.groupBy("first", "block", "mixed").agg(F.min(F.struct("doc", "at")).alias("e")).select("first", "block", "mixed", "e.doc", "e.at")
     earliest = cut(earliest, "suffix-classes")
     # equal blocks: all but the earliest repeat it as a whole
     copies = members.join(earliest.select("first", "block", "doc", "at"), ["first", "block", "doc", "at"], "left_anti")
     start = F.shiftright("at", 16)
-    whole = copies.select("doc", start.alias("start"), (start + F.col("at").bitwiseAND(F.lit(0xFF)) + least).alias("end"))
+    whole = cut(copies.select("doc", start.alias("start"), (start + F.col("at").bitwiseAND(F.lit(0xFF)) + least).alias("end")), "whole-blocks")
+    drop(members)
     # one of each kind of block that has other kinds beside it
     kinds = cut(earliest.where("mixed").groupBy("first").agg((F.count(F.lit(1)) > RUN).alias("many")), "suffix-kinds")
     single = cut(earliest.where("mixed").join(kinds, "first").select("doc", "at", "many"), "suffix-singles")
+    drop(earliest, kinds)
     near = cut(contexts(single.where("not many").select("doc", "at"), docs, least, anchor, key, text), "contexts")
-    apart = sorted_repeats(near, least, anchor)
+    apart = cut(sorted_repeats(near, least, anchor), "sorted-repeats")
+    drop(near)
     # very many kinds with one beginning: passage by passage
     told = cut(passages(single.where("many").select("doc", "at"), docs, least, key, text), "passages")
     firsts = told.groupBy("passage").agg(F.min(F.struct("doc", "start")).alias("e"), F.max(F.struct("doc", "start")).alias("l")).where("e < l").select("passage", "e")
     firsts = cut(firsts, "first-passages")
-    later = told.join(firsts, "passage").where(F.struct("doc", "start") > F.col("e")).select("doc", "start", (F.col("start") + least).alias("end"))
+    later = cut(told.join(firsts, "passage").where(F.struct("doc", "start") > F.col("e")).select("doc", "start", (F.col("start") + least).alias("end")), "later-passages")
+    drop(single, told, firsts)
     return whole.unionAll(apart).unionAll(later)
 
 
