@@ -1,3 +1,4 @@
+import os
 import random
 import re
 
@@ -97,3 +98,32 @@ def test_few_pairs_of_a_group_are_verified(documents, monkeypatch):
     found = {r["doc_id"]: r["text"] for r in L.remove_repeated_lines(documents(texts)).collect()}
     assert found == brute(list(enumerate(texts)))
     assert sum(verified) < 150 * 12
+
+
+def test_near_lines_meet_once_and_leave_no_tables(spark, documents, monkeypatch):
+    """Lines with many front words in common make about one row each pair, and only the kept lines stay written."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(60)]
+    texts = []
+    for _ in range(80):
+        line = list(base)
+        for i in rng.sample(range(60), 4):
+            line[i] = f"x{rng.randint(0, 10**6)}"
+        texts.append(" ".join(line))
+    joined = []
+    candidates = L.candidates
+    monkeypatch.setattr(L, "candidates", lambda front, least: joined.append(met(front)) or candidates(front, least))
+
+    def met(front):
+        with monkeypatch.context() as m:
+            m.setattr(type(front), "distinct", lambda self: self)
+            rows = candidates(front, 0.8)
+        return rows.count(), rows.dropDuplicates(["a", "b"]).count()
+
+    written = set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    found = {r["doc_id"]: r["text"] for r in L.remove_repeated_lines(documents(texts)).collect()}
+    left = set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) - written
+    assert found == brute(list(enumerate(texts)))
+    ((rows, pairs),) = joined
+    assert pairs > 20 and rows < 3 * pairs
+    assert {name.rsplit("-", 1)[0] for name in left} <= {"kept-lines", "line-heads"}

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textgrams
-from tidemark.llm.tables import bound_batches, cut
+from tidemark.llm.tables import bound_batches, cut, drop
 
 #: Counters of word frequency: words share them by hash, so the table has a fixed size. The order
 #: that they give is the same for all lines, which is all that the prefix filter needs.
@@ -33,9 +33,9 @@ WIDE = 48
 
 
 def line_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(same, doc, line, words, bitmap, wide, keys): every line with a word.
+    """(same, doc, line, words, size, bitmap, wide, keys): every line with a word.
 
-    ``same`` is a hash of the line's set, words are distinct 32-bit hashes. The
+    ``same`` is a hash of the line's set, words are distinct 32-bit hashes, and size is how many. The
     bitmap has the parity of the words that fall on each bit, so two bitmaps
     differ in no more bits than the sets do in words. ``wide`` is its other half
     for large sets, where 64 bits would tell nothing, and 0 for small ones.
@@ -63,12 +63,12 @@ def line_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
                 halves = _bitmaps(short, begins, ends - begins)
                 keys = np.stack([_least_two(short, begins, ends - begins, salt) for salt in STAR_SALTS], axis=1).ravel().view(np.int64)
                 key_lists = pa.ListArray.from_arrays(pa.array(np.arange(len(begins) + 1, dtype=np.int32) * len(STAR_SALTS)), pa.array(keys))
-                columns = [pa.array(same.view(np.int64)), docs_of, pa.array(number.astype(np.int32)), lists, *map(pa.array, halves), key_lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["same", "doc", "line", "words", "bitmap", "wide", "keys"])
+                columns = [pa.array(same.view(np.int64)), docs_of, pa.array(number.astype(np.int32)), lists, pa.array((ends - begins).astype(np.int32)), *map(pa.array, halves), key_lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["same", "doc", "line", "words", "size", "bitmap", "wide", "keys"])
 
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).where("doc IS NOT NULL")
-    return rows.mapInArrow(task, f"same long, doc {rows.schema['doc'].dataType.simpleString()}, line int, words array<int>, bitmap long, wide long, keys array<long>")
+    return rows.mapInArrow(task, f"same long, doc {rows.schema['doc'].dataType.simpleString()}, line int, words array<int>, size int, bitmap long, wide long, keys array<long>")
 
 
 def _bitmaps(words: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,12 +126,13 @@ def prefix_length(size: np.ndarray, least: float) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
-    """(word, doc, line, bitmap, wide, shape) for the front words of every set, rare words first.
+    """(word, before, doc, line, bitmap, wide, shape) for the front words of every set, rare words first.
 
     A word whose counter is 1 is in one set alone and can't be shared. ``shape``
     packs the set's size, the word's place in it, and whether the set is done,
     as these rows are many. Words of one counter keep the order of their values,
-    which is the same in all sets.
+    which is the same in all sets. ``before`` is the word next before in the
+    set's order, or the word itself if it is the first.
     """
     rank = np.empty(COUNTERS, np.int32)
     rank[np.argsort(counts, kind="stable")] = np.arange(COUNTERS, dtype=np.int32)
@@ -152,10 +153,11 @@ def prefixes(sets: DataFrame, counts: np.ndarray, least: float) -> DataFrame:
             of = owner[front]
             given = [batch.column(c).take(pa.array(of)) for c in ("doc", "line", "bitmap", "wide")]
             shape = sizes[of] << 32 | place[front] << 1 | batch.column("done").to_numpy(zero_copy_only=False)[of]
-            yield pa.RecordBatch.from_arrays([pa.array(words[order[front]]), *given, pa.array(shape)], names=["word", "doc", "line", "bitmap", "wide", "shape"])
+            pair = [pa.array(words[order[at]]) for at in (front, front - (place[front] > 0))]
+            yield pa.RecordBatch.from_arrays([*pair, *given, pa.array(shape)], names=["word", "before", "doc", "line", "bitmap", "wide", "shape"])
 
     kind = sets.schema["doc"].dataType.simpleString()
-    return sets.select("doc", "line", "words", "bitmap", "wide", "done").mapInArrow(task, f"word int, doc {kind}, line int, bitmap long, wide long, shape long")
+    return sets.select("doc", "line", "words", "bitmap", "wide", "done").mapInArrow(task, f"word int, before int, doc {kind}, line int, bitmap long, wide long, shape long")
 
 
 def _in_order(keys: np.ndarray) -> np.ndarray:
@@ -182,7 +184,8 @@ def _may_be_near(x: str, y: str, size_x: Column, size_y: Column, least: float) -
 def candidates(front: DataFrame, least: float) -> DataFrame:
     """(a, b, apart): pairs of sets that pass all filters, once each, the earlier as a; none whose later set is settled already.
 
-    ``apart`` is the least share of words that the two differ in, so pairs of few are the likely ones.
+    ``apart`` is the least share of words that the two differ in, so pairs of few are the likely ones. Two sets that
+    have the same word before the one that joins them meet there, so sets with many front words in common make few rows.
     """
     one, two = front.alias("x"), front.alias("y")
     size = {s: F.shiftright(f"{s}.shape", 32) for s in "xy"}
@@ -198,6 +201,7 @@ def candidates(front: DataFrame, least: float) -> DataFrame:
         & (place["y"] <= size["y"] - overlap)
         & may
         & (F.least(size["x"] - place["x"], size["y"] - place["y"]) + F.least(place["x"], place["y"]) >= overlap)
+        & ((F.col("x.before") != F.col("y.before")) | (place["x"] == 0))
     )
     apart = (differing / (size["x"] + size["y"])).cast("float")
     return one.join(two, fits).select(F.struct("x.doc", "x.line").alias("a"), F.struct("y.doc", "y.line").alias("b"), apart.alias("apart")).distinct()
@@ -205,7 +209,7 @@ def candidates(front: DataFrame, least: float) -> DataFrame:
 
 def star_candidates(sets: DataFrame, least: float) -> DataFrame:
     """(a, b): the earliest set of each key with each other that has the key, where they may be similar."""
-    rows = sets.select(F.size("words").alias("size"), "bitmap", "wide", F.struct("doc", "line").alias("place"), F.explode("keys").alias("key"))
+    rows = sets.select("size", "bitmap", "wide", F.struct("doc", "line").alias("place"), F.explode("keys").alias("key"))
     heads = rows.groupBy("key").agg(F.min(F.struct("place", "size", "bitmap", "wide")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # written first, so that Spark deals out both sides of the join and can split a key that many share
     heads = cut(heads.select("key", "h.place", "h.size", "h.bitmap", "h.wide"), "line-heads")
@@ -214,14 +218,19 @@ def star_candidates(sets: DataFrame, least: float) -> DataFrame:
     return met.select(F.col("y.place").alias("a"), F.col("x.place").alias("b")).distinct()
 
 
-def later_of(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """(place, same): the later set (b) of every pair that is similar indeed."""
+def members_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(place, same, words) of the sets that are in a pair, written, so that all sets are read once for them."""
     ids = cut(pairs.select("a").unionAll(pairs.select("b")).distinct().toDF("place"), "line-ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    known = sets.select(F.struct("doc", "line").alias("place"), "same", "words").join(ids, "place", "left_semi")
-    first = known.select(F.col("place").alias("a"), F.col("words").alias("words_a"))
-    second = known.select(F.col("place").alias("b"), "same", F.col("words").alias("words_b"))
+    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    members = cut(sets.select(F.struct("doc", "line").alias("place"), "same", "words").join(few, "place", "left_semi"), "line-members")
+    drop(ids)
+    return members
+
+
+def later_of(pairs: DataFrame, members: DataFrame, least: float) -> DataFrame:
+    """(place, same): the later set (b) of every pair that is similar indeed."""
+    first = members.select(F.col("place").alias("a"), F.col("words").alias("words_a"))
+    second = members.select(F.col("place").alias("b"), "same", F.col("words").alias("words_b"))
     both = F.size(F.array_intersect("words_a", "words_b"))
     total = F.size("words_a") + F.size("words_b") - both
     verified = pairs.join(first, "a").join(second, "b").where(both >= F.lit(least) * total - 1e-9)
@@ -234,27 +243,37 @@ def repeated_sets(sets: DataFrame, least: float) -> DataFrame:
     Sets that are near the earliest of their key are settled first, then those
     near the likeliest of the earlier sets that the join brings them. One such
     set is enough, so only sets that are still open are compared with all that
-    the join brings: in a group of near sets, the few that are like none.
+    the join brings: in a group of near sets, the few that are like none. The
+    result is written, and the tables on the way are deleted.
     """
-    settled = cut(later_of(cut(star_candidates(sets, least), "line-stars"), sets, least), "settled-sets")
+    stars = cut(star_candidates(sets, least), "line-stars")
+    members = members_of(stars, sets)
+    settled = cut(later_of(stars, members, least), "settled-sets")
+    drop(stars, members)
     side = settled.select("same", F.lit(True).alias("done"))
     if settled.count() <= BROADCAST_IDS:
         side = F.broadcast(side)
     marked = sets.select("same", "doc", "line", "words", "bitmap", "wide").join(side, "same", "left").withColumn("done", F.coalesce("done", F.lit(False)))
     pairs = cut(candidates(prefixes(marked, word_counts(sets), least), least), "line-pairs")
-    best = pairs.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a"))
-    found = cut(later_of(cut(best.select("a", "b"), "line-best"), sets, least), "found-sets")
+    members = members_of(pairs, sets)
+    best = cut(pairs.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a")).select("a", "b"), "line-best")
+    found = cut(later_of(best, members, least), "found-sets")
     rest = cut(pairs.select("a", "b").join(found.select(F.col("place").alias("b")), "b", "left_anti"), "line-rest")
-    return later_of(rest, sets, least).unionAll(found).unionAll(settled).select("same").distinct()
+    out = cut(later_of(rest, members, least).unionAll(found).unionAll(settled).select("same").distinct(), "repeated-sets")
+    drop(settled, pairs, members, best, found, rest)
+    return out
 
 
 def kept_lines(docs: DataFrame, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, lines): numbers of the lines with a word that stay; documents that keep none have no row."""
-    given = ("doc", "line", "words", "bitmap", "wide", "keys")
+    given = ("doc", "line", "words", "size", "bitmap", "wide", "keys")
     sets = line_sets(docs, key, text).groupBy("same").agg(F.min(F.struct(*given)).alias("r"))
     sets = cut(sets.select("same", *(f"r.{c}" for c in given)), "line-sets")
-    kept = sets.select("same", "doc", "line").join(cut(repeated_sets(sets, least), "repeated-sets"), "same", "left_anti")
-    return kept.groupBy("doc").agg(F.collect_list("line").alias("lines"))
+    repeated = repeated_sets(sets, least)
+    kept = sets.select("same", "doc", "line").join(repeated, "same", "left_anti")
+    kept = cut(kept.groupBy("doc").agg(F.collect_list("line").alias("lines")), "kept-lines")
+    drop(sets, repeated)
+    return kept
 
 
 def remove_repeated_lines(docs: DataFrame, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
