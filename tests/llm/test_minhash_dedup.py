@@ -1,9 +1,11 @@
 import random
+from collections import Counter
 import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import minhash_dedup as M
 from tidemark.llm import textgrams
@@ -198,3 +200,44 @@ def test_odd_rows(documents, odd_texts):
 def test_null_keys_and_repeated_rows(documents):
     rows = M.near_duplicates(documents(["x y z", "x y z", "x y z"], ids=[None, 4, 4])).collect()
     assert sorted((r["doc_id"] or -1, r["class_id"] or -1, r["kept"]) for r in rows) == [(-1, -1, True), (4, 4, True), (4, 4, True)]
+
+
+def test_bitmaps_differ_in_no_more_bits_than_texts_in_words():
+    rng = np.random.default_rng(3)
+    number = np.array([0, 1, 7, 16, 17, 300, 1000])
+    words = rng.integers(0, 400, number.sum()).astype(np.int64)
+    bitmaps = M._parities(words, number).to_pylist()
+    parts = [Counter(p.tolist()) for p in np.split(words, np.cumsum(number)[:-1])]
+    for x, one in zip(bitmaps, parts):
+        for y, two in zip(bitmaps, parts):
+            assert M._differing(x, y) <= ((one - two) + (two - one)).total()
+    far = [M._parities(rng.integers(0, 1 << 32, 1000), np.array([1000])).to_pylist()[0] for _ in range(2)]
+    assert M._differing(*far) > 800  # unlike texts are told, long ones too
+
+
+def test_pairs_of_large_buckets_meet_once_and_bring_no_words(documents, monkeypatch):
+    """Texts about a common middle, most of them too far from each other: few rows a pair, and only near ones are aligned."""
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(300)]
+    texts = [" ".join(w if rng.random() > 0.16 else f"e{rng.randint(0, 200)}" for w in base) for _ in range(60)]
+    some = M.Settings(sketches=200, taken=1, block=4)
+    met, rare_pairs, rare_words = [], M._rare_pairs, M._rare_words
+
+    def counted(*given):
+        with monkeypatch.context() as m:
+            m.setattr(M, "_rare_words", lambda *x: rare_words(*x).withColumn("before", F.col("id").cast("int")))
+            every = rare_pairs(*given).count()
+        met.append((rare_pairs(*given).count(), every, rare_pairs(*given).distinct().count()))
+        return rare_pairs(*given)
+
+    monkeypatch.setattr(M, "_rare_pairs", counted)
+    given, aligned = [], M.align
+    monkeypatch.setattr(M, "align", lambda pairs, *rest: given.append(pairs.count()) or aligned(pairs, *rest))
+    rows = M.near_duplicates(documents(texts), some).collect()
+    ((found, every, pairs),) = met
+    assert pairs > 300 and found < 0.8 * every and given[1] < 0.9 * pairs
+    words = [textgrams.texts_of(pa.array([t])).word_hashes for t in texts]
+    least = list(range(len(texts)))
+    for i, j in list(all_links(texts)) * 4:
+        least[i] = least[j] = min(least[i], least[j])
+    assert {r["doc_id"]: r["class_id"] for r in rows} == dict(enumerate(least))

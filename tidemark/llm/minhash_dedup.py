@@ -258,8 +258,28 @@ def _stars(sketched: DataFrame) -> DataFrame:
     return rows.join(least, "bucket").where("id <> b").select("bucket", F.col("id").alias("a"), "b", "n")
 
 
+def _parities(words: np.ndarray, number: np.ndarray) -> pa.Array:
+    """A bitmap for each text, of a power of two and at least four times as many bits as it has words.
+
+    Each bit is the parity of the words that fall on it, so two bitmaps differ
+    in no more bits than the texts do in words; the larger one is folded first.
+    """
+    width = np.left_shift(1, np.maximum(6, np.ceil(np.log2(np.maximum(4 * number, 1))).astype(np.int64)))
+    ends = np.cumsum(width)
+    spot = (textgrams.mix(words.astype(np.uint64) + np.uint64(0x6A09E667)) >> np.uint64(8)).astype(np.int64) & (np.repeat(width, number) - 1)
+    bits = np.bincount(np.repeat(ends - width, number) + spot, minlength=int(ends[-1]) if len(ends) else 0) & 1
+    offsets = np.append(0, ends // 8).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(number), [None, pa.py_buffer(offsets), pa.py_buffer(np.packbits(bits.astype(bool), bitorder="little"))])
+
+
+def _differing(x: bytes, y: bytes) -> int:
+    """Bits that two bitmaps differ in."""
+    small, large = sorted((np.frombuffer(b, np.uint64) for b in (x, y)), key=len)
+    return int(np.bitwise_count(small ^ np.bitwise_xor.reduce(large.reshape(-1, len(small)), axis=0)).sum())
+
+
 def _word_sets(members: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, component, large, words): 32-bit hashes of the members' words, sorted; the n-th occurrence of a word has its own."""
+    """(id, component, large, words, bitmap): 32-bit hashes of the members' words, sorted; the n-th occurrence of a word has its own."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,19 +288,21 @@ def _word_sets(members: DataFrame, docs: DataFrame, key: str, text: str) -> Data
                 owner = np.repeat(np.arange(len(number)), number)
                 packed = owner << 32 | (textgrams.mix(hashes) >> np.uint64(32)).astype(np.int64)
                 packed.sort()
-                words = pa.array((packed & 0xFFFFFFFF).astype(np.uint32).view(np.int32))
+                short = packed & 0xFFFFFFFF
+                words = pa.array(short.astype(np.uint32).view(np.int32))
                 bounds = pa.array(np.append(0, np.cumsum(number)).astype(np.int32))
                 given = [part.column(c) for c in ("id", "component", "large")]
-                yield pa.RecordBatch.from_arrays([*given, pa.ListArray.from_arrays(bounds, words)], names=["id", "component", "large", "words"])
+                yield pa.RecordBatch.from_arrays([*given, pa.ListArray.from_arrays(bounds, words), _parities(short, number)], names=["id", "component", "large", "words", "bitmap"])
 
     bodies = _bodies(docs, members.select("id"), members.count(), key, text)
     kind = members.schema["id"].dataType.simpleString()
-    return members.join(bodies, "id").select("id", "component", "large", "text").mapInArrow(task, f"id {kind}, component {kind}, large boolean, words array<int>")
+    return members.join(bodies, "id").select("id", "component", "large", "text").mapInArrow(task, f"id {kind}, component {kind}, large boolean, words array<int>, bitmap binary")
 
 
 def _rare_words(sets: DataFrame, least: float) -> DataFrame:
-    """(word, id, component, size, place) for the rarest words of every set: similar texts share one of those of both.
+    """(word, before, id, component, size, place) for the rarest words of every set: similar texts share one of those of both.
 
+    ``before`` is the word next before in the set's order, or the word itself if it is the first.
     An edit makes one word more common at most, so texts of n words or fewer have all but (1 - least) * n in common.
     """
     counts = line_dedup.word_counts(sets)
@@ -300,15 +322,19 @@ def _rare_words(sets: DataFrame, least: float) -> DataFrame:
             front = np.flatnonzero(place < line_dedup.prefix_length(sizes, least)[owner])
             front = front[repeated[counter[order[front]]]]
             of = owner[front]
+            pair = [pa.array(words[order[at]]) for at in (front, front - (place[front] > 0))]
             given = [batch.column(c).take(pa.array(of)) for c in ("id", "component")]
-            yield pa.RecordBatch.from_arrays([pa.array(words[order[front]]), *given, pa.array(sizes[of].astype(np.int32)), pa.array(place[front].astype(np.int32))], names=["word", "id", "component", "size", "place"])
+            yield pa.RecordBatch.from_arrays([*pair, *given, pa.array(sizes[of].astype(np.int32)), pa.array(place[front].astype(np.int32))], names=["word", "before", "id", "component", "size", "place"])
 
     kind = sets.schema["id"].dataType.simpleString()
-    return sets.mapInArrow(task, f"word int, id {kind}, component {kind}, size int, place int")
+    return sets.mapInArrow(task, f"word int, before int, id {kind}, component {kind}, size int, place int")
 
 
 def _rare_pairs(sets: DataFrame, least: float) -> DataFrame:
-    """(a, b): pairs of different components that may be alike, by their sizes and rare words."""
+    """(a, b): pairs of different components that may be alike, by their sizes and rare words; some come more than once.
+
+    A pair that has the same word before the one that joins it meets there.
+    """
     rare = _rare_words(sets, least)
     x, y = rare.alias("x"), rare.alias("y")
     common = F.ceil(F.lit(least) * F.greatest("x.size", "y.size") - 1e-9)
@@ -319,23 +345,30 @@ def _rare_pairs(sets: DataFrame, least: float) -> DataFrame:
         & (F.col("x.size") - F.col("x.place") >= common)
         & (F.col("y.size") - F.col("y.place") >= common)
         & (F.least(F.expr("x.size - x.place"), F.expr("y.size - y.place")) + F.least("x.place", "y.place") >= common)
+        & ((F.col("x.before") != F.col("y.before")) | (F.col("x.place") == 0))
     )
-    return x.join(y, fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    return x.join(y, fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
-def _with_enough_words(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) that have as many words in common as similar texts must have."""
+def _with_close_bitmaps(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b), once each, whose bitmaps allow them as many words in common as similar texts must have.
+
+    Bitmaps take an eighth of the words' room or a quarter; a text's own is fetched once for all pairs that it is the first of.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first, second = ([x.values.to_numpy() for x in batch.column(c)] for c in ("words_a", "words_b"))
-            stay = [max(len(x), len(y)) - _shared_words(x, y) <= int((1 - least) * max(len(x), len(y)) + 1e-9) for x, y in zip(first, second, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(stay, pa.bool_())) for c in "ab"], names=["a", "b"])
+            n, m = (batch.column(c).to_numpy() for c in ("size_a", "size_b"))
+            most = n + m - 2 * np.ceil(least * np.maximum(n, m) - 1e-9)
+            apart = [_differing(x, y) for x, y in zip(*(batch.column(c).to_pylist() for c in ("bitmap_a", "bitmap_b")), strict=True)]
+            stay = pa.array(np.array(apart, np.int64) <= most)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(stay) for c in "ab"], names=["a", "b"])
 
+    of = lambda end: sets.select(F.col("id").alias(end), F.size("words").alias(f"size_{end}"), F.col("bitmap").alias(f"bitmap_{end}"))
     kind = pairs.schema["a"].dataType.simpleString()
-    for end in "ab":
-        pairs = pairs.join(sets.select(F.col("id").alias(end), F.col("words").alias(f"words_{end}")), end)
-    return pairs.select("a", "b", "words_a", "words_b").mapInArrow(task, f"a {kind}, b {kind}")
+    met = pairs.groupBy("a").agg(F.collect_set("b").alias("bs")).join(of("a"), "a")
+    met = met.select("a", "size_a", "bitmap_a", F.explode("bs").alias("b")).join(of("b"), "b")
+    return met.select("a", "b", "size_a", "size_b", "bitmap_a", "bitmap_b").mapInArrow(task, f"a {kind}, b {kind}")
 
 
 def bucket_links(chosen: DataFrame, docs: DataFrame, s: Settings, key: str, text: str, spent: list[DataFrame]) -> DataFrame:
@@ -344,7 +377,7 @@ def bucket_links(chosen: DataFrame, docs: DataFrame, s: Settings, key: str, text
     They lose no class: of every two texts that share a bucket and are similar,
     the ends are in one component. Members are aligned with the least one of
     their bucket first; then pairs of one bucket and different components are
-    aligned, but for those whose words in common are too few. In buckets of more
+    aligned, but for those whose bitmaps differ too much. In buckets of more
     than ``block`` a join on rare words finds those that are not.
     """
     stars = cut(_stars(chosen), "stars")
@@ -364,8 +397,8 @@ def bucket_links(chosen: DataFrame, docs: DataFrame, s: Settings, key: str, text
     small = left.where("NOT large").select("bucket", F.col("a").alias("y"), F.col("in_a").alias("in_y"))
     met = apart.where("NOT large").select("bucket", F.col("a").alias("x"), F.col("in_a").alias("in_x")).join(small, "bucket").where("in_x <> in_y")
     pairs = met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).unionAll(_rare_pairs(sets.where("large"), s.similarity))
-    pairs = cut(pairs.distinct().join(first.select("a", "b"), ["a", "b"], "left_anti"), "left-pairs")
-    second = cut(align(_with_enough_words(pairs, sets, s.similarity), docs, s, key, text), "aligned")
+    pairs = cut(_with_close_bitmaps(pairs, sets, s.similarity).join(first.select("a", "b"), ["a", "b"], "left_anti"), "left-pairs")
+    second = cut(align(pairs, docs, s, key, text), "aligned")
     spent += [named, stars, members, sets, pairs, second]
     return named.where("id <> component").toDF("a", "b").unionAll(second.where("similarity > 0").select("a", "b"))
 
