@@ -2,6 +2,8 @@ import hashlib
 import json
 import random
 
+import pytest
+
 from tidemark.operators import evidence_graph as G
 from tidemark.operators import evidence_store as S
 
@@ -51,6 +53,39 @@ def test_rehash_equals_recursion(spark):
     assert {r["name"]: (r["found"], r["missing"], r["altered"]) for r in found.collect()} == brute(nodes, edges)
 
 
+def shuffled(spark):
+    """Bytes that all stages so far wrote for shuffles."""
+    gateway = spark.sparkContext._gateway
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+@pytest.mark.parametrize("many", [2, 4096])
+def test_contents_are_shuffled_once_whatever_the_levels(spark, monkeypatch, many):
+    """A tall graph over long contents, joined by shuffle as large tables are; large artifacts are digested by bucket."""
+    monkeypatch.setattr(G, "MANY", many, raising=False)
+    rng = random.Random(4)
+    nodes = {f"l{i}": rng.randbytes(1500).hex() for i in range(300)} | {f"h{i}": f"inner {i}" for i in range(6)}
+    edges = [(f"h{i % 6}", f"l{i}", None) for i in range(300)] + [(f"h{i}", f"h{i - 1}", None) for i in range(1, 6)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    start = shuffled(spark)
+    try:
+        found = G.rehash(spark.createDataFrame(list(nodes.items()), "name string, content string"), spark.createDataFrame(edges, "parent string, child string, declared string")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r["name"]: (r["found"], r["missing"], r["altered"]) for r in found} == brute(nodes, edges)
+    assert max(r["height"] for r in found) == 6 and shuffled(spark) - start < 2 * 300 * 3000
+
+
+def test_edges_are_sealed_with_the_hashes_of_their_children(spark):
+    """Also those of parents that are not there, or that wait for ever."""
+    nodes = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", None), ("d", "z")], "name string, content string")
+    edges = spark.createDataFrame([("a", "b", None), ("b", "c", None), ("d", "d", None), ("d", "b", "stale"), ("gone", "c", None), ("a", "gone", None)], "parent string, child string, declared string")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(G.rehashed(nodes, edges).edges) == rows(G.sealed(edges.drop("declared"), G.rehash(nodes, edges)))
+
+
 def test_every_status_of_a_root(spark):
     nodes = {"r": "root", "a": "a", "b": "b", "leaf": "x", "leaf2": "y"}
     edges = [("r", "a"), ("r", "b"), ("a", "leaf"), ("b", "leaf"), ("b", "leaf2")]

@@ -8,6 +8,7 @@ in a cycle, or above one.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,18 +28,90 @@ GRAPH_REASONS: R.Rules = (("ROOT_MANIFEST_MISSING", "absent"), ("EVIDENCE_CYCLE"
 GRAPH_STATUS: R.Rules = (("INCOMPLETE", "absent"), ("CORRUPT", "found IS NULL OR altered OR found <> declared"), ("INCOMPLETE", "missing"))
 
 
-def _digested(lines: DataFrame) -> DataFrame:
+#: Lines of an artifact up to which they are digested where they meet; those of one with more meet bucket by bucket first.
+MANY = 4096
+
+
+def _folded(lines: DataFrame) -> DataFrame:
     """(name, digest, missing, altered) of parents all of whose children there are have a hash.
 
     The digest is of the lines ``child:hash`` in the order of the children, by bucket and then over buckets.
     """
     text = lambda field, *by: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*by, field))), lambda x: x[field]), "\n")
-    entries = lines.select("parent", "child", F.concat_ws(":", "child", "hash").alias("line"), "missing", "altered", "open", F.substring(F.sha2("child", 256), 1, BUCKET).alias("bucket"))
+    line = F.concat_ws(":", "child", F.coalesce(_text("found"), "declared", F.lit("")))
+    entries = lines.select("parent", "child", line.alias("line"), "missing", "altered", "open", F.substring(F.sha2("child", 256), 1, BUCKET).alias("bucket"))
     flags = (F.bool_or("missing").alias("missing"), F.bool_or("altered").alias("altered"), F.bool_or("open").alias("open"))
     buckets = entries.groupBy("parent", "bucket").agg(F.sha2(text("line", "child"), 256).alias("part"), *flags)
     return buckets.groupBy(F.col("parent").alias("name")).agg(F.sha2(text("part", "bucket"), 256).alias("digest"), *flags).where("NOT open").drop("open")
 
 
+def _digested(lines: DataFrame, large: DataFrame) -> DataFrame:
+    """As ``_folded``; lines of a parent are shuffled once, unless it is one of the ``large`` ones, which are few."""
+    large = F.broadcast(large)
+    few = lines.join(large, "parent", "left_anti").repartition("parent")
+    return _folded(few).unionAll(_folded(lines.join(large, "parent", "left_semi")))
+
+
+def _text(hashed: str) -> Column:
+    """A hash as text; on their way hashes are binary, which is half as long."""
+    return F.lower(F.hex(hashed))
+
+
+def _shelf(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(name, content, own, lines): nodes that name others with their content and how many they name, others with their hash."""
+    parents = edges.groupBy(F.col("parent").alias("name")).agg(F.count(F.lit(1)).alias("lines"))
+    content = F.coalesce("content", F.lit(""))
+    told = nodes.join(parents, "name", "left")
+    return staged(told.select("name", F.when(F.col("lines").isNotNull(), content).alias("content"), F.when(F.col("lines").isNull(), F.unhex(F.sha2(content, 256))).alias("own"), "lines"))
+
+
+@dataclass(frozen=True)
+class Rehashed:
+    """The ``shelf`` of all nodes, what was hashed of those that name others, and the edges to hashed children with their hashes."""
+
+    shelf: DataFrame
+    done: DataFrame
+    edges: DataFrame
+
+
+def rehashed(nodes: DataFrame, edges: DataFrame) -> Rehashed:
+    """The work of ``rehash``. Contents are shuffled once, and so is an edge, by its child and then by its parent, until its parent has a hash.
+
+    A round takes the lines of parents that wait for a child. It is written, and the driver learns only whether it was empty.
+    """
+    shelf = _shelf(nodes, edges)
+    inner = shelf.where("own IS NULL").select("name", "content")
+    large = shelf.where(F.col("lines") > MANY).select(F.col("name").alias("parent"))
+
+    def met(lines: DataFrame, below: DataFrame, number: int) -> DataFrame:
+        """Lines with the hashes of children in ``below``: (child, own, lost, changed, there)."""
+        altered = F.coalesce("changed", F.lit(False)) | F.coalesce(_text("own") != F.col("declared"), F.lit(False))
+        return lines.join(below, "child", "left").select(
+            "parent", "child", F.col("own").alias("found"), F.when(F.col("own").isNull(), F.col("declared")).alias("declared"), F.coalesce("lost", F.col("there").isNull()).alias("missing"),
+            altered.alias("altered"), (F.col("there").isNotNull() & F.col("own").isNull()).alias("open"), F.lit(number).alias("round"),
+        )
+
+    leaves = shelf.select(F.col("name").alias("child"), "own", F.lit(None).cast("boolean").alias("lost"), F.lit(None).cast("boolean").alias("changed"), F.lit(True).alias("there"))
+    lines = staged(met(edges, leaves, 0))
+    rounds, done = [lines], []
+    while True:
+        own = inner.join(_digested(lines, large), "name")
+        done.append(staged(own.select("name", F.lit(len(rounds)).alias("height"), F.unhex(F.sha2(F.concat_ws("\n", "content", "digest"), 256)).alias("found"), "missing", "altered")))
+        if done[-1].isEmpty():
+            break
+        waiting = lines.where("open")
+        below = done[-1].select(F.col("name").alias("child"), F.col("found").alias("own"), F.col("missing").alias("lost"), F.col("altered").alias("changed"))
+        # what is open is there
+        now = met(waiting.select("parent", "child", "declared", F.lit(True).alias("there")), below, len(rounds))
+        known = lines.where("NOT open").join(waiting.select("parent").distinct(), "parent", "left_semi")
+        lines = staged(now.unionByName(known))
+        if lines.isEmpty():
+            break
+        rounds.append(lines)
+    found = [x.where(F.col("found").isNotNull() & (F.col("round") == i)).select("parent", "child", _text("found").alias("declared")) for i, x in enumerate(rounds)]
+    return Rehashed(shelf, reduce(DataFrame.unionAll, done), reduce(DataFrame.unionAll, found))
+
+
 def rehash(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(name, height, found, missing, altered) of every node that lies in no cycle and above none.
 
@@ -46,27 +119,11 @@ def rehash(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     declared), where declared is the hash that the parent expects, or null. A
     child that is not there counts with its declared hash. missing and altered
     say whether any artifact below is not there, or has another hash than the
-    one declared. A round looks at parents of what the last one hashed; it is
-    written, and the driver learns only whether it was empty.
+    one declared.
     """
-    there = nodes.select(F.col("name").alias("child"), F.lit(True).alias("there"))
-    edges = edges.join(there, "child", "left").join(nodes.select(F.col("name").alias("parent")), "parent", "left_semi")
-    edges = staged(edges.select("parent", "child", "declared", F.coalesce("there", F.lit(False)).alias("there")))
-    gone = edges.select("parent", "child", F.coalesce("declared", F.lit("")).alias("hash"), (~F.col("there")).alias("missing"), F.lit(False).alias("altered"), F.col("there").alias("open"))
-    unnamed = nodes.join(edges.select(F.col("parent").alias("name")), "name", "left_anti").select("name", F.lit(None).cast("string").alias("digest"), F.lit(False).alias("missing"), F.lit(False).alias("altered"))
-    ready, done = _digested(gone).unionAll(unnamed), []
-    while True:
-        own = nodes.join(ready, "name")
-        done.append(staged(own.select("name", F.lit(len(done)).alias("height"), F.sha2(F.concat_ws("\n", F.coalesce("content", F.lit("")), "digest"), 256).alias("found"), "missing", "altered")))
-        hashed = reduce(DataFrame.unionAll, done)
-        if done[-1].isEmpty():
-            return hashed
-        told = edges.join(done[-1].select(F.col("name").alias("child")), "child", "left_semi").select("parent")
-        below = hashed.select(F.col("name").alias("child"), "found", F.col("missing").alias("lost"), F.col("altered").alias("changed"))
-        altered = F.coalesce("changed", F.lit(False)) | F.coalesce(F.col("found") != F.col("declared"), F.lit(False))
-        ready = _digested(edges.join(told, "parent", "left_semi").join(below, "child", "left").select(
-            "parent", "child", F.coalesce("found", "declared", F.lit("")).alias("hash"), F.coalesce("lost", ~F.col("there")).alias("missing"), altered.alias("altered"), (F.col("there") & F.col("found").isNull()).alias("open"),
-        ))
+    all_ = rehashed(nodes, edges)
+    leaves = all_.shelf.where("own IS NOT NULL").select("name", F.lit(0).alias("height"), F.col("own").alias("found"), F.lit(False).alias("missing"), F.lit(False).alias("altered"))
+    return leaves.unionAll(all_.done).withColumn("found", _text("found"))
 
 
 def sealed(edges: DataFrame, hashed: DataFrame) -> DataFrame:
@@ -76,9 +133,13 @@ def sealed(edges: DataFrame, hashed: DataFrame) -> DataFrame:
 
 def root_status(roots: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(name, status, reasons, height) of the roots (name, declared): COMPLETE, INCOMPLETE or CORRUPT, with all that speaks against them."""
-    hashed = rehash(nodes, edges)
-    there = nodes.select("name", F.lit(False).alias("absent"))
-    told = roots.join(there, "name", "left").withColumn("absent", F.coalesce("absent", F.lit(True))).join(hashed, "name", "left")
+    all_ = rehashed(nodes, edges)
+    told = roots.join(all_.shelf.select("name", "own", F.lit(False).alias("absent")), "name", "left").join(all_.done.withColumn("found", _text("found")), "name", "left")
+    leaf = F.col("own").isNotNull()
+    told = told.select(
+        "name", "declared", F.coalesce("absent", F.lit(True)).alias("absent"), F.coalesce("found", _text("own")).alias("found"), F.coalesce("height", F.when(leaf, 0)).alias("height"),
+        F.coalesce("missing", F.when(leaf, False)).alias("missing"), F.coalesce("altered", F.when(leaf, False)).alias("altered"),
+    )
     return told.select("name", R.first(GRAPH_STATUS, "COMPLETE").alias("status"), R.reasons(GRAPH_REASONS).alias("reasons"), "height")
 
 
@@ -93,8 +154,8 @@ def evidence_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     order, asset = _name("o", "order_hash"), _name("c", "token_id")
     own = rows.where("order_hash IS NOT NULL")
     events = own.select(_name("e", "event_id").alias("name"), F.concat_ws("|", "event_type", F.col("event_ms").cast("string"), "seller", "price_raw").alias("content"))
-    orders = own.groupBy("order_hash", "token_id").agg(F.count(F.lit(1)).alias("n"))
-    assets = own.groupBy("token_id").agg(F.max("event_ms").alias("ms"))
+    orders = staged(own.groupBy("order_hash", "token_id").agg(F.count(F.lit(1)).alias("n")))
+    assets = staged(own.groupBy("token_id").agg(F.max("event_ms").alias("ms")))
     text = lambda kind, value: F.concat(F.lit(f"{kind} "), F.col(value).cast("string")).alias("content")
     nodes = reduce(DataFrame.unionAll, [
         events, orders.select(order.alias("name"), text("order", "n")), assets.select(asset.alias("name"), text("bundle", "token_id")),
@@ -162,9 +223,8 @@ def evidence_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status of every asset's evidence, after some of it was lost, altered, or bent into a circle."""
     rows = journal(spark, sf_dir)
     nodes, edges = evidence_of(rows)
-    nodes = staged(nodes)
-    written = rehash(nodes, edges.withColumn("declared", F.lit(None).cast("string")))
+    written = rehashed(nodes, edges.withColumn("declared", F.lit(None).cast("string")))
     loops = rows.where("order_hash IS NOT NULL").where(LOOPED).select(_name("o", "order_hash").alias("parent"), _name("r", "token_id").alias("child"), F.lit(None).cast("string").alias("declared")).distinct()
     kept = nodes.where(f"NOT ({LOST})").withColumn("content", F.when(F.expr(ALTERED), F.concat("content", F.lit("!"))).otherwise(F.col("content")))
-    roots = written.where("name LIKE 'r:%'").select("name", F.col("found").alias("declared"))
-    return root_status(roots, kept, sealed(edges, written).unionAll(loops))
+    roots = written.done.where("name LIKE 'r:%'").select("name", _text("found").alias("declared"))
+    return root_status(roots, kept, written.edges.unionAll(loops))
