@@ -241,3 +241,19 @@ def test_pairs_of_large_buckets_meet_once_and_bring_no_words(documents, monkeypa
     for i, j in list(all_links(texts)) * 4:
         least[i] = least[j] = min(least[i], least[j])
     assert {r["doc_id"]: r["class_id"] for r in rows} == dict(enumerate(least))
+
+
+def test_words_rare_in_one_component_alone_make_no_rows(spark):
+    """Large components of their own words: only what two of them share, and each other pair's words, can join texts."""
+    sets = [(i, i // 50, [1000 * (i // 50) + j for j in range(40)]) for i in range(200)]
+    sets += [(200, 200, [*range(39), 9001]), (201, 201, [7001, 7002]), (202, 202, [7001, 7002])]
+    table = spark.createDataFrame(sets, "id long, component long, words array<int>")
+    rows = [tuple(r)[:4] for r in M._rare_words(table, 0.8).collect()]
+    of = {i: c for i, c, _ in sets}
+    parts: dict = {}
+    for word, _, i, component in rows:
+        assert of[i] == component
+        parts.setdefault(word, set()).add(component)
+    assert len(rows) < 1000 and parts[7001] == {201, 202}  # 1,800 rows are those of repeated words
+    assert all(len(x) > 1 for x in parts.values())
+    assert {tuple(sorted(r)) for r in M._rare_pairs(table, 0.8).distinct().collect()} == {(i, 200) for i in range(50)} | {(201, 202)}

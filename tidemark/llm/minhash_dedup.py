@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -299,32 +300,80 @@ def _word_sets(members: DataFrame, docs: DataFrame, key: str, text: str) -> Data
     return members.join(bodies, "id").select("id", "component", "large", "text").mapInArrow(task, f"id {kind}, component {kind}, large boolean, words array<int>, bitmap binary")
 
 
+def _front_words(batch: pa.RecordBatch, rank: np.ndarray, chosen: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
+    """Of the ``chosen`` counters' words among every set's rarest: (word, word before, set in the batch, its size, place)."""
+    lists = batch.column("words")
+    words, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    counter = line_dedup.counter(words)
+    order = np.lexsort((words, rank[counter], owner))
+    place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    front = np.flatnonzero(place < line_dedup.prefix_length(sizes, least)[owner])
+    front = front[chosen[counter[order[front]]]]
+    of = owner[front]
+    return words[order[front]], words[order[front - (place[front] > 0)]], of, sizes[of], place[front]
+
+
+def _spots(words: np.ndarray) -> np.ndarray:
+    """Another counter for each word than ``line_dedup.counter``, so that words which share one seldom share both."""
+    return (textgrams.mix(words.view(np.uint32).astype(np.uint64) + np.uint64(0xA54FF53A5F1D)) >> np.uint64(20)).astype(np.int64) & (line_dedup.COUNTERS - 1)
+
+
+def _in_several(sets: DataFrame, shared: Broadcast, least: float) -> np.ndarray:
+    """Spots with front words of more than one component; a word of others joins no pair that is left to compare.
+
+    The least and the greatest hash of the components are kept, in the tasks and then block by block, over all sets.
+    """
+    block, ends = line_dedup.BLOCK, (np.iinfo(np.int64).max, np.iinfo(np.int64).min)
+
+    def given_out(tables: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(tables), pa.int32()), pa.array([x.tobytes() for x in tables.values()], pa.binary())], names=["block", "ends"])
+
+    def partly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = (np.full(line_dedup.COUNTERS, x) for x in ends)
+        for batch in batches:
+            words, _, of, _, _ = _front_words(batch, *shared.value, least)
+            spots, hashes = _spots(words), batch.column("hashed").to_numpy()[of]
+            np.minimum.at(low, spots, hashes)
+            np.maximum.at(high, spots, hashes)
+        yield given_out({i: np.stack(x) for i, x in enumerate(zip(low.reshape(-1, block), high.reshape(-1, block), strict=True)) if (x[0] <= x[1]).any()})
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, raw in zip(batch.column("block").to_pylist(), batch.column("ends").to_pylist(), strict=True):
+                low, high = np.frombuffer(raw, np.int64).reshape(2, -1)
+                tables[i] = np.stack([np.minimum(tables[i][0], low), np.maximum(tables[i][1], high)]) if i in tables else np.stack([low, high])
+        yield given_out({i: x[0] < x[1] for i, x in tables.items()})
+
+    kind = "block int, ends binary"
+    found = np.zeros((line_dedup.COUNTERS // block, block), bool)
+    for row in sets.select("words", F.xxhash64("component").alias("hashed")).mapInArrow(partly, kind).repartition("block").mapInArrow(joined, kind).toArrow().to_pylist():
+        found[row["block"]] = np.frombuffer(row["ends"], bool)
+    return found.ravel()
+
+
 def _rare_words(sets: DataFrame, least: float) -> DataFrame:
     """(word, before, id, component, size, place) for the rarest words of every set: similar texts share one of those of both.
 
     ``before`` is the word next before in the set's order, or the word itself if it is the first.
     An edit makes one word more common at most, so texts of n words or fewer have all but (1 - least) * n in common.
+    Words that are rare in sets of one component alone are left out, so the rows are at most that share of the words.
     """
     counts = line_dedup.word_counts(sets)
     rank = np.empty(line_dedup.COUNTERS, np.int32)
     rank[np.argsort(counts, kind="stable")] = np.arange(line_dedup.COUNTERS, dtype=np.int32)
-    shared = sets.sparkSession.sparkContext.broadcast((rank, counts > 1))
+    context = sets.sparkSession.sparkContext
+    shared = context.broadcast((rank, counts > 1))
+    several = context.broadcast(_in_several(sets, shared, least))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank, repeated = shared.value
         for batch in batches:
-            lists = batch.column("words")
-            words, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            counter = line_dedup.counter(words)
-            order = np.lexsort((words, rank[counter], owner))
-            place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            front = np.flatnonzero(place < line_dedup.prefix_length(sizes, least)[owner])
-            front = front[repeated[counter[order[front]]]]
-            of = owner[front]
-            pair = [pa.array(words[order[at]]) for at in (front, front - (place[front] > 0))]
+            words, before, of, sizes, place = _front_words(batch, *shared.value, least)
+            met = several.value[_spots(words)]
+            words, before, of, sizes, place = (x[met] for x in (words, before, of, sizes, place))
             given = [batch.column(c).take(pa.array(of)) for c in ("id", "component")]
-            yield pa.RecordBatch.from_arrays([*pair, *given, pa.array(sizes[of].astype(np.int32)), pa.array(place[front].astype(np.int32))], names=["word", "before", "id", "component", "size", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(before), *given, pa.array(sizes.astype(np.int32)), pa.array(place.astype(np.int32))], names=["word", "before", "id", "component", "size", "place"])
 
     kind = sets.schema["id"].dataType.simpleString()
     return sets.mapInArrow(task, f"word int, before int, id {kind}, component {kind}, size int, place int")
