@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import rules as R
@@ -37,26 +37,50 @@ AUDIT_REASONS: R.Rules = (
 )
 
 
+#: So many places go to one window; the last of them goes to the next window too.
+BLOCK = 4096
+
+
+def beside_the_last(rows: DataFrame, keys: list[str], place: str, value: str, name: str) -> DataFrame:
+    """Rows with the value of the row one place before, within the keys, as ``name``; null if there is none.
+
+    A window holds one block of places, so a group of any length is spread; rows that lie by some of the keys are not
+    dealt out again. At a place that several rows share, the greatest value counts.
+    """
+    block = F.expr(f"{place} div {BLOCK}")
+    blocks = F.when(F.col(place) % BLOCK == BLOCK - 1, F.array(block, block + 1)).otherwise(F.array(block))
+    near = Window.partitionBy(*keys, "block").orderBy(place).rangeBetween(-1, -1)
+    return rows.withColumn("block", F.explode(blocks)).withColumn(name, F.when(F.col(place).isNotNull(), F.max(value).over(near))).where(F.col("block").eqNullSafe(block)).drop("block")
+
+
+def _flagged(rows: DataFrame, flags: R.Rules) -> DataFrame:
+    """Bundles in which a flag holds, with all flags; the others need no place in a join."""
+    told = rows.groupBy("bundle_id").agg(*(F.bool_or(R.expression(c)).alias(n) for n, c in flags))
+    return told.where(" OR ".join(n for n, _ in flags))
+
+
 def audited_bundles(bundles: DataFrame, orders: DataFrame, entries: DataFrame) -> DataFrame:
     """(bundle_id, orders, reasons) of bundles with their orders (by place, from 1) and the entries of each order (by order's place and nth, from 1).
 
-    An order meets the one before it by its place, not by a window over its bundle, so a bundle with most of the
-    orders is spread like any other; repeated hashes are counted by hash.
+    An order meets the one before it in a window over a block of places, not over its bundle, so a bundle with most of
+    the orders is spread like any other; repeated hashes are counted by hash. Only what is compared with the row before
+    is sorted, and nothing is shuffled if orders and entries lie by their bundle.
     """
-    before = orders.select("bundle_id", (F.col("place") + 1).alias("place"), F.col("order_hash").alias("hash_before"))
     listed = F.split("reasons", ",")
     known = F.when(F.col("reasons") == "", F.array().cast("array<string>")).otherwise(listed)
-    whole = orders.join(before, ["bundle_id", "place"], "left").withColumns({
+    whole = orders.withColumns({
         "n_reasons": F.size(known), "unknown_reasons": F.exists(known, lambda r: ~r.isin(*(x.strip("'") for x in _REASONS.split(", ")))), "unsorted_reasons": known != F.array_sort(F.array_distinct(known)),
     })
-    flags = whole.groupBy("bundle_id").agg(
-        F.count(F.lit(1)).alias("orders"), *(F.count_if(F.col("class") == c).alias(n) for n, c in (("present", "PRESENT"), ("absent", "ABSENT_CANDIDATE"), ("blocked", "BLOCKED"))), *(F.bool_or(R.expression(c)).alias(n) for n, c in ORDER_FLAGS)
-    )
-    copies = orders.groupBy("bundle_id", "order_hash").agg(F.count(F.lit(1)).alias("n")).groupBy("bundle_id").agg(F.bool_or(F.col("n") > 1).alias("repeated"))
-    earlier = entries.select("bundle_id", "place", (F.col("nth") + 1).alias("nth"), F.col("listed_id").alias("listed_before"))
-    events = entries.join(earlier, ["bundle_id", "place", "nth"], "left").groupBy("bundle_id").agg(*(F.bool_or(R.expression(c)).alias(n) for n, c in EVENT_FLAGS))
-    told = bundles.join(flags, "bundle_id", "left").join(copies, "bundle_id", "left").join(events, "bundle_id", "left").na.fill(0, ["orders", "present", "absent", "blocked"])
-    return told.select("bundle_id", "orders", R.reasons(AUDIT_REASONS).alias("reasons"))
+    counted = orders.groupBy("bundle_id").agg(F.count(F.lit(1)).alias("orders"), *(F.count_if(F.col("class") == c).alias(n) for n, c in (("present", "PRESENT"), ("absent", "ABSENT_CANDIDATE"), ("blocked", "BLOCKED"))))
+    flags = _flagged(whole, tuple(f for f in ORDER_FLAGS if f[0] != "unordered"))
+    copies = _flagged(orders.groupBy("bundle_id", "order_hash").agg(F.count(F.lit(1)).alias("n")), (("repeated", "n > 1"),))
+    placed = _flagged(beside_the_last(orders.select("bundle_id", "place", "order_hash"), ["bundle_id"], "place", "order_hash", "hash_before"), tuple(f for f in ORDER_FLAGS if f[0] == "unordered"))
+    entry = entries.select("bundle_id", "place", "nth", "listed_id", R.expression(dict(EVENT_FLAGS)["bad_entry"]).alias("bad_entry"))
+    events = _flagged(beside_the_last(entry, ["bundle_id", "place"], "nth", "listed_id", "listed_before"), (("bad_entry", "bad_entry"), *(f for f in EVENT_FLAGS if f[0] != "bad_entry")))
+    told = bundles
+    for found in (counted, flags, copies, placed, events):
+        told = told.join(found, "bundle_id", "left")
+    return told.na.fill(0, ["orders", "present", "absent", "blocked"]).select("bundle_id", "orders", R.reasons(AUDIT_REASONS).alias("reasons"))
 
 
 #: Bundles of the orders table, their orders from its lines, as they were stored; some were spoilt since.
@@ -67,6 +91,8 @@ _BUNDLE = {
 _HASH = "concat('0x', md5(CAST(l_partkey AS STRING)), md5(CAST(l_suppkey AS STRING)))"
 _LINE = {"bundle_id": "l_orderkey", "line": "l_linenumber", "part": "l_partkey", "supplier": "l_suppkey", "hash": _HASH}
 _BARE = {n: c for n, c in _LINE.items() if n != "hash"}
+#: Sorts like the hash, in half the bytes.
+_KEY = "concat(unhex(md5(CAST(part AS STRING))), unhex(md5(CAST(supplier AS STRING))))"
 _ORDER = {
     "bundle_id": "bundle_id", "place": "CASE WHEN bundle_id % 79 = 7 THEN n + 1 - rank_ ELSE rank_ END", "order_hash": "CASE WHEN part % 211 = 1 THEN upper(hash) ELSE hash END", "class": "CASE WHEN part % 223 = 2 THEN 'LOST' WHEN supplier % 3 = 0 THEN 'PRESENT' WHEN supplier % 3 = 1 THEN 'ABSENT_CANDIDATE' ELSE 'BLOCKED' END",
     "reasons": "CASE WHEN part % 227 = 3 THEN 'SOME_REASON' WHEN supplier % 3 <> 2 THEN '' WHEN part % 229 = 4 THEN 'PENDING_EVENT,FAILED_EVENT' WHEN part % 2 = 0 THEN 'FAILED_EVENT,PENDING_EVENT' ELSE 'ORDER_NOT_ACTIVE' END", "seen": "CASE WHEN part % 233 = 5 THEN NULL ELSE supplier % 3 = 0 END", "order_authority": "part % 239 = 6",
@@ -94,11 +120,11 @@ events_ AS (SELECT bundle_id, {', '.join(f'bool_or({R.text_of(c)}) AS {n}' for n
 told AS (SELECT b.*, coalesce(orders, 0) AS orders, coalesce(present, 0) AS present, coalesce(absent, 0) AS absent, coalesce(blocked, 0) AS blocked, g.* EXCLUDE (bundle_id, orders, present, absent, blocked), h.* EXCLUDE (bundle_id) FROM bundles b LEFT JOIN flags g USING (bundle_id) LEFT JOIN events_ h USING (bundle_id))
 SELECT bundle_id, orders, {R.reasons_text(AUDIT_REASONS)} AS reasons FROM told""")
 def bundle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # dealt out once, by whole numbers: every branch below has this shuffle in common, and makes its hashes behind it
+    # dealt out once, by whole numbers: every branch below has this shuffle in common, and makes its hashes behind the sort
     bare = R.derived(read(spark, sf_dir, "lineitem"), _BARE).repartition("bundle_id")
-    lines = bare.withColumn("hash", F.expr(_HASH.replace("l_partkey", "part").replace("l_suppkey", "supplier")))
     own = Window.partitionBy("bundle_id")
-    ranked = lines.withColumn("rank_", F.row_number().over(own.orderBy("hash", "line", "part", "supplier"))).withColumn("n", F.count(F.lit(1)).over(own))
+    sorted_ = bare.withColumn("key", F.expr(_KEY)).withColumn("rank_", F.row_number().over(own.orderBy("key", "line", "part", "supplier"))).withColumn("n", F.count(F.lit(1)).over(own))
+    ranked = sorted_.withColumn("hash", F.expr(_HASH.replace("l_partkey", "part").replace("l_suppkey", "supplier")))
     orders = R.derived(ranked, _ORDER)
     entries = R.derived(ranked.withColumn("nth", F.explode(F.array(F.lit(1), F.lit(2)))), _ENTRY)
     counts = orders.groupBy("bundle_id").agg(*(F.count_if(F.col("class") == c).alias(n) for n, c in (("p", "PRESENT"), ("a", "ABSENT_CANDIDATE"), ("b", "BLOCKED"))))
